@@ -101,24 +101,35 @@ def has_non_ascii(col) -> Column:
     return _c(col).rlike(NON_ASCII)
 
 
-def normalize_conservative(col, remove_date_labels: bool = False,
-                           remove_phones: bool = False) -> Column:
+def _switch(flag, replaced: Column, original: Column) -> Column:
+    """Apply a step when ``flag`` holds; the flag is a Python bool or a boolean
+    Column (e.g. a scalar subquery over the artifact scan)."""
+    if isinstance(flag, bool):
+        return replaced if flag else original
+    return F.when(flag, replaced).otherwise(original)
+
+
+def normalize_conservative(col, remove_date_labels=False, remove_phones=False) -> Column:
     """Lower-case, optional date-label/phone removal, abbreviation expansion,
     then punctuation strip (``strip_punct``).  Null becomes ''.
 
     The two switches are data-driven in the reference (set when the artifact
-    scan found hits); pass the result of ``artifact_switches``.
+    scan found hits): pass booleans or the Columns of ``artifact_switches``.
     """
     c = F.lower(F.coalesce(_c(col), F.lit("")))
-    if remove_date_labels:
-        c = F.regexp_replace(c, DATE_LABEL_REMOVE, "")
-    if remove_phones:
-        c = F.regexp_replace(c, PHONE_REMOVE, "")
+    c = _switch(remove_date_labels, F.regexp_replace(c, DATE_LABEL_REMOVE, ""), c)
+    c = _switch(remove_phones, F.regexp_replace(c, PHONE_REMOVE, ""), c)
     for pattern, full in ABBREVIATIONS:
         c = F.regexp_replace(c, pattern, full)
     return strip_punct(c)
 
 
+def artifact_hits(col, name: str) -> Column:
+    """Number of matches of one artifact pattern in the lower-cased text (case-insensitive)."""
+    return F.size(F.regexp_extract_all(F.lower(F.coalesce(_c(col), F.lit(""))),
+                                       F.lit("(?i)" + ARTIFACT_PATTERNS[name]), 0))
+
+
 def normalize_aggressive(col) -> Column:
     """Lower-case, drop ``(date|time|patient|dr|md|hospital)[:-]? token``, strip punctuation."""
     c = F.lower(F.coalesce(_c(col), F.lit("")))
@@ -264,13 +275,14 @@ def text_stats(col) -> Column:
     """Drift statistics of a text as a struct (0 on empty text)."""
     c = F.coalesce(_c(col), F.lit(""))
     n = F.length(c)
-    words = whitespace_words(c)
+    cw = collapse_ws(c)
+    words = F.when(cw == "", F.array().cast("array<string>")).otherwise(F.split(cw, " "))
     nw = F.size(words)
     word_chars = F.aggregate(words, F.lit(0).cast("long"), lambda acc, w: acc + F.length(w))
-    distinct_chars = F.size(F.array_distinct(F.split(F.lower(c), "")))
+    distinct_chars = F.size(F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit("(?s)."), 0)))
     upper = n - F.length(F.regexp_replace(c, r"\p{Lu}", ""))
     digits = n - F.length(F.regexp_replace(c, r"\p{Nd}", ""))
-    punct = n - F.length(F.regexp_replace(c, r"[^\p{L}\p{N}\s]", ""))
+    punct = n - F.length(F.regexp_replace(c, f"[^\\p{{L}}\\p{{N}}{WS_CLASS}]", ""))
 
     def ratio(x):
         return F.when(n > 0, x / n).otherwise(F.lit(0.0))
@@ -279,7 +291,7 @@ def text_stats(col) -> Column:
         n.cast("long").alias("text_length"),
         nw.cast("long").alias("word_count"),
         F.when(nw > 0, word_chars / nw).otherwise(F.lit(0.0)).alias("avg_word_length"),
-        ratio(F.when(n > 0, distinct_chars).otherwise(F.lit(0))).alias("char_diversity"),
+        ratio(distinct_chars).alias("char_diversity"),
         ratio(upper).alias("uppercase_ratio"),
         ratio(digits).alias("digit_ratio"),
         ratio(punct).alias("punctuation_ratio"),

@@ -320,3 +320,38 @@ def data_quality_gate(df: DataFrame, text_col: str, target_col: str,
         F.coalesce(warn_missing, F.lit(False)).alias("warn_missing"),
         F.coalesce(warn_short, F.lit(False)).alias("warn_short"),
         status.alias("status"))
+
+
+def artifact_scan(df: DataFrame, text_col: str = "transcription", id_col: str = "doc_id",
+                  sample_size: int | None = None) -> DataFrame:
+    """Matches of each artifact pattern: total matches and texts with a hit.
+
+    ``sample_size`` restricts the scan to the first texts by id (the
+    reference looks at a sample); the default scans the whole table in one
+    aggregate pass.
+    """
+    base = df.filter(F.col(text_col).isNotNull())
+    if sample_size:
+        base = base.orderBy(id_col).limit(sample_size)
+    names = list(tx.ARTIFACT_PATTERNS)
+    hits = base.select(*[tx.artifact_hits(F.col(text_col), n).alias(f"__h{i}")
+                         for i, n in enumerate(names)])
+    one = hits.agg(*[F.sum(f"__h{i}").alias(f"__m{i}") for i in range(len(names))],
+                   *[F.sum((F.col(f"__h{i}") > 0).cast("long")).alias(f"__t{i}")
+                     for i in range(len(names))])
+    return one.select(F.explode(F.array(*[
+        F.struct(F.lit(n).alias("pattern"),
+                 F.coalesce(F.col(f"__m{i}"), F.lit(0)).cast("long").alias("matches"),
+                 F.coalesce(F.col(f"__t{i}"), F.lit(0)).cast("long").alias("texts_with_hits"))
+        for i, n in enumerate(names)])).alias("s")).select("s.*")
+
+
+def artifact_switches(df: DataFrame, text_col: str = "transcription"):
+    """(remove_date_labels, remove_phones) as boolean scalar subqueries: true when
+    the corpus has any date-label / phone hit.  Lazy: no driver round trip."""
+    base = df.filter(F.col(text_col).isNotNull())
+    dates = base.select(F.coalesce(F.max(tx.artifact_hits(F.col(text_col), "date_labels") > 0),
+                                   F.lit(False))).scalar()
+    phones = base.select(F.coalesce(F.max(tx.artifact_hits(F.col(text_col), "phone_numbers") > 0),
+                                    F.lit(False))).scalar()
+    return dates, phones

@@ -265,3 +265,302 @@ SELECT rows_before, count(*) AS rows_after, rows_before - count(*) AS rows_remov
        CAST(max(length(transcription)) AS BIGINT) AS max_chars,
        round(avg(length(transcription)), 6) AS avg_chars
 FROM clean_docs, b GROUP BY rows_before, classes_before""")
+
+
+# --- text normalisation ----------------------------------------------------------
+
+def _norm_sql(expr: str, src: str = "clean_docs", id_col: str = "doc_id", ctes: str = CLEAN) -> str:
+    return f"""WITH {ctes}, n AS (SELECT {id_col}, {expr} AS t FROM {src})
+SELECT {id_col}, CAST(length(t) AS INTEGER) AS chars, substr(sha256(t), 1, 16) AS text_hash FROM n"""
+
+
+def _hits(e: str, name: str) -> str:
+    return f"len(regexp_extract_all(lower(coalesce({e}, '')), {S.q('(?i)' + tx.ARTIFACT_PATTERNS[name])}, 0))"
+
+
+_sw = f"""sw AS (SELECT coalesce(max({_hits('transcription', 'date_labels')} > 0), false) AS dates,
+                  coalesce(max({_hits('transcription', 'phone_numbers')} > 0), false) AS phones
+           FROM clean_docs WHERE transcription IS NOT NULL)"""
+_nc_expr = ("CASE WHEN sw.dates AND sw.phones THEN "
+            + S.normalize_conservative("transcription", True, True)
+            + " WHEN sw.dates THEN " + S.normalize_conservative("transcription", True, False)
+            + " WHEN sw.phones THEN " + S.normalize_conservative("transcription", False, True)
+            + " ELSE " + S.normalize_conservative("transcription") + " END")
+oracle("normalize_conservative", _norm_sql(_nc_expr, "clean_docs, sw", ctes=CLEAN + ", " + _sw))
+oracle("normalize_aggressive", _norm_sql(S.normalize_aggressive("transcription")))
+oracle("strip_punct", _norm_sql(S.strip_punct(S.clean_text("lower(html)")), "pages", "page_id", "x AS (SELECT 1)"))
+oracle("normalize_simple", _norm_sql(S.normalize_simple("transcription")))
+
+
+def _scan_sql(src: str, name: str, label: str) -> str:
+    names = list(tx.ARTIFACT_PATTERNS)
+    h = ", ".join(f"{_hits('t', n)} AS h{i}" for i, n in enumerate(names))
+    parts = " UNION ALL ".join(
+        f"SELECT '{label}' AS src, '{n}' AS pattern, CAST(coalesce(sum(h{i}), 0) AS BIGINT) AS matches, "
+        f"CAST(coalesce(sum(CASE WHEN h{i} > 0 THEN 1 ELSE 0 END), 0) AS BIGINT) AS texts_with_hits FROM {name}_h"
+        for i, n in enumerate(names))
+    return f"{name}_h AS (SELECT {h} FROM ({src}) WHERE t IS NOT NULL)", parts
+
+
+_d_cte, _d_sel = _scan_sql("SELECT transcription AS t FROM clean_docs", "d", "documents")
+_p_cte, _p_sel = _scan_sql(f"SELECT {S.clean_text('html')} AS t FROM pages", "p", "pages")
+oracle("artifact_scan", f"WITH {CLEAN}, {_d_cte}, {_p_cte}\n{_d_sel} UNION ALL {_p_sel}")
+
+oracle("combined_text", _norm_sql(
+    f"trim(coalesce({S.normalize_conservative('description')}, '') || ' ' || "
+    f"coalesce({S.normalize_conservative('transcription')}, ''))"))
+
+_tc, _dc = "CAST(coalesce(length(transcription), 0) AS BIGINT)", "CAST(coalesce(length(description), 0) AS BIGINT)"
+oracle("length_features", f"""WITH {CLEAN}
+SELECT doc_id, {_tc} AS transcription_char_length, {S.word_count('transcription')} AS transcription_word_count,
+       {_dc} AS description_char_length, {S.word_count('description')} AS description_word_count,
+       round({_tc} / ({_dc} + 1), 6) AS text_length_ratio FROM clean_docs""")
+
+oracle("length_category", f"""SELECT doc_id, {S.length_category_label('length(text)')} AS text_length_category,
+       {S.length_category_code('length(text)')} AS text_length_code FROM documents""")
+
+oracle("section_flags", "SELECT page_id, " + ", ".join(
+    f"CAST(coalesce(contains(lower(html), '{w}'), false) AS INTEGER) AS has_{w}" for w in tx.SECTION_WORDS)
+    + " FROM pages")
+
+oracle("input_hash", """SELECT doc_id, substr(sha256(text), 1, 16) AS input_hash,
+       CAST(length(substr(text, 1, 500)) AS INTEGER) AS input_length FROM documents""")
+
+oracle("request_id", """SELECT event_id,
+       substr(md5(strftime(ts, '%Y-%m-%d %H:%M:%S.%f') || substr(props, 1, 50)), 1, 12) AS request_id
+FROM events""")
+
+_ws = S.q("[^\\p{L}\\p{N}" + tx.WS_CLASS + "]")
+oracle("text_stats", f"""WITH b AS (SELECT conv_id, turn, coalesce(text, '') AS c FROM conversations),
+s AS (SELECT conv_id, turn, c, length(c) AS n, {S.collapse_ws('c')} AS cw FROM b),
+w AS (SELECT *, CASE WHEN cw = '' THEN []::VARCHAR[] ELSE string_split(cw, ' ') END AS words FROM s)
+SELECT conv_id, turn, CAST(n AS BIGINT) AS text_length, CAST(len(words) AS BIGINT) AS word_count,
+  round(CASE WHEN len(words) > 0 THEN list_sum(list_transform(words, lambda x: length(x))) / len(words)
+        ELSE 0.0 END, 6) AS avg_word_length,
+  round(CASE WHEN n > 0 THEN len(list_distinct(regexp_extract_all(lower(c), '(?s).', 0))) / n ELSE 0.0 END, 6)
+    AS char_diversity,
+  round(CASE WHEN n > 0 THEN (n - length(regexp_replace(c, '\\p{{Lu}}', '', 'g'))) / n ELSE 0.0 END, 6)
+    AS uppercase_ratio,
+  round(CASE WHEN n > 0 THEN (n - length(regexp_replace(c, '\\p{{Nd}}', '', 'g'))) / n ELSE 0.0 END, 6)
+    AS digit_ratio,
+  round(CASE WHEN n > 0 THEN (n - length(regexp_replace(c, {_ws}, '', 'g'))) / n ELSE 0.0 END, 6)
+    AS punctuation_ratio
+FROM w""")
+
+oracle("vector_stats", """WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)
+SELECT vec_id, round(list_avg(e), 6) AS mean, round(list_aggregate(e, 'stddev_pop'), 6) AS std,
+       list_min(e) AS min, list_max(e) AS max,
+       round(len(list_filter(e, lambda x: x = 0)) / len(e), 6) AS zero_fraction
+FROM e""")
+
+# --- monitoring ----------------------------------------------------------------------
+
+REQ = """requests AS (
+  SELECT event_id, ts,
+         ['/predict', '/health', '/monitoring/metrics', '/'][(CAST(json_extract_string(props, '$.k') AS INTEGER) % 4) + 1]
+           AS endpoint,
+         CAST(CASE WHEN event_type = 'error' THEN [500, 404, 503][(event_id % 3) + 1] ELSE 200 END AS INTEGER)
+           AS status_code,
+         value AS response_time_ms, CAST(user_id AS VARCHAR) AS user_agent
+  FROM events)"""
+PRED = """predictions AS (
+  SELECT event_id AS seq, ts, 'v1' AS model_version, event_type AS prediction,
+         1.0::DOUBLE / (1.0::DOUBLE + value / 100.0::DOUBLE) AS confidence,
+         0.3::DOUBLE * value AS preprocessing_time_ms, 0.7::DOUBLE * value AS prediction_time_ms,
+         value AS total_time_ms
+  FROM events)"""
+ERRC = "CASE WHEN status_code >= 400 THEN 1 ELSE 0 END"
+
+
+def fp(lst: str, n: str, p: float) -> str:
+    """Floor nearest-rank percentile from a sorted list (DuckDB)."""
+    return f"{lst}[CAST(floor({p}::DOUBLE * ({n} - 1)) AS INTEGER) + 1]"
+
+
+KPIS = REQ + f""",
+kt AS (SELECT max(ts) AS as_of, min(ts) AS first_ts, count(*) AS total_requests,
+              sum({ERRC}) AS total_errors FROM requests),
+recent AS (SELECT r.* FROM requests r, kt WHERE r.ts > kt.as_of - INTERVAL 60 MINUTE AND r.ts <= kt.as_of),
+ka AS (SELECT count(*) AS n, sum({ERRC}) AS errors, avg(response_time_ms) AS avg_rt,
+              list_sort(list(response_time_ms)) AS l FROM recent),
+kpis AS (
+  SELECT round(n / 60.0::DOUBLE, 6) AS requests_per_minute,
+         round(CASE WHEN n > 0 THEN 100.0::DOUBLE * errors / n ELSE 0.0 END, 6) AS error_rate_percent,
+         round(coalesce(avg_rt, 0.0), 6) AS avg_response_time_ms,
+         round(coalesce({fp('l', 'n', 0.95)}, 0.0), 6) AS p95_response_time_ms,
+         round(coalesce({fp('l', 'n', 0.99)}, 0.0), 6) AS p99_response_time_ms,
+         CAST(total_requests AS BIGINT) AS total_requests, CAST(coalesce(total_errors, 0) AS BIGINT) AS total_errors,
+         round((epoch_us(as_of) - epoch_us(first_ts)) / 60000000.0::DOUBLE, 6) AS uptime_minutes,
+         n AS window_requests
+  FROM ka, kt)"""
+
+oracle("log_parse", """SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, count(*) AS n,
+       round(sum(value), 6) AS sum_rt,
+       CAST(sum(CAST(json_extract_string(props, '$.k') AS INTEGER)) AS BIGINT) AS sum_k
+FROM events GROUP BY 1""")
+
+oracle("slow_requests", f"WITH {REQ} SELECT event_id, endpoint, response_time_ms FROM requests "
+                        "WHERE response_time_ms > 400")
+oracle("low_confidence", f"WITH {PRED} SELECT seq, prediction, round(confidence, 6) AS confidence "
+                         "FROM predictions WHERE confidence < 0.5")
+
+oracle("rolling_kpis", f"""WITH {KPIS}
+SELECT *, CASE WHEN error_rate_percent > 5.0 THEN 'degraded' ELSE 'operational' END AS status FROM kpis""")
+
+_ep_p = f"""ep AS (SELECT endpoint, count(*) AS n, list_sort(list(response_time_ms)) AS l FROM requests GROUP BY 1)"""
+oracle("floor_percentile", f"""WITH {REQ}, {_ep_p}
+SELECT endpoint, {fp('l', 'n', 0.5)} AS p50, {fp('l', 'n', 0.95)} AS p95, {fp('l', 'n', 0.99)} AS p99 FROM ep""")
+
+oracle("endpoint_metrics", f"""WITH {REQ}, {_ep_p},
+b AS (SELECT endpoint, count(*) AS total_requests, sum({ERRC}) AS total_errors, avg(response_time_ms) AS a,
+             min(response_time_ms) AS mn, max(response_time_ms) AS mx FROM requests GROUP BY 1)
+SELECT b.endpoint, total_requests, CAST(total_errors AS BIGINT) AS total_errors,
+       round(100.0::DOUBLE * total_errors / total_requests, 6) AS error_rate_percent,
+       round(a, 6) AS avg_response_time_ms, mn AS min_response_time_ms, mx AS max_response_time_ms,
+       {fp('l', 'n', 0.5)} AS p50_response_time_ms, {fp('l', 'n', 0.95)} AS p95_response_time_ms,
+       {fp('l', 'n', 0.99)} AS p99_response_time_ms
+FROM b JOIN ep ON b.endpoint = ep.endpoint""")
+
+oracle("error_summary", f"""WITH {REQ}, t AS (SELECT max(ts) AS as_of FROM requests),
+e AS (SELECT r.* FROM requests r, t WHERE status_code >= 400 AND r.ts > t.as_of - INTERVAL 24 HOUR
+      AND r.ts <= t.as_of),
+g AS (SELECT CASE GROUPING(status_code, endpoint) WHEN 1 THEN 'status_code' WHEN 2 THEN 'endpoint'
+                  ELSE 'total' END AS dimension,
+             CASE GROUPING(status_code, endpoint) WHEN 1 THEN CAST(status_code AS VARCHAR)
+                  WHEN 2 THEN endpoint END AS key,
+             count(*) AS n_errors
+      FROM e GROUP BY GROUPING SETS ((status_code), (endpoint), ()))
+SELECT dimension, key, n_errors,
+       row_number() OVER (PARTITION BY dimension ORDER BY n_errors DESC, key ASC) = 1 AS is_most_common,
+       round(n_errors / 24.0::DOUBLE, 6) AS errors_per_hour
+FROM g""")
+
+oracle("recent_errors", f"""WITH {REQ}
+SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, endpoint, status_code FROM requests
+WHERE status_code >= 400 ORDER BY requests.ts DESC, event_id DESC LIMIT 10""")
+
+oracle("hourly_trends", f"""WITH {REQ}, t AS (SELECT date_trunc('hour', max(ts)) AS top FROM requests),
+cal AS (SELECT unnest(generate_series(top - INTERVAL 23 HOUR, top, INTERVAL 1 HOUR)) AS hour FROM t),
+a AS (SELECT date_trunc('hour', ts) AS hour, count(*) AS requests, sum({ERRC}) AS errors,
+             avg(response_time_ms) AS avg_rt
+      FROM requests, t WHERE ts >= top - INTERVAL 23 HOUR AND ts < top + INTERVAL 1 HOUR GROUP BY 1)
+SELECT strftime(cal.hour, '%Y-%m-%d-%H') AS hour_key, CAST(coalesce(requests, 0) AS BIGINT) AS requests,
+       CAST(coalesce(errors, 0) AS BIGINT) AS errors, round(coalesce(avg_rt, 0.0), 6) AS avg_response_time,
+       round(CASE WHEN requests > 0 THEN 100.0::DOUBLE * errors / requests ELSE 0.0 END, 6) AS error_rate_percent
+FROM cal LEFT JOIN a ON cal.hour = a.hour""")
+
+oracle("anomalies", f"""WITH {KPIS},
+rules AS (
+  SELECT 'HIGH_ERROR_RATE' AS type, CASE WHEN error_rate_percent > 10.0 THEN 'HIGH' ELSE 'MEDIUM' END AS severity,
+         error_rate_percent AS value, 1 AS o FROM kpis WHERE error_rate_percent > 5.0
+  UNION ALL
+  SELECT 'HIGH_RESPONSE_TIME', CASE WHEN p95_response_time_ms > 10000 THEN 'HIGH' ELSE 'MEDIUM' END,
+         p95_response_time_ms, 2 FROM kpis WHERE p95_response_time_ms > 5000
+  UNION ALL
+  SELECT 'LOW_REQUEST_VOLUME', 'MEDIUM', requests_per_minute, 3 FROM kpis
+  WHERE requests_per_minute < 0.1 AND uptime_minutes > 10),
+c AS (SELECT CAST(count(*) AS INTEGER) AS anomaly_count FROM rules)
+SELECT type, severity, value, anomaly_count,
+       CASE WHEN anomaly_count = 0 THEN 'HEALTHY' ELSE 'DEGRADED' END AS status
+FROM c LEFT JOIN rules ON true""")
+
+from corpusflow.operators.monitor import EXPORT_NAMES  # noqa: E402
+
+oracle("metrics_export", f"WITH {KPIS}\n" + " UNION ALL ".join(
+    f"SELECT '{dst}' AS metric, round(CAST({src} AS DOUBLE), 6) AS value FROM kpis" for src, dst in EXPORT_NAMES))
+
+oracle("prediction_perf", f"""WITH {PRED}
+SELECT model_version, count(*) AS total_predictions, round(avg(preprocessing_time_ms), 6) AS avg_preprocessing_time,
+       round(avg(prediction_time_ms), 6) AS avg_prediction_time, round(avg(confidence), 6) AS avg_confidence
+FROM predictions GROUP BY 1""")
+
+_LAST100 = f"""{PRED}, buf AS (SELECT * FROM predictions ORDER BY ts DESC, seq DESC LIMIT 1000),
+last100 AS (SELECT * FROM buf ORDER BY ts DESC, seq DESC LIMIT 100)"""
+oracle("drift_report", f"""WITH {_LAST100},
+a AS (SELECT avg(confidence) AS m, stddev_pop(confidence) AS s,
+             avg(CASE WHEN confidence < 0.7 THEN 1.0 ELSE 0.0 END) AS low FROM last100),
+n AS (SELECT least(count(*), 1000) AS n_all FROM predictions)
+SELECT CASE WHEN n_all >= 100 THEN 'analyzed' ELSE 'insufficient_data' END AS status,
+       CASE WHEN n_all >= 100 THEN 100 END AS window_size,
+       CASE WHEN n_all >= 100 THEN round(m, 6) END AS confidence_mean,
+       CASE WHEN n_all >= 100 THEN round(s, 6) END AS confidence_std,
+       CASE WHEN n_all >= 100 THEN round(low, 6) END AS low_confidence_ratio,
+       CASE WHEN n_all >= 100 THEN concat_ws(',', CASE WHEN low > 0.3 THEN 'HIGH_LOW_CONFIDENCE_RATIO' END,
+                                             CASE WHEN s > 0.25 THEN 'HIGH_CONFIDENCE_VARIANCE' END) END
+         AS drift_alerts
+FROM a, n""")
+
+oracle("drift_distribution", f"""WITH {_LAST100}
+SELECT prediction, count(*) AS n, round(count(*) / (SELECT count(*) FROM last100), 6) AS share
+FROM last100 GROUP BY 1""")
+
+oracle("staleness", f"""WITH {KPIS}, {PRED},
+last50 AS (SELECT confidence FROM predictions ORDER BY ts DESC, seq DESC LIMIT 50),
+b AS (SELECT (epoch_us((SELECT max(ts) FROM predictions)) - epoch_us(TIMESTAMP '2024-01-23 00:00:00'))
+               / 3600000000.0::DOUBLE AS age,
+             (SELECT requests_per_minute FROM kpis) AS rpm,
+             CASE WHEN (SELECT count(*) FROM predictions) >= 50 THEN (SELECT avg(confidence) FROM last50) END AS conf,
+             (SELECT count(*) FROM predictions) AS total_predictions),
+r AS (SELECT *, list_filter([
+        CASE WHEN age > 168 THEN {{'type': 'MODEL_AGE_HIGH', 'severity': CASE WHEN age > 720 THEN 'HIGH' ELSE 'MEDIUM' END}} END,
+        CASE WHEN rpm < 0.1 AND age > 1 THEN {{'type': 'LOW_USAGE_VOLUME', 'severity': 'MEDIUM'}} END,
+        CASE WHEN conf < 0.6 THEN {{'type': 'CONFIDENCE_DEGRADATION', 'severity': CASE WHEN conf < 0.5 THEN 'HIGH' ELSE 'MEDIUM' END}} END
+      ], lambda x: x IS NOT NULL) AS alerts FROM b),
+h AS (SELECT *, len(list_filter(alerts, lambda x: x.severity = 'HIGH')) AS hi,
+             len(list_filter(alerts, lambda x: x.severity = 'MEDIUM')) AS med FROM r)
+SELECT round(age, 6) AS model_age_hours, total_predictions, round(rpm, 6) AS requests_per_minute,
+       round(conf, 6) AS recent_confidence,
+       array_to_string(list_transform(alerts, lambda x: x.type || ':' || x.severity), ',') AS staleness_alerts,
+       CAST(len(alerts) AS INTEGER) AS staleness_score,
+       CASE WHEN len(alerts) = 0 THEN 'Model is fresh and performing well'
+            WHEN hi >= 2 THEN 'URGENT: Consider retraining model immediately with fresh data'
+            WHEN hi >= 1 THEN 'Consider retraining model with recent data within 24-48 hours'
+            WHEN med >= 2 THEN 'Monitor closely and consider retraining within 1 week'
+            ELSE 'Monitor model performance and consider retraining schedule' END AS recommendation
+FROM h""")
+
+oracle("usage_by_client", f"""WITH {REQ}
+SELECT user_agent AS client, count(*) AS requests, CAST(sum({ERRC}) AS BIGINT) AS errors,
+       round(avg(response_time_ms), 6) AS avg_response_time_ms,
+       strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_seen
+FROM requests GROUP BY 1""")
+
+_x = "(response_time_ms / 0.01::DOUBLE)"
+_b0 = f"floor(log2({_x}))"
+_b1 = f"CASE WHEN pow(2.0, {_b0} + 1) <= {_x} THEN {_b0} + 1 ELSE {_b0} END"
+_b2 = f"CASE WHEN pow(2.0, {_b1}) > {_x} THEN {_b1} - 1 ELSE {_b1} END"
+oracle("latency_histogram", f"""WITH {REQ},
+b AS (SELECT CAST(CASE WHEN {_x} < 1 THEN 0 ELSE least({_b2}, 63) END AS INTEGER) AS bucket FROM requests)
+SELECT bucket, round(0.01::DOUBLE * pow(2.0, bucket), 6) AS lower_ms, count(*) AS n FROM b GROUP BY 1""")
+
+oracle("alert_windows", f"""WITH {REQ},
+err AS (SELECT 'ERROR_BURST' AS alert, time_bucket(INTERVAL 5 MINUTE, ts) AS start, count(*) AS v
+        FROM requests WHERE status_code >= 400 GROUP BY 2 HAVING count(*) > 5),
+w5 AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS start, count(*) AS n,
+              list_sort(list(response_time_ms)) AS l FROM requests GROUP BY 1),
+slow AS (SELECT 'SLOW_P95' AS alert, start, {fp('l', 'n', 0.95)} AS v FROM w5
+         WHERE {fp('l', 'n', 0.95)} > 450.0),
+active AS (SELECT DISTINCT date_trunc('minute', ts) AS m FROM requests),
+covered AS (SELECT DISTINCT m + j * INTERVAL 1 MINUTE AS m FROM active, range(0, 10) r(j)),
+bounds AS (SELECT min(date_trunc('minute', ts)) AS lo, max(date_trunc('minute', ts)) AS hi FROM requests),
+cal AS (SELECT unnest(generate_series(lo + INTERVAL 9 MINUTE, hi, INTERVAL 1 MINUTE)) AS m FROM bounds),
+quiet AS (SELECT 'LOW_TRAFFIC' AS alert, m AS start, 10.0::DOUBLE AS v FROM cal
+          WHERE m NOT IN (SELECT m FROM covered))
+SELECT alert, strftime(start, '%Y-%m-%d %H:%M:%S') AS start, round(CAST(v AS DOUBLE), 6) AS value
+FROM (SELECT * FROM err UNION ALL SELECT * FROM slow UNION ALL SELECT * FROM quiet)""")
+
+oracle("dashboard_series", f"""WITH {REQ}, {PRED},
+w5 AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS start, count(*) AS n,
+              list_sort(list(response_time_ms)) AS l,
+              avg(CASE WHEN status_code < 200 OR status_code >= 300 THEN 1.0 ELSE 0.0 END) AS non2 FROM requests GROUP BY 1),
+s AS (
+  SELECT 'request_rate_1m' AS series, date_trunc('minute', ts) AS start, '' AS key, CAST(count(*) AS DOUBLE) AS value
+  FROM requests GROUP BY 2
+  UNION ALL SELECT 'non_2xx_rate_5m', start, '', non2 FROM w5
+  UNION ALL SELECT 'latency_p50_5m', start, '', {fp('l', 'n', 0.5)} FROM w5
+  UNION ALL SELECT 'latency_p95_5m', start, '', {fp('l', 'n', 0.95)} FROM w5
+  UNION ALL SELECT 'class_mix_1h', date_trunc('hour', ts), prediction, CAST(count(*) AS DOUBLE)
+  FROM predictions GROUP BY 2, 3
+  UNION ALL SELECT 'low_confidence_1h', date_trunc('hour', ts), '',
+         avg(CASE WHEN confidence < 0.7 THEN 1.0 ELSE 0.0 END) FROM predictions GROUP BY 2)
+SELECT series, strftime(start, '%Y-%m-%d %H:%M:%S') AS start, key, round(value, 6) AS value FROM s""")

@@ -190,3 +190,243 @@ def q_clean_pipeline(spark, sf):
 @query("clean_summary")
 def q_clean_summary(spark, sf):
     return cl.clean_summary(_raw(spark, sf), _clean(spark, sf))
+
+
+# --- text normalisation and features of single texts -------------------------
+
+def _norm_out(df, c, id_col="doc_id"):
+    return df.select(id_col, F.length(c).alias("chars"), tx.sha256_prefix(c).alias("text_hash"))
+
+
+@query("normalize_conservative")
+def q_normalize_conservative(spark, sf):
+    d = _clean(spark, sf)
+    dates, phones = pr.artifact_switches(d)
+    return _norm_out(d, tx.normalize_conservative(F.col("transcription"), dates, phones))
+
+
+@query("normalize_aggressive")
+def q_normalize_aggressive(spark, sf):
+    d = _clean(spark, sf)
+    return _norm_out(d, tx.normalize_aggressive(F.col("transcription")))
+
+
+@query("strip_punct")
+def q_strip_punct(spark, sf):
+    p = read_table(spark, sf, "pages")
+    c = tx.strip_punct(tx.clean_text(F.lower(F.col("html"))))
+    return _norm_out(p, c, "page_id")
+
+
+@query("normalize_simple")
+def q_normalize_simple(spark, sf):
+    d = _clean(spark, sf)
+    return _norm_out(d, tx.normalize_simple(F.col("transcription")))
+
+
+@query("artifact_scan")
+def q_artifact_scan(spark, sf):
+    d = _clean(spark, sf).select(F.lit("documents").alias("src"), "doc_id", "transcription")
+    p = read_table(spark, sf, "pages").select(F.lit("pages").alias("src"), F.col("page_id").alias("doc_id"),
+                                              tx.clean_text(F.col("html")).alias("transcription"))
+    return (pr.artifact_scan(d).select(F.lit("documents").alias("src"), "*")
+            .unionByName(pr.artifact_scan(p).select(F.lit("pages").alias("src"), "*")))
+
+
+@query("combined_text")
+def q_combined_text(spark, sf):
+    d = _clean(spark, sf)
+    c = tx.combined_text(tx.normalize_conservative(F.col("description")),
+                         tx.normalize_conservative(F.col("transcription")))
+    return _norm_out(d, c)
+
+
+@query("length_features")
+def q_length_features(spark, sf):
+    d = _clean(spark, sf)
+    return d.select(
+        "doc_id",
+        tx.char_length("transcription").alias("transcription_char_length"),
+        tx.word_count("transcription").alias("transcription_word_count"),
+        tx.char_length("description").alias("description_char_length"),
+        tx.word_count("description").alias("description_word_count"),
+        F.round(tx.char_length("transcription") / (tx.char_length("description") + 1), 6)
+        .alias("text_length_ratio"))
+
+
+@query("length_category")
+def q_length_category(spark, sf):
+    d = documents(spark, sf)
+    return d.select("doc_id", tx.length_category_label(F.length("text")).alias("text_length_category"),
+                    tx.length_category_code(F.length("text")).alias("text_length_code"))
+
+
+@query("section_flags")
+def q_section_flags(spark, sf):
+    p = read_table(spark, sf, "pages")
+    return p.select("page_id", *[tx.section_flag(F.col("html"), w).alias(f"has_{w}")
+                                 for w in tx.SECTION_WORDS])
+
+
+@query("input_hash")
+def q_input_hash(spark, sf):
+    d = documents(spark, sf)
+    return d.select("doc_id", tx.sha256_prefix(F.col("text")).alias("input_hash"),
+                    F.length(F.substring("text", 1, 500)).alias("input_length"))
+
+
+@query("request_id")
+def q_request_id(spark, sf):
+    ev = read_table(spark, sf, "events")
+    ts = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    return ev.select("event_id", tx.request_id(ts, F.col("props")).alias("request_id"))
+
+
+@query("text_stats")
+def q_text_stats(spark, sf):
+    c = read_table(spark, sf, "conversations")
+    s = c.select("conv_id", "turn", tx.text_stats(F.col("text")).alias("s"))
+    return s.select("conv_id", "turn", "s.text_length", "s.word_count",
+                    *[F.round(f"s.{k}", 6).alias(k) for k in
+                      ("avg_word_length", "char_diversity", "uppercase_ratio", "digit_ratio",
+                       "punctuation_ratio")])
+
+
+@query("vector_stats")
+def q_vector_stats(spark, sf):
+    from corpusflow.functions.stats import vector_stats
+    e = read_table(spark, sf, "embeddings")
+    s = e.select("vec_id", vector_stats(F.col("embedding")).alias("s"))
+    return s.select("vec_id", F.round("s.mean", 6).alias("mean"), F.round("s.std", 6).alias("std"),
+                    F.col("s.min").alias("min"), F.col("s.max").alias("max"),
+                    F.round("s.zero_fraction", 6).alias("zero_fraction"))
+
+
+# --- monitoring ----------------------------------------------------------------
+
+from corpusflow.operators import monitor as mon  # noqa: E402
+from corpusflow.sources import logs  # noqa: E402
+
+MODEL_LOADED_AT = "2024-01-23 00:00:00"
+
+
+def _req(spark, sf):
+    return logs.request_log(read_table(spark, sf, "events"))
+
+
+def _pred(spark, sf):
+    return logs.prediction_log(read_table(spark, sf, "events"))
+
+
+@query("log_parse")
+def q_log_parse(spark, sf):
+    ev = read_table(spark, sf, "events")
+    lines = ev.select("event_id", F.to_json(F.struct(
+        F.lit("INFO").alias("level"), F.lit("requests").alias("logger"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("timestamp"),
+        F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("timestamp"),
+                 F.lit("/predict").alias("endpoint"), F.lit("POST").alias("method"),
+                 F.get_json_object("props", "$.k").cast("int").alias("status_code"),
+                 F.col("value").alias("response_time_ms")).alias("message"))).alias("value"))
+    good, bad = logs.parse_json_log(lines, logs.REQUEST_SCHEMA, envelope=True)
+    good = logs.with_event_time(good)
+    return good.groupBy(F.date_format(F.date_trunc("day", "ts"), "yyyy-MM-dd").alias("day")).agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("response_time_ms"), 6).alias("sum_rt"),
+        F.sum("status_code").cast("long").alias("sum_k"))
+
+
+@query("slow_requests")
+def q_slow_requests(spark, sf):
+    return _req(spark, sf).filter(F.col("response_time_ms") > 400).select(
+        "event_id", "endpoint", "response_time_ms")
+
+
+@query("low_confidence")
+def q_low_confidence(spark, sf):
+    return _pred(spark, sf).filter(F.col("confidence") < 0.5).select(
+        "seq", "prediction", F.round("confidence", 6).alias("confidence"))
+
+
+@query("rolling_kpis")
+def q_rolling_kpis(spark, sf):
+    return mon.rolling_kpis(_req(spark, sf), 60)
+
+
+@query("floor_percentile")
+def q_floor_percentile(spark, sf):
+    from corpusflow.functions.stats import floor_percentiles
+    return floor_percentiles(_req(spark, sf), ["endpoint"], "response_time_ms",
+                             {"p50": 0.5, "p95": 0.95, "p99": 0.99})
+
+
+@query("endpoint_metrics")
+def q_endpoint_metrics(spark, sf):
+    return mon.endpoint_metrics(_req(spark, sf))
+
+
+@query("error_summary")
+def q_error_summary(spark, sf):
+    return mon.error_summary(_req(spark, sf), 24)
+
+
+@query("recent_errors")
+def q_recent_errors(spark, sf):
+    return mon.recent_errors(_req(spark, sf), 10)
+
+
+@query("hourly_trends")
+def q_hourly_trends(spark, sf):
+    return mon.hourly_trends(_req(spark, sf), 24)
+
+
+@query("anomalies")
+def q_anomalies(spark, sf):
+    return mon.anomalies(mon.rolling_kpis(_req(spark, sf), 60))
+
+
+@query("metrics_export")
+def q_metrics_export(spark, sf):
+    return mon.metrics_export(mon.rolling_kpis(_req(spark, sf), 60)).select(
+        "metric", F.round("value", 6).alias("value"))
+
+
+@query("prediction_perf")
+def q_prediction_perf(spark, sf):
+    return mon.prediction_perf(_pred(spark, sf))
+
+
+@query("drift_report")
+def q_drift_report(spark, sf):
+    return mon.drift_report(_pred(spark, sf), 100)
+
+
+@query("drift_distribution")
+def q_drift_distribution(spark, sf):
+    return mon.drift_distribution(_pred(spark, sf), 100)
+
+
+@query("staleness")
+def q_staleness(spark, sf):
+    kpis = mon.rolling_kpis(_req(spark, sf), 60)
+    return mon.staleness(kpis, _pred(spark, sf), MODEL_LOADED_AT)
+
+
+@query("usage_by_client")
+def q_usage_by_client(spark, sf):
+    return mon.usage_by_client(_req(spark, sf))
+
+
+@query("latency_histogram")
+def q_latency_histogram(spark, sf):
+    return mon.latency_histogram(_req(spark, sf)).select(
+        "bucket", F.round("lower_ms", 6).alias("lower_ms"), "n")
+
+
+@query("alert_windows")
+def q_alert_windows(spark, sf):
+    return mon.alert_windows(_req(spark, sf), error_count=5, p95_ms=450.0, quiet_minutes=10)
+
+
+@query("dashboard_series")
+def q_dashboard_series(spark, sf):
+    return mon.dashboard_series(_req(spark, sf), _pred(spark, sf))
