@@ -61,8 +61,9 @@ ABBREVIATIONS = [
 # Report section words.
 SECTION_WORDS = ["subjective", "objective", "assessment", "plan"]
 
-# Token pattern of the TF-IDF vectoriser.
+# Token pattern of the TF-IDF vectoriser, and the vectoriser default used by the variants.
 TOKEN_PATTERN = r"\b[a-zA-Z][a-zA-Z0-9]*\b"
+DEFAULT_TOKEN_PATTERN = r"\b\w\w+\b"
 
 # Length-category bin edges (right-closed): (0,1608] short, (1608,4011] medium,
 # (4011,8000] long, (8000,inf) very_long.
@@ -101,12 +102,16 @@ def has_non_ascii(col) -> Column:
     return _c(col).rlike(NON_ASCII)
 
 
-def _switch(flag, replaced: Column, original: Column) -> Column:
-    """Apply a step when ``flag`` holds; the flag is a Python bool or a boolean
-    Column (e.g. a scalar subquery over the artifact scan)."""
+NEVER = "(?!)"  # a pattern that matches nowhere
+
+
+def _switched_replace(c: Column, flag, pattern: str, repl: str = "") -> Column:
+    """``regexp_replace`` applied when ``flag`` holds.  ``flag`` is a Python bool
+    or a boolean Column (e.g. a scalar subquery); a Column flag selects the
+    pattern instead of duplicating the expression tree in both branches."""
     if isinstance(flag, bool):
-        return replaced if flag else original
-    return F.when(flag, replaced).otherwise(original)
+        return F.regexp_replace(c, pattern, repl) if flag else c
+    return F.regexp_replace(c, F.when(flag, F.lit(pattern)).otherwise(F.lit(NEVER)), F.lit(repl))
 
 
 def normalize_conservative(col, remove_date_labels=False, remove_phones=False) -> Column:
@@ -117,8 +122,8 @@ def normalize_conservative(col, remove_date_labels=False, remove_phones=False) -
     scan found hits): pass booleans or the Columns of ``artifact_switches``.
     """
     c = F.lower(F.coalesce(_c(col), F.lit("")))
-    c = _switch(remove_date_labels, F.regexp_replace(c, DATE_LABEL_REMOVE, ""), c)
-    c = _switch(remove_phones, F.regexp_replace(c, PHONE_REMOVE, ""), c)
+    c = _switched_replace(c, remove_date_labels, DATE_LABEL_REMOVE)
+    c = _switched_replace(c, remove_phones, PHONE_REMOVE)
     for pattern, full in ABBREVIATIONS:
         c = F.regexp_replace(c, pattern, full)
     return strip_punct(c)
@@ -126,8 +131,8 @@ def normalize_conservative(col, remove_date_labels=False, remove_phones=False) -
 
 def artifact_hits(col, name: str) -> Column:
     """Number of matches of one artifact pattern in the lower-cased text (case-insensitive)."""
-    return F.size(F.regexp_extract_all(F.lower(F.coalesce(_c(col), F.lit(""))),
-                                       F.lit("(?i)" + ARTIFACT_PATTERNS[name]), 0))
+    return F.regexp_count(F.lower(F.coalesce(_c(col), F.lit(""))),
+                          F.lit("(?i)" + ARTIFACT_PATTERNS[name]))
 
 
 def normalize_aggressive(col) -> Column:
@@ -215,50 +220,73 @@ def remove_stop_words(arr, stop_words: list[str]) -> Column:
     return F.filter(_c(arr), lambda t: ~F.array_contains(stops, t))
 
 
-def word_ngrams(arr, n_min: int = 1, n_max: int = 2) -> Column:
-    """Word n-grams ``n_min..n_max`` joined by a space, in document order per n."""
-    a = _c(arr)
+def _regex_escape(word: str) -> str:
+    return "".join("\\" + ch if ch in ".^$*+?()[]{}|\\-" else ch for ch in word)
+
+
+def trie_regex(words) -> str:
+    """A regex alternation of ``words`` factored as a prefix trie (``a(?:bout|fter)?``),
+    so the matcher branches on one character at a time instead of trying
+    every word at every position."""
+    trie: dict = {}
+    for w in set(words):
+        node = trie
+        for ch in w:
+            node = node.setdefault(ch, {})
+        node[""] = {}
+
+    def emit(node) -> str:
+        end = "" in node
+        alts = [_regex_escape(ch) + emit(child) for ch, child in sorted(node.items()) if ch != ""]
+        if not alts:
+            return ""
+        body = alts[0] if len(alts) == 1 else "(?:" + "|".join(alts) + ")"
+        if end:
+            return (body if len(alts) > 1 else "(?:" + body + ")") + "?"
+        return body
+
+    return "(?:" + emit(trie) + ")"
+
+
+def joined_tokens(col, pattern: str = TOKEN_PATTERN, stop_words=None) -> Column:
+    """Tokens joined by single spaces, stop words removed.
+
+    Stop words are removed with one anchored alternation regex on the joined
+    string (native, no per-token lambda); tokens never contain a space.
+    """
+    j = F.array_join(tokens(col, pattern), " ")
+    if stop_words:
+        j = F.regexp_replace(j, f"(?<![^ ]){trie_regex(stop_words)}(?![^ ])", "")
+        j = F.trim(F.regexp_replace(j, " {2,}", " "))
+    return j
+
+
+def word_ngrams_from_joined(joined, n_min: int = 1, n_max: int = 2) -> Column:
+    """Word n-grams of a space-joined token string, in document order per n.
+
+    Overlapping n-grams come from a zero-width look-ahead anchored at each
+    token start; the capture group is the n-gram.
+    """
+    j = _c(joined)
     parts = []
     for n in range(n_min, n_max + 1):
         if n == 1:
-            parts.append(a)
-            continue
-        m = F.size(a) - n + 1
-        parts.append(F.when(m > 0, F.transform(
-            F.sequence(F.lit(1), F.greatest(m, F.lit(1))),
-            lambda i: F.array_join(F.slice(a, i, n), " "))).otherwise(
-                F.array().cast("array<string>")))
+            parts.append(F.when(j == "", F.array().cast("array<string>")).otherwise(F.split(j, " ")))
+        else:
+            parts.append(F.regexp_extract_all(j, F.lit(f"(?<![^ ])(?=([^ ]+(?: [^ ]+){{{n - 1}}}))"), 1))
     return F.concat(*parts) if len(parts) > 1 else parts[0]
 
 
-def char_ngrams(col, n_min: int = 3, n_max: int = 5) -> Column:
-    """Character n-grams of a (pre-processed) string, all sizes ``n_min..n_max``."""
-    s = F.coalesce(_c(col), F.lit(""))
-    parts = []
-    for n in range(n_min, n_max + 1):
-        m = F.length(s) - n + 1
-        parts.append(F.when(m > 0, F.transform(
-            F.sequence(F.lit(1), F.greatest(m, F.lit(1))),
-            lambda i: F.substr(s, i, F.lit(n)))).otherwise(
-                F.array().cast("array<string>")))
-    return F.concat(*parts)
-
+def word_ngrams(arr, n_min: int = 1, n_max: int = 2) -> Column:
+    """Word n-grams of a token array column (see ``word_ngrams_from_joined``)."""
+    return word_ngrams_from_joined(F.array_join(_c(arr), " "), n_min, n_max)
 
-def term_frequencies(arr) -> Column:
-    """Per-row term counts of an array, as ``array<struct<term, tf>>``.
 
-    Computed inside the row (sort + run-length), so counting the terms of a
-    document needs no shuffle: a document is one row and stays in its task.
-    """
-    s = F.array_sort(_c(arr))
-    n = F.size(s)
-    starts = F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-                      lambda i: (i == 1) | (F.try_element_at(s, i) != F.try_element_at(s, i - 1)))
-    runs = F.transform(starts, lambda b, j: F.struct(
-        F.try_element_at(s, b).alias("term"),
-        (F.coalesce(F.try_element_at(starts, j + 2), n + 1) - b).cast("long").alias("tf")))
-    return F.when(n > 0, runs).otherwise(
-        F.array().cast("array<struct<term:string,tf:bigint>>"))
+def char_ngrams(col, n_min: int = 3, n_max: int = 5) -> Column:
+    """Character n-grams of a string, all sizes ``n_min..n_max`` (overlapping look-ahead)."""
+    s = F.coalesce(_c(col), F.lit(""))
+    parts = [F.regexp_extract_all(s, F.lit(f"(?s)(?=(.{{{n}}}))"), 1) for n in range(n_min, n_max + 1)]
+    return F.concat(*parts) if len(parts) > 1 else parts[0]
 
 
 def sha256_prefix(col, n: int = 16) -> Column:

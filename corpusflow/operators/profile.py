@@ -347,11 +347,12 @@ def artifact_scan(df: DataFrame, text_col: str = "transcription", id_col: str =
 
 
 def artifact_switches(df: DataFrame, text_col: str = "transcription"):
-    """(remove_date_labels, remove_phones) as boolean scalar subqueries: true when
-    the corpus has any date-label / phone hit.  Lazy: no driver round trip."""
+    """(remove_date_labels, remove_phones) as boolean Columns over one scalar
+    subquery: true when the corpus has any date-label / phone hit.  Lazy: no
+    driver round trip, one pass for both switches."""
     base = df.filter(F.col(text_col).isNotNull())
-    dates = base.select(F.coalesce(F.max(tx.artifact_hits(F.col(text_col), "date_labels") > 0),
-                                   F.lit(False))).scalar()
-    phones = base.select(F.coalesce(F.max(tx.artifact_hits(F.col(text_col), "phone_numbers") > 0),
-                                    F.lit(False))).scalar()
-    return dates, phones
+    one = base.select(F.struct(
+        F.coalesce(F.max(tx.artifact_hits(F.col(text_col), "date_labels") > 0), F.lit(False)).alias("dates"),
+        F.coalesce(F.max(tx.artifact_hits(F.col(text_col), "phone_numbers") > 0), F.lit(False)).alias("phones"),
+    )).scalar()
+    return one["dates"], one["phones"]

@@ -564,3 +564,183 @@ s AS (
   UNION ALL SELECT 'low_confidence_1h', date_trunc('hour', ts), '',
          avg(CASE WHEN confidence < 0.7 THEN 1.0 ELSE 0.0 END) FROM predictions GROUP BY 2)
 SELECT series, strftime(start, '%Y-%m-%d %H:%M:%S') AS start, key, round(value, 6) AS value FROM s""")
+
+
+# --- features --------------------------------------------------------------------------
+
+from corpusflow.functions import stopwords  # noqa: E402
+from corpusflow.operators import features as fe  # noqa: E402
+
+STOPS = S.str_list(sorted(set(stopwords.english())))
+
+
+def _nc_switch(col: str) -> str:
+    return ("CASE WHEN sw.dates AND sw.phones THEN " + S.normalize_conservative(col, True, True)
+            + " WHEN sw.dates THEN " + S.normalize_conservative(col, True, False)
+            + " WHEN sw.phones THEN " + S.normalize_conservative(col, False, True)
+            + " ELSE " + S.normalize_conservative(col) + " END")
+
+
+DOCS = CLEAN + ", " + _sw + f""",
+docs AS (SELECT doc_id, lang AS label, sample_name, description, transcription,
+                {_nc_switch('transcription')} AS transcription_cleaned,
+                {_nc_switch('description')} AS description_cleaned
+         FROM clean_docs, sw)"""
+
+
+def _terms(src: str, col: str, ngram=(1, 2), stops=True, pattern=tx.TOKEN_PATTERN, prefix="") -> str:
+    """CTEs {prefix}ta, {prefix}terms, {prefix}counts (doc_id, term, tf) over ``src``."""
+    p = prefix
+    toks = f"regexp_extract_all(lower(coalesce({col}, '')), {S.q(pattern)}, 0)"
+    if stops:
+        toks = f"list_filter({toks}, lambda x: NOT list_contains({STOPS}, x))"
+    parts = []
+    for n in range(ngram[0], ngram[1] + 1):
+        if n == 1:
+            parts.append(f"SELECT doc_id, unnest(arr) AS term FROM {p}ta")
+        else:
+            joined = " || ' ' || ".join(f"arr[i + {k}]" for k in range(n))
+            parts.append(f"SELECT doc_id, unnest(list_transform(range(1, len(arr) - {n - 2}), "
+                         f"lambda i: {joined})) AS term FROM {p}ta")
+    return f"""{p}ta AS (SELECT doc_id, {toks} AS arr FROM {src}),
+  {p}terms AS ({' UNION ALL '.join(parts)}),
+  {p}counts AS (SELECT doc_id, term, count(*) AS tf FROM {p}terms GROUP BY ALL)"""
+
+
+def _char_terms(src: str, col: str, lo=3, hi=5, prefix="") -> str:
+    p = prefix
+    s = S.collapse_ws(f"coalesce({col}, '')")
+    parts = " UNION ALL ".join(
+        f"SELECT doc_id, unnest(list_transform(range(1, length(s) - {n} + 2), lambda i: substr(s, i, {n}))) AS term "
+        f"FROM {p}ta" for n in range(lo, hi + 1))
+    return f"""{p}ta AS (SELECT doc_id, {s} AS s FROM {src}),
+  {p}terms AS ({parts}),
+  {p}counts AS (SELECT doc_id, term, count(*) AS tf FROM {p}terms GROUP BY ALL)"""
+
+
+def _vocab(n_src: str, min_df=2, max_df=0.95, max_features=5000, prefix="") -> str:
+    p = prefix
+    hi = f"{max_df}::DOUBLE * {p}nd.n" if isinstance(max_df, float) else str(max_df)
+    return f"""{p}nd AS (SELECT count(*) AS n FROM {n_src}),
+  {p}vs AS (SELECT term, count(*) AS df, sum(tf) AS cf FROM {p}counts GROUP BY term),
+  {p}vk AS (SELECT {p}vs.* FROM {p}vs, {p}nd WHERE df >= {min_df} AND df <= {hi}
+            ORDER BY cf DESC, term ASC LIMIT {max_features}),
+  {p}vocab AS (SELECT term, CAST(df AS BIGINT) AS df, CAST(cf AS BIGINT) AS cf,
+                      ln((1.0::DOUBLE + {p}nd.n) / (1.0::DOUBLE + df)) + 1.0 AS idf,
+                      row_number() OVER (ORDER BY term) - 1 AS feature_index FROM {p}vk, {p}nd)"""
+
+
+def _tfidf(prefix="", counts=None) -> str:
+    p = prefix
+    c = counts or f"{p}counts"
+    return f"""{p}w AS (SELECT c.doc_id, c.term, c.tf * v.idf AS w FROM {c} c JOIN {p}vocab v ON c.term = v.term),
+  {p}tfidf AS (SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS value FROM {p}w)"""
+
+
+_LEN = fe.LENGTH_FEATURES
+_CAT = fe.CATEGORY_FEATURES
+
+
+def _dense(src: str, serving=False, index_src="docs") -> str:
+    tc = "CAST(coalesce(length(transcription), 0) AS DOUBLE)"
+    dc = "0.0::DOUBLE" if serving else "CAST(coalesce(length(description), 0) AS DOUBLE)"
+    dw = "0.0::DOUBLE" if serving else f"CAST({S.word_count('description')} AS DOUBLE)"
+    flags = ", ".join(f"CAST(coalesce(contains(lower(transcription), '{w}'), false) AS DOUBLE) AS has_{w}"
+                      for w in tx.SECTION_WORDS)
+    return f"""sidx AS (SELECT label, dense_rank() OVER (ORDER BY label) - 1 AS label_id
+           FROM (SELECT DISTINCT coalesce(sample_name, 'unknown') AS label FROM {index_src})),
+  dense AS (SELECT doc_id, {tc} AS transcription_char_length,
+                   CAST({S.word_count('transcription')} AS DOUBLE) AS transcription_word_count,
+                   {dc} AS description_char_length, {dw} AS description_word_count,
+                   {tc} / ({dc} + 1) AS text_length_ratio,
+                   CAST({S.length_category_code('length(transcription)')} AS DOUBLE) AS text_length_category,
+                   {flags},
+                   CAST(coalesce(sidx.label_id, 0) AS DOUBLE) AS sample_name_encoded
+            FROM {src} LEFT JOIN sidx ON coalesce({src}.sample_name, 'unknown') = sidx.label)"""
+
+
+def _matrix(tfidf="tfidf") -> str:
+    cols = ", ".join(_LEN + _CAT)
+    return f"""dl AS (SELECT doc_id, feature, value FROM (UNPIVOT (SELECT doc_id, {cols} FROM dense)
+                ON {cols} INTO NAME feature VALUE value) WHERE value <> 0),
+  matrix AS (SELECT doc_id, 'tfidf_' || term AS feature, value FROM {tfidf}
+             UNION ALL SELECT doc_id, feature, value FROM dl)"""
+
+
+FEAT = DOCS + ", " + _terms("docs", "transcription_cleaned") + ", " + _vocab("docs") + ", " + _tfidf() \
+    + ", " + _dense("docs") + ", " + _matrix()
+
+PER_DOC = "SELECT doc_id, count(*) AS n_terms, CAST(sum(tf) AS BIGINT) AS n_tokens FROM counts GROUP BY 1"
+MATRIX_SUMMARY = "SELECT doc_id, count(*) AS nnz, round(sum(value), 6) AS total FROM {t} GROUP BY 1"
+FEATURE_SUMMARY = "SELECT feature, count(*) AS nnz, round(sum(value), 6) AS total FROM {t} GROUP BY 1"
+
+oracle("tokens", f"WITH {DOCS}, {_terms('docs', 'transcription_cleaned', (1, 1), stops=False)}\n{PER_DOC}")
+oracle("ngrams_1_2", f"WITH {DOCS}, {_terms('docs', 'transcription_cleaned', (1, 2))}\n{PER_DOC}")
+
+VDOCS = CLEAN + f", vdocs AS (SELECT doc_id, {S.normalize_simple('transcription')} AS t FROM clean_docs)"
+oracle("ngrams_1_3", f"WITH {VDOCS}, {_terms('vdocs', 't', (1, 3), pattern=tx.DEFAULT_TOKEN_PATTERN)}\n{PER_DOC}")
+
+oracle("vocabulary", f"""WITH {DOCS}, {_terms('docs', 'transcription_cleaned')}, {_vocab('docs')}
+SELECT term, df, cf, round(idf, 6) AS idf, feature_index FROM vocab""")
+oracle("tfidf", f"""WITH {DOCS}, {_terms('docs', 'transcription_cleaned')}, {_vocab('docs')}, {_tfidf()}
+SELECT doc_id, term, round(value, 6) AS value FROM tfidf""")
+oracle("tfidf_top_terms", f"""WITH {DOCS}, {_terms('docs', 'transcription_cleaned')}, {_vocab('docs')}, {_tfidf()}
+SELECT term, round(sum(value) / (SELECT count(*) FROM docs), 6) AS mean_value FROM tfidf
+GROUP BY term ORDER BY sum(value) / (SELECT count(*) FROM docs) DESC, term ASC LIMIT 10""")
+
+oracle("count_features", f"""WITH {VDOCS}, {_terms('vdocs', 't', (1, 2), pattern=tx.DEFAULT_TOKEN_PATTERN)},
+  {_vocab('vdocs', 2, 0.95, 2000)},
+  cm AS (SELECT c.doc_id, CAST(c.tf AS DOUBLE) AS value FROM counts c JOIN vocab v ON c.term = v.term)
+{MATRIX_SUMMARY.format(t='cm')}""")
+
+oracle("char_ngrams", f"""WITH {VDOCS}, {_char_terms('vdocs', 't')}, {_vocab('vdocs', 2, 0.95, 1500)}, {_tfidf()}
+{MATRIX_SUMMARY.format(t='tfidf')}""")
+
+oracle("label_encode", f"""WITH {CLEAN}
+SELECT label, dense_rank() OVER (ORDER BY label) - 1 AS label_id
+FROM (SELECT DISTINCT medical_specialty AS label FROM clean_docs WHERE medical_specialty IS NOT NULL)""")
+
+oracle("category_encode", f"""WITH {S.RAW_DOCS},
+idx AS (SELECT label, dense_rank() OVER (ORDER BY label) - 1 AS label_id
+        FROM (SELECT DISTINCT coalesce(sample_name, 'unknown') AS label FROM raw_docs))
+SELECT doc_id, coalesce(idx.label_id, 0) AS sample_name_encoded
+FROM raw_docs LEFT JOIN idx ON coalesce(raw_docs.sample_name, 'unknown') = idx.label""")
+
+oracle("feature_matrix", f"WITH {FEAT}\n{FEATURE_SUMMARY.format(t='matrix')}")
+
+oracle("minmax_scale", f"""WITH {FEAT},
+mm AS (SELECT feature, count(*) AS nnz, min(value) AS mn, max(value) AS mx FROM matrix GROUP BY 1),
+st AS (SELECT feature,
+              CASE WHEN nnz < (SELECT count(*) FROM docs) THEN least(mn, 0.0) ELSE mn END AS mn,
+              CASE WHEN nnz < (SELECT count(*) FROM docs) THEN greatest(mx, 0.0) ELSE mx END AS mx FROM mm),
+sc AS (SELECT m.doc_id, m.feature,
+              (m.value - st.mn) / CASE WHEN st.mx - st.mn = 0 THEN 1.0 ELSE st.mx - st.mn END AS value
+       FROM matrix m JOIN st ON m.feature = st.feature),
+nz AS (SELECT * FROM sc WHERE value <> 0)
+{FEATURE_SUMMARY.format(t='nz')}""")
+
+oracle("standard_scale", f"""WITH {FEAT}
+SELECT doc_id, """ + ", ".join(
+    f"round(({c} - avg({c}) OVER ()) / CASE WHEN stddev_pop({c}) OVER () = 0 THEN 1.0 "
+    f"ELSE stddev_pop({c}) OVER () END, 6) AS {c}" for c in _LEN) + " FROM dense")
+
+oracle("matrix_stats", f"""WITH {FEAT},
+ms_nd AS (SELECT (SELECT count(*) FROM docs) AS n, (SELECT count(*) FROM vocab) + {len(_LEN + _CAT)} AS d),
+ms_s AS (SELECT count(*) AS nnz, sum(value) AS s, min(value) AS mn, max(value) AS mx FROM matrix)
+SELECT CAST(n AS BIGINT) AS n_docs, CAST(d AS BIGINT) AS n_features, nnz,
+       round(100.0::DOUBLE * (1.0 - nnz / (n * d)), 6) AS sparsity_pct,
+       round(100.0::DOUBLE * nnz / (n * d), 6) AS density_pct,
+       round(CASE WHEN nnz < n * d THEN least(mn, 0.0) ELSE mn END, 6) AS min,
+       round(CASE WHEN nnz < n * d THEN greatest(mx, 0.0) ELSE mx END, 6) AS max,
+       round(s / (n * d), 6) AS mean
+FROM ms_nd, ms_s""")
+
+_new = f"""new AS (SELECT item_id AS doc_id, CAST(NULL AS VARCHAR) AS sample_name, CAST(NULL AS VARCHAR) AS description,
+                {S.clean_text('text')} AS transcription FROM benchmark),
+  new2 AS (SELECT *, {S.normalize_conservative('transcription')} AS transcription_cleaned FROM new)"""
+oracle("transform_new", f"""WITH {DOCS}, {_terms('docs', 'transcription_cleaned')}, {_vocab('docs')}, {_new},
+  {_terms('new2', 'transcription_cleaned', prefix='n_')}, {_tfidf(counts='n_counts')},
+  {_dense('new2', serving=True, index_src='docs')}, {_matrix()}
+{MATRIX_SUMMARY.format(t='matrix')}""")
+
+oracle("feature_pipeline", f"WITH {FEAT}\n{MATRIX_SUMMARY.format(t='matrix')}")

@@ -430,3 +430,156 @@ def q_alert_windows(spark, sf):
 @query("dashboard_series")
 def q_dashboard_series(spark, sf):
     return mon.dashboard_series(_req(spark, sf), _pred(spark, sf))
+
+
+# --- features ------------------------------------------------------------------
+
+from corpusflow.operators import features as fe  # noqa: E402
+from corpusflow.plans import pipeline as pl  # noqa: E402
+
+
+def _docs(spark, sf):
+    return pl.prepare_docs(_clean(spark, sf))
+
+
+def _features(spark, sf, **kw):
+    return pl.build_features(_docs(spark, sf), **kw)
+
+
+def _per_doc(counts):
+    return counts.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_terms"),
+                                        F.sum("tf").cast("long").alias("n_tokens"))
+
+
+@query("tokens")
+def q_tokens(spark, sf):
+    return _per_doc(fe.term_counts(_docs(spark, sf), "transcription_cleaned", ngram=(1, 1)))
+
+
+@query("ngrams_1_2")
+def q_ngrams_1_2(spark, sf):
+    return _per_doc(fe.term_counts(_docs(spark, sf), "transcription_cleaned", ngram=(1, 2),
+                                   stop_words=fe.english_stop_words()))
+
+
+def _variant_docs(spark, sf):
+    d = _clean(spark, sf)
+    return d.select("doc_id", tx.normalize_simple(F.col("transcription")).alias("t"))
+
+
+@query("ngrams_1_3")
+def q_ngrams_1_3(spark, sf):
+    return _per_doc(fe.term_counts(_variant_docs(spark, sf), "t", ngram=(1, 3),
+                                   stop_words=fe.english_stop_words(), pattern=tx.DEFAULT_TOKEN_PATTERN))
+
+
+@query("vocabulary")
+def q_vocabulary(spark, sf):
+    f = _features(spark, sf)
+    return f.vocab.select("term", "df", "cf", F.round("idf", 6).alias("idf"), "feature_index")
+
+
+@query("tfidf")
+def q_tfidf(spark, sf):
+    f = _features(spark, sf)
+    return f.tfidf.select("doc_id", "term", F.round("value", 6).alias("value"))
+
+
+@query("tfidf_top_terms")
+def q_tfidf_top_terms(spark, sf):
+    f = _features(spark, sf)
+    return fe.top_terms_by_mean(f.tfidf, f.n_docs, 10).select("term", F.round("mean_value", 6).alias("mean_value"))
+
+
+def _variant_counts(spark, sf, ngram, min_df, max_df, max_features, analyzer="word"):
+    d = _variant_docs(spark, sf)
+    stops = fe.english_stop_words() if analyzer == "word" else None
+    counts = fe.term_counts(d, "t", ngram=ngram, stop_words=stops, pattern=tx.DEFAULT_TOKEN_PATTERN,
+                            analyzer=analyzer)
+    n = d.select(F.count(F.lit(1))).scalar()
+    vocab = fe.vocabulary(counts, n, min_df, max_df, max_features)
+    return counts, vocab, n
+
+
+def _matrix_summary(values):
+    return values.groupBy("doc_id").agg(F.count(F.lit(1)).alias("nnz"),
+                                        F.round(F.sum("value"), 6).alias("total"))
+
+
+@query("count_features")
+def q_count_features(spark, sf):
+    counts, vocab, _ = _variant_counts(spark, sf, (1, 2), 2, 0.95, 2000)
+    return _matrix_summary(fe.count_matrix(counts, vocab))
+
+
+@query("char_ngrams")
+def q_char_ngrams(spark, sf):
+    counts, vocab, _ = _variant_counts(spark, sf, (3, 5), 2, 0.95, 1500, analyzer="char")
+    return _matrix_summary(fe.tfidf(counts, vocab))
+
+
+@query("label_encode")
+def q_label_encode(spark, sf):
+    return fe.label_index(_clean(spark, sf), "medical_specialty")
+
+
+@query("category_encode")
+def q_category_encode(spark, sf):
+    d = _raw(spark, sf)
+    idx = fe.label_index(d, "sample_name", null_as="unknown")
+    return fe.encode(d.select("doc_id", "sample_name"), "sample_name", idx, "sample_name_encoded",
+                     null_as="unknown", unseen=0).select("doc_id", "sample_name_encoded")
+
+
+def _feature_summary(matrix):
+    return matrix.groupBy("feature").agg(F.count(F.lit(1)).alias("nnz"),
+                                         F.round(F.sum("value"), 6).alias("total"))
+
+
+@query("feature_matrix")
+def q_feature_matrix(spark, sf):
+    return _feature_summary(_features(spark, sf).matrix)
+
+
+@query("minmax_scale")
+def q_minmax_scale(spark, sf):
+    f = _features(spark, sf)
+    st = fe.minmax_stats(f.matrix, f.n_docs)
+    return _feature_summary(fe.minmax_scale(f.matrix, st))
+
+
+@query("standard_scale")
+def q_standard_scale(spark, sf):
+    f = _features(spark, sf)
+    cols = fe.LENGTH_FEATURES
+    s = fe.standard_scale(f.dense.select("doc_id", *cols), cols)
+    return s.select("doc_id", *[F.round(c, 6).alias(c) for c in cols])
+
+
+@query("matrix_stats")
+def q_matrix_stats(spark, sf):
+    f = _features(spark, sf)
+    s = fe.matrix_stats(f.matrix, f.n_docs, f.n_features)
+    return s.select("n_docs", "n_features", "nnz", *[F.round(c, 6).alias(c) for c in
+                                                     ("sparsity_pct", "density_pct", "min", "max", "mean")])
+
+
+@query("transform_new")
+def q_transform_new(spark, sf):
+    f = _features(spark, sf)
+    bench = read_table(spark, sf, "benchmark")
+    new = bench.select(F.col("item_id").alias("doc_id"), F.lit(None).cast("string").alias("sample_name"),
+                       F.lit(None).cast("string").alias("description"),
+                       tx.clean_text(F.col("text")).alias("transcription"))
+    new = new.withColumn("transcription_cleaned", tx.normalize_conservative(F.col("transcription")))
+    counts = fe.term_counts(new, "transcription_cleaned", ngram=(1, 2), stop_words=fe.english_stop_words())
+    t = fe.tfidf(counts, f.vocab)
+    sample_index = fe.label_index(f.docs, "sample_name", null_as="unknown")
+    dense = fe.dense_features(new, sample_index, serving=True)
+    return _matrix_summary(fe.feature_matrix(t, dense))
+
+
+@query("feature_pipeline")
+def q_feature_pipeline(spark, sf):
+    f = _features(spark, sf)
+    return _matrix_summary(f.matrix)
