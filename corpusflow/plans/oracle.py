@@ -744,3 +744,172 @@ oracle("transform_new", f"""WITH {DOCS}, {_terms('docs', 'transcription_cleaned'
 {MATRIX_SUMMARY.format(t='matrix')}""")
 
 oracle("feature_pipeline", f"WITH {FEAT}\n{MATRIX_SUMMARY.format(t='matrix')}")
+
+
+# --- selection and models ------------------------------------------------------------
+
+LAB = FEAT + """,
+  lidx AS (SELECT label, dense_rank() OVER (ORDER BY label) - 1 AS class_id
+           FROM (SELECT DISTINCT label FROM docs WHERE label IS NOT NULL)),
+  labels AS (SELECT d.doc_id, d.label, lidx.class_id FROM docs d LEFT JOIN lidx ON d.label = lidx.label),
+  sizes AS (SELECT class_id, count(*) AS n_c FROM labels GROUP BY 1),
+  nk AS (SELECT sum(n_c) AS n, count(*) AS k FROM sizes),
+  cfs AS (SELECT m.feature, l.class_id, count(*) AS a, sum(m.value) AS s1, sum(m.value * m.value) AS s2
+          FROM matrix m JOIN labels l ON m.doc_id = l.doc_id GROUP BY ALL)"""
+
+FSC = """fsc AS (
+  SELECT feature, CASE WHEN ((s2 - s1 * s1 / n) - (br - s1 * s1 / n)) / (n - k) > 0
+                       THEN ((br - s1 * s1 / n) / (k - 1)) / (((s2 - s1 * s1 / n) - (br - s1 * s1 / n)) / (n - k))
+                  END AS score
+  FROM (SELECT c.feature, sum(c.s1) AS s1, sum(c.s2) AS s2, sum(c.s1 * c.s1 / s.n_c) AS br
+        FROM cfs c JOIN sizes s ON c.class_id = s.class_id GROUP BY 1), nk)"""
+
+MIS = """mi_df AS (SELECT feature, sum(a) AS df, sum(n_c) AS npc FROM cfs JOIN sizes USING (class_id) GROUP BY 1),
+  mis AS (
+  SELECT c.feature,
+         sum(CASE WHEN c.a > 0 THEN (c.a / nk.n) * ln((c.a / nk.n) / ((m.df / nk.n) * (s.n_c / nk.n))) ELSE 0 END
+           + CASE WHEN s.n_c - c.a > 0 THEN ((s.n_c - c.a) / nk.n)
+                  * ln(((s.n_c - c.a) / nk.n) / ((1.0 - m.df / nk.n) * (s.n_c / nk.n))) ELSE 0 END)
+         + max(CASE WHEN (nk.n - m.npc) > 0 AND (1.0 - m.df / nk.n) > 0
+                    THEN ((nk.n - m.npc) / nk.n) * ln(1.0 / (1.0 - m.df / nk.n)) ELSE 0 END) AS score
+  FROM cfs c JOIN sizes s ON c.class_id = s.class_id JOIN mi_df m ON c.feature = m.feature, nk
+  GROUP BY c.feature)"""
+
+VAR = """fv AS (SELECT feature, CASE WHEN feature LIKE 'tfidf\\_%' ESCAPE '\\' THEN 'tfidf'
+                            WHEN feature IN (""" + ", ".join(S.q(x) for x in _LEN) + """) THEN 'length'
+                            ELSE 'other' END AS kind,
+              greatest(s2 / (SELECT count(*) FROM docs) - (s1 / (SELECT count(*) FROM docs)) ** 2, 0.0) AS variance
+       FROM (SELECT feature, sum(value) AS s1, sum(value * value) AS s2 FROM matrix GROUP BY 1))"""
+
+oracle("feature_variance", f"""WITH {FEAT}, {VAR}
+SELECT coalesce(kind, 'all') AS kind, count(*) AS n_features,
+       CAST(sum(CASE WHEN variance < 0.01 THEN 1 ELSE 0 END) AS BIGINT) AS n_low_variance,
+       round(min(variance), 9) AS min_variance, round(max(variance), 9) AS max_variance,
+       round(avg(variance), 9) AS mean_variance, round(quantile_cont(variance, 0.5), 9) AS median_variance
+FROM fv GROUP BY ROLLUP (kind)""")
+
+oracle("drop_constant_features", f"""WITH {FEAT},
+mm AS (SELECT feature, count(*) AS nnz, min(value) AS mn, max(value) AS mx FROM matrix GROUP BY 1)
+SELECT feature, nnz FROM mm WHERE NOT (nnz = (SELECT count(*) FROM docs) AND mn = mx)""")
+
+oracle("f_score", f"WITH {LAB}, {FSC}\nSELECT feature, round(score, 6) AS score FROM fsc")
+
+oracle("chi2_score", f"""WITH {LAB},
+ch AS (SELECT c.feature, sum(c.s1) AS t, sum(c.s1 * c.s1 / (s.n_c / nk.n)) AS q
+       FROM cfs c JOIN sizes s ON c.class_id = s.class_id, nk GROUP BY 1)
+SELECT feature, round(CASE WHEN t > 0 THEN q / t - t END, 6) AS score FROM ch""")
+
+oracle("mutual_info", f"WITH {LAB}, {MIS}\nSELECT feature, round(score, 6) AS score FROM mis")
+
+oracle("select_k_best", f"""WITH {LAB}, {FSC}
+SELECT feature, round(score, 6) AS score FROM fsc WHERE score IS NOT NULL
+ORDER BY fsc.score DESC, feature ASC LIMIT 500""")
+
+oracle("selector_overlap", f"""WITH {LAB}, {FSC}, {MIS},
+sel_a AS (SELECT feature FROM fsc WHERE score IS NOT NULL ORDER BY score DESC, feature LIMIT 100),
+sel_b AS (SELECT feature FROM mis WHERE score IS NOT NULL ORDER BY score DESC, feature LIMIT 100)
+SELECT count(*) AS shared, 100 AS k, count(*) / 100.0::DOUBLE AS agreement FROM sel_a JOIN sel_b USING (feature)""")
+
+_DIM = """dim AS (SELECT (SELECT count(*) FROM docs) AS n_samples,
+                    (SELECT count(*) FROM vocab) + """ + str(len(_LEN + _CAT)) + """ AS n_features,
+                    (SELECT count(DISTINCT class_id) FROM labels) AS n_classes)"""
+oracle("dimensionality", f"""WITH {LAB}, {_DIM}
+SELECT n_samples, n_features, round(n_samples / n_features, 6) AS samples_per_feature, n_classes,
+       CASE WHEN n_features > n_samples THEN 'HIGH' WHEN n_features > 0.5 * n_samples THEN 'MEDIUM' ELSE 'OK' END
+         AS risk FROM dim""")
+
+oracle("model_advice", f"""WITH {LAB}, {_DIM},
+ms AS (SELECT count(*) AS nnz, min(value) AS mn, max(value) AS mx FROM matrix),
+st AS (SELECT CASE WHEN nnz < n_samples * n_features THEN least(mn, 0.0) ELSE mn END AS mn,
+              CASE WHEN nnz < n_samples * n_features THEN greatest(mx, 0.0) ELSE mx END AS mx,
+              100.0 * nnz / (n_samples * n_features) AS density FROM ms, dim),
+r AS (
+  SELECT 0 AS "order", 'HIGH_DIMENSIONAL' AS rule, 'regularised linear models or naive Bayes' AS advice,
+         n_features > n_samples AS fires FROM dim
+  UNION ALL SELECT 1, 'MANY_FEATURES', 'feature selection before distance-based models', n_features > 1000 FROM dim
+  UNION ALL SELECT 2, 'MANY_CLASSES', 'models with native multi-class support', n_classes > 10 FROM dim
+  UNION ALL SELECT 3, 'UNIT_RANGE', 'multinomial naive Bayes works on these values', mn >= 0 AND mx <= 1 FROM st
+  UNION ALL SELECT 4, 'SMALL_SAMPLE', 'simple models and cross-validation', n_samples < 5000 FROM dim
+  UNION ALL SELECT 5, 'SPARSE', 'sparse-aware models (naive Bayes, linear)', density < 10 FROM st)
+SELECT CAST("order" AS INTEGER) AS "order", rule, advice FROM r WHERE fires""")
+
+oracle("selection_advice", f"""WITH {LAB}, {VAR}, {_DIM},
+c AS (SELECT sum(CASE WHEN variance = 0 THEN 1 ELSE 0 END) AS zero,
+             sum(CASE WHEN variance < 0.01 THEN 1 ELSE 0 END) AS low FROM fv)
+SELECT CAST("order" AS INTEGER) AS "order", strategy, CAST(n_features AS BIGINT) AS n_features FROM (
+  SELECT 1 AS "order", 'REMOVE_CONSTANT' AS strategy, zero AS n_features FROM c WHERE zero > 0
+  UNION ALL SELECT 2, 'REMOVE_LOW_VARIANCE', low FROM c WHERE low > 0
+  UNION ALL SELECT 4, 'UNIVARIATE_SELECTION', n_features FROM dim WHERE n_features > 1000)""")
+
+SPLIT = """ranked AS (SELECT doc_id, class_id,
+                     row_number() OVER (PARTITION BY class_id ORDER BY md5(CAST(doc_id AS VARCHAR) || '|42'), doc_id)
+                       AS rank,
+                     count(*) OVER (PARTITION BY class_id) AS n_c FROM labels),
+  sp AS (SELECT doc_id, class_id, rank <= ceil(0.2::DOUBLE * n_c) AS is_test FROM ranked)"""
+oracle("split_holdout", f"WITH {LAB}, {SPLIT}\nSELECT doc_id, class_id, is_test FROM sp")
+oracle("kfold_assign", f"WITH {LAB}, {SPLIT}\nSELECT doc_id, class_id, CAST((rank - 1) % 3 AS INTEGER) AS fold FROM ranked")
+
+NB = LAB + ", " + SPLIT + f""",
+  train AS (SELECT doc_id, class_id FROM sp WHERE NOT is_test),
+  test AS (SELECT doc_id, class_id FROM sp WHERE is_test),
+  dd AS (SELECT (SELECT count(*) FROM vocab) + {len(_LEN + _CAT)} AS d),
+  tsz AS (SELECT class_id, count(*) AS n_c FROM train GROUP BY 1),
+  tn AS (SELECT sum(n_c) AS n, count(*) AS k FROM tsz),
+  nfc AS (SELECT m.feature, t.class_id, sum(m.value) AS nfc FROM matrix m JOIN train t ON m.doc_id = t.doc_id
+          GROUP BY ALL),
+  ncl AS (SELECT tsz.class_id, tsz.n_c, coalesce(x.nc_sum, 0.0) AS big_n
+          FROM tsz LEFT JOIN (SELECT class_id, sum(nfc) AS nc_sum FROM nfc GROUP BY 1) x ON tsz.class_id = x.class_id),
+  tm AS (SELECT m.* FROM matrix m SEMI JOIN test t ON m.doc_id = t.doc_id),
+  tf AS (SELECT feature, sum(nfc) AS t_f FROM nfc GROUP BY 1),
+  tot AS (SELECT sum(t_f) AS t FROM tf)"""
+
+
+def _nb_pred(weight: str, prior: str) -> str:
+    return f"""th AS (SELECT f.feature, c.class_id, {weight} AS w
+             FROM (SELECT DISTINCT feature FROM tm) f CROSS JOIN ncl c
+             LEFT JOIN nfc n ON n.feature = f.feature AND n.class_id = c.class_id
+             LEFT JOIN tf ON tf.feature = f.feature, dd, tot),
+  sc AS (SELECT t.doc_id, t.class_id AS true_c, c.class_id, {prior} + coalesce(sum(tm.value * th.w), 0.0) AS score
+         FROM test t CROSS JOIN ncl c LEFT JOIN tm ON tm.doc_id = t.doc_id
+         LEFT JOIN th ON th.feature = tm.feature AND th.class_id = c.class_id, tn
+         GROUP BY t.doc_id, t.class_id, c.class_id, c.n_c, tn.n, tn.k),
+  sc2 AS (SELECT *, max(score) OVER (PARTITION BY doc_id) AS mx,
+                 row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, class_id ASC) AS r FROM sc),
+  sc3 AS (SELECT *, sum(exp(score - mx)) OVER (PARTITION BY doc_id) AS z FROM sc2),
+  pred AS (SELECT doc_id, true_c AS class_id, class_id AS pred_class_id, 1.0 / z AS confidence FROM sc3 WHERE r = 1)"""
+
+
+MULTI = _nb_pred("ln((coalesce(n.nfc, 0.0) + 1.0) / (c.big_n + 1.0 * dd.d))", "ln(c.n_c / tn.n)")
+COMPL = _nb_pred("-ln((coalesce(tf.t_f, 0.0) - coalesce(n.nfc, 0.0) + 1.0) / (tot.t - c.big_n + 1.0 * dd.d))", "0.0")
+
+oracle("nb_train", f"""WITH {NB},
+cls AS (SELECT class_id, ln(n_c / tn.n) AS base, ln(1.0) - ln(big_n + 1.0 * dd.d) AS slope FROM ncl, tn, dd),
+nb_dl AS (SELECT class_id, count(*) AS n_deltas, sum(ln(nfc + 1.0) - ln(1.0)) AS sum_delta FROM nfc GROUP BY 1)
+SELECT cls.class_id, round(base, 6) AS base, round(slope, 6) AS slope, n_deltas, round(sum_delta, 6) AS sum_delta
+FROM cls LEFT JOIN nb_dl ON cls.class_id = nb_dl.class_id""")
+
+oracle("nb_predict", f"WITH {NB}, {MULTI}\nSELECT doc_id, class_id, pred_class_id, round(confidence, 6) AS confidence FROM pred")
+oracle("complement_nb", f"WITH {NB}, {COMPL}\nSELECT doc_id, class_id, pred_class_id, round(confidence, 6) AS confidence FROM pred")
+
+oracle("confusion_matrix", f"""WITH {NB}, {MULTI}
+SELECT class_id AS label, pred_class_id AS predicted, count(*) AS n FROM pred GROUP BY ALL""")
+
+oracle("classification_report", f"""WITH {NB}, {MULTI},
+cm AS (SELECT class_id AS label, pred_class_id AS predicted, count(*) AS n FROM pred GROUP BY ALL),
+cl AS (SELECT label AS c FROM cm UNION SELECT predicted FROM cm),
+per AS (SELECT cl.c,
+               coalesce((SELECT sum(n) FROM cm WHERE label = cl.c AND predicted = cl.c), 0) AS tp,
+               coalesce((SELECT sum(n) FROM cm WHERE label = cl.c), 0) AS support,
+               coalesce((SELECT sum(n) FROM cm WHERE predicted = cl.c), 0) AS predicted_n FROM cl),
+cr AS (SELECT c, tp, support,
+              CASE WHEN predicted_n > 0 THEN tp / predicted_n ELSE 0.0 END AS precision,
+              CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall FROM per),
+f AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1
+      FROM cr),
+t AS (SELECT sum(support) AS n, sum(tp) AS tp, avg(precision) AS mp, avg(recall) AS mr, avg(f1) AS mf,
+             sum(precision * support) AS wp, sum(recall * support) AS wr, sum(f1 * support) AS wf FROM f)
+SELECT CAST(c AS VARCHAR) AS class, round(precision, 6) AS precision, round(recall, 6) AS recall,
+       round(f1, 6) AS f1, CAST(support AS BIGINT) AS support FROM f
+UNION ALL SELECT 'accuracy', round(tp / n, 6), round(tp / n, 6), round(tp / n, 6), CAST(n AS BIGINT) FROM t
+UNION ALL SELECT 'macro avg', round(mp, 6), round(mr, 6), round(mf, 6), CAST(n AS BIGINT) FROM t
+UNION ALL SELECT 'weighted avg', round(wp / n, 6), round(wr / n, 6), round(wf / n, 6), CAST(n AS BIGINT) FROM t""")

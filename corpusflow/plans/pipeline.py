@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,11 +45,17 @@ def prepare_docs(clean: DataFrame, label_col: str = "lang", data_driven: bool =
 
 def build_features(docs: DataFrame, text_col: str = "transcription_cleaned", max_features: int = 5000,
                    min_df=2, max_df=0.95, ngram=(1, 2), stop_words=None,
-                   fit_on: DataFrame | None = None, persist: bool = False) -> Features:
+                   fit_on: DataFrame | None = None, persist: bool = True) -> Features:
+    """Wire the feature operators.  With ``persist`` (default) the normalised
+    documents, the term counts and the long matrix are persisted
+    (memory and disk): each feeds several aggregates and scalar subqueries, and
+    would otherwise be recomputed from the raw text for every one of them."""
     stops = fe.english_stop_words() if stop_words is None else stop_words
+    if persist:
+        docs = docs.persist(StorageLevel.MEMORY_AND_DISK)
     counts = fe.term_counts(docs, text_col, "doc_id", ngram, stops)
     if persist:
-        counts = counts.persist()
+        counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
     fit_counts = counts if fit_on is None else counts.join(fit_on.select("doc_id"), "doc_id", "left_semi")
     fit_docs = docs if fit_on is None else fit_on
     n_fit = fit_docs.select(F.count(F.lit(1))).scalar()
@@ -57,6 +64,8 @@ def build_features(docs: DataFrame, text_col: str = "transcription_cleaned", max
     sample_index = fe.label_index(docs, "sample_name", null_as="unknown")
     dense = fe.dense_features(docs, sample_index)
     matrix = fe.feature_matrix(tfidf, dense)
+    if persist:
+        matrix = matrix.persist(StorageLevel.MEMORY_AND_DISK)
     class_index = fe.label_index(docs, "label")
     labels = fe.encode(docs.select("doc_id", "label"), "label", class_index, "class_id")
     n_docs = docs.select(F.count(F.lit(1))).scalar()

@@ -583,3 +583,135 @@ def q_transform_new(spark, sf):
 def q_feature_pipeline(spark, sf):
     f = _features(spark, sf)
     return _matrix_summary(f.matrix)
+
+
+# --- feature analysis and selection ----------------------------------------------
+
+from corpusflow.operators import models as md  # noqa: E402
+from corpusflow.operators import selection as se  # noqa: E402
+
+
+def _r6(df, cols):
+    return df.select(*[F.round(c, 6).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+@query("feature_variance")
+def q_feature_variance(spark, sf):
+    f = _features(spark, sf)
+    return se.variance_report(se.feature_variance(f.matrix, f.n_docs))
+
+
+@query("drop_constant_features")
+def q_drop_constant_features(spark, sf):
+    f = _features(spark, sf)
+    kept = se.drop_constant_features(f.matrix, f.n_docs)
+    return kept.groupBy("feature").agg(F.count(F.lit(1)).alias("nnz"))
+
+
+@query("f_score")
+def q_f_score(spark, sf):
+    f = _features(spark, sf)
+    return _r6(se.f_score(f.matrix, f.labels), ["score"])
+
+
+@query("chi2_score")
+def q_chi2_score(spark, sf):
+    f = _features(spark, sf)
+    return _r6(se.chi2_score(f.matrix, f.labels), ["score"])
+
+
+@query("mutual_info")
+def q_mutual_info(spark, sf):
+    f = _features(spark, sf)
+    return _r6(se.mutual_info(f.matrix, f.labels), ["score"])
+
+
+@query("select_k_best")
+def q_select_k_best(spark, sf):
+    f = _features(spark, sf)
+    return _r6(se.select_k_best(se.f_score(f.matrix, f.labels), 500), ["score"])
+
+
+@query("selector_overlap")
+def q_selector_overlap(spark, sf):
+    f = _features(spark, sf)
+    return se.selector_overlap(se.f_score(f.matrix, f.labels), se.mutual_info(f.matrix, f.labels), 100)
+
+
+@query("dimensionality")
+def q_dimensionality(spark, sf):
+    f = _features(spark, sf)
+    k = f.labels.select(F.countDistinct("class_id")).scalar()
+    return se.dimensionality(f.n_docs, f.n_features, k, spark)
+
+
+@query("model_advice")
+def q_model_advice(spark, sf):
+    f = _features(spark, sf)
+    k = f.labels.select(F.countDistinct("class_id")).scalar()
+    dims = se.dimensionality(f.n_docs, f.n_features, k, spark)
+    return se.model_advice(dims, fe.matrix_stats(f.matrix, f.n_docs, f.n_features))
+
+
+@query("selection_advice")
+def q_selection_advice(spark, sf):
+    f = _features(spark, sf)
+    return se.selection_advice(se.feature_variance(f.matrix, f.n_docs), f.n_features)
+
+
+# --- models ------------------------------------------------------------------------
+
+@query("split_holdout")
+def q_split_holdout(spark, sf):
+    f = _features(spark, sf)
+    return md.split_holdout(f.labels)
+
+
+@query("kfold_assign")
+def q_kfold_assign(spark, sf):
+    f = _features(spark, sf)
+    return md.kfold_assign(f.labels, 3)
+
+
+def _nb_holdout(spark, sf, complement=False, alpha=1.0):
+    f = _features(spark, sf)
+    split = md.split_holdout(f.labels)
+    train = split.filter(~F.col("is_test")).select("doc_id", "class_id")
+    test = split.filter(F.col("is_test")).select("doc_id", "class_id")
+    model = md.nb_fit(f.matrix.join(train, "doc_id", "left_semi"), train, alpha=alpha,
+                      complement=complement, n_features=f.n_features)
+    pred = md.nb_predict(model, f.matrix.join(test, "doc_id", "left_semi"), test)
+    return f, model, pred.join(test, "doc_id")
+
+
+@query("nb_train")
+def q_nb_train(spark, sf):
+    _, model, _ = _nb_holdout(spark, sf)
+    per = model.deltas.groupBy("class_id").agg(F.count(F.lit(1)).alias("n_deltas"),
+                                               F.sum("delta").alias("sum_delta"))
+    out = model.classes.join(per, "class_id", "left")
+    return _r6(out, ["base", "slope", "sum_delta"])
+
+
+@query("nb_predict")
+def q_nb_predict(spark, sf):
+    _, _, pred = _nb_holdout(spark, sf)
+    return _r6(pred.select("doc_id", "class_id", "pred_class_id", "confidence"), ["confidence"])
+
+
+@query("complement_nb")
+def q_complement_nb(spark, sf):
+    _, _, pred = _nb_holdout(spark, sf, complement=True)
+    return _r6(pred.select("doc_id", "class_id", "pred_class_id", "confidence"), ["confidence"])
+
+
+@query("classification_report")
+def q_classification_report(spark, sf):
+    _, _, pred = _nb_holdout(spark, sf)
+    return md.classification_report(pred)
+
+
+@query("confusion_matrix")
+def q_confusion_matrix(spark, sf):
+    _, _, pred = _nb_holdout(spark, sf)
+    return md.confusion_matrix(pred)
