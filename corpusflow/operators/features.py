@@ -42,11 +42,15 @@ def term_arrays(df: DataFrame, text_col: str, id_col: str = "doc_id", ngram=(1,
     n-grams), so the whole step stays in the JVM without per-element lambdas.
     """
     if analyzer == "char":
-        terms = tx.char_ngrams(tx.collapse_ws(F.col(text_col)), ngram[0], ngram[1])
+        base = df.select(F.col(id_col).alias("doc_id"), tx.collapse_ws(F.col(text_col)).alias("j"))
+        terms = tx.char_ngrams(F.col("j"), ngram[0], ngram[1])
     else:
-        joined = tx.joined_tokens(F.col(text_col), pattern, stop_words)
-        terms = tx.word_ngrams_from_joined(joined, ngram[0], ngram[1])
-    return df.select(F.col(id_col).alias("doc_id"), terms.alias("terms"))
+        base = df.select(F.col(id_col).alias("doc_id"),
+                         tx.joined_tokens(F.col(text_col), pattern, stop_words).alias("j"))
+        terms = tx.word_ngrams_from_joined(F.col("j"), ngram[0], ngram[1])
+    # ``j`` is its own column (used by several n-gram sizes), so the text
+    # chain above it runs once per document.
+    return base.select("doc_id", terms.alias("terms"))
 
 
 def term_counts(df: DataFrame, text_col: str, id_col: str = "doc_id", ngram=(1, 2),
@@ -58,7 +62,11 @@ def term_counts(df: DataFrame, text_col: str, id_col: str = "doc_id", ngram=(1,
     one row), so only distinct (doc, term) pairs are shuffled.
     """
     arrs = term_arrays(df, text_col, id_col, ngram, stop_words, pattern, analyzer)
-    return (arrs.select("doc_id", F.explode("terms").alias("term"))
+    # explode_outer + a filter on the generated column: a plain explode makes the
+    # optimizer infer ``size(terms) > 0`` and push it below the text pipeline,
+    # which would run the whole regex chain a second time inside the scan.
+    return (arrs.select("doc_id", F.explode_outer("terms").alias("term"))
+            .filter(F.col("term").isNotNull())
             .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf")))
 
 

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -93,7 +94,10 @@ def nb_fit(matrix: DataFrame, labels: DataFrame, alpha: float = 1.0, fit_prior:
     k = sizes.select(F.count(F.lit(1))).scalar()
     n = sizes.select(F.sum("n_c")).scalar()
     d = n_features if n_features is not None else matrix.select(F.countDistinct("feature")).scalar()
-    nfc = matrix.join(lab, "doc_id").groupBy("feature", "class_id").agg(F.sum("value").alias("nfc"))
+    # (feature, class) sums: bounded by features x classes, reused by every model
+    # table and scalar below, so persisted once.
+    nfc = matrix.join(lab, "doc_id").groupBy("feature", "class_id").agg(F.sum("value").alias("nfc")) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
     nc = nfc.groupBy("class_id").agg(F.sum("nfc").alias("mass_c"))
     cls = sizes.join(nc, "class_id", "left").select("class_id", "n_c",
                                                     F.coalesce("mass_c", F.lit(0.0)).alias("mass_c"))
@@ -171,15 +175,18 @@ def confusion_matrix(pred: DataFrame, label_col: str = "class_id", pred_col: str
 def classification_report(pred: DataFrame, label_col: str = "class_id",
                           pred_col: str = "pred_class_id") -> DataFrame:
     """Precision, recall, F1, support per class, plus accuracy, macro and weighted rows
-    (zero division -> 0)."""
-    cm = confusion_matrix(pred, label_col, pred_col)
-    tp = cm.filter(F.col("label") == F.col("predicted")).select(F.col("label").alias("c"), F.col("n").alias("tp"))
-    sup = cm.groupBy(F.col("label").alias("c")).agg(F.sum("n").alias("support"))
-    pc = cm.groupBy(F.col("predicted").alias("c")).agg(F.sum("n").alias("predicted_n"))
-    per = sup.join(pc, "c", "full").join(tp, "c", "left").select(
-        F.col("c").cast("string").alias("class"),
-        F.coalesce("tp", F.lit(0)).alias("tp"), F.coalesce("support", F.lit(0)).alias("support"),
-        F.coalesce("predicted_n", F.lit(0)).alias("predicted_n"))
+    (zero division -> 0).  Everything derives from the confusion matrix (k x k
+    rows), which is computed in one pass and cached."""
+    cm = confusion_matrix(pred, label_col, pred_col).persist(StorageLevel.MEMORY_AND_DISK)
+    stats = cm.select(
+        F.explode(F.array(
+            F.struct(F.col("label").alias("c"), F.when(F.col("label") == F.col("predicted"), F.col("n"))
+                     .otherwise(F.lit(0)).alias("tp"), F.col("n").alias("support"), F.lit(0).alias("pn")),
+            F.struct(F.col("predicted").alias("c"), F.lit(0).alias("tp"), F.lit(0).alias("support"),
+                     F.col("n").alias("pn")))).alias("s")).select("s.*")
+    per = stats.groupBy("c").agg(F.sum("tp").alias("tp"), F.sum("support").alias("support"),
+                                 F.sum("pn").alias("predicted_n"))
+    per = per.select(F.col("c").cast("string").alias("class"), "tp", "support", "predicted_n")
     prec = F.when(F.col("predicted_n") > 0, F.col("tp") / F.col("predicted_n")).otherwise(F.lit(0.0))
     rec = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(F.lit(0.0))
     per = per.select("class", prec.alias("precision"), rec.alias("recall"), "support", "tp")

@@ -208,7 +208,8 @@ def _class_words(df: DataFrame, text_col: str, target_col: str, k: int) -> DataF
     return (df.filter(F.col(text_col).isNotNull())
             .join(F.broadcast(top), df[target_col] == top["class"], "left_semi")
             .select(F.col(target_col).alias("class"),
-                    F.explode(tx.whitespace_words(F.col(text_col))).alias("word")))
+                    F.explode_outer(tx.whitespace_words(F.col(text_col))).alias("word"))
+            .filter(F.col("word").isNotNull()))
 
 
 def vocab_richness(df: DataFrame, text_col: str, target_col: str, top_k: int = 5) -> DataFrame:
@@ -350,8 +351,10 @@ def artifact_switches(df: DataFrame, text_col: str = "transcription"):
     """(remove_date_labels, remove_phones) as boolean Columns over one scalar
     subquery: true when the corpus has any date-label / phone hit.  Lazy: no
     driver round trip, one pass for both switches."""
-    base = df.filter(F.col(text_col).isNotNull())
-    one = base.select(F.struct(
+    # No IS NOT NULL filter here: pushed below the projection it would copy
+    # the whole text-cleaning expression into the filter (artifact_hits
+    # already treats null as empty).
+    one = df.select(F.struct(
         F.coalesce(F.max(tx.artifact_hits(F.col(text_col), "date_labels") > 0), F.lit(False)).alias("dates"),
         F.coalesce(F.max(tx.artifact_hits(F.col(text_col), "phone_numbers") > 0), F.lit(False)).alias("phones"),
     )).scalar()

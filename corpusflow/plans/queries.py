@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -675,13 +676,14 @@ def q_kfold_assign(spark, sf):
 
 def _nb_holdout(spark, sf, complement=False, alpha=1.0):
     f = _features(spark, sf)
-    split = md.split_holdout(f.labels)
+    # One row per document, reused by training, scoring and every scalar: persisted.
+    split = md.split_holdout(f.labels).persist(StorageLevel.MEMORY_AND_DISK)
     train = split.filter(~F.col("is_test")).select("doc_id", "class_id")
     test = split.filter(F.col("is_test")).select("doc_id", "class_id")
     model = md.nb_fit(f.matrix.join(train, "doc_id", "left_semi"), train, alpha=alpha,
                       complement=complement, n_features=f.n_features)
     pred = md.nb_predict(model, f.matrix.join(test, "doc_id", "left_semi"), test)
-    return f, model, pred.join(test, "doc_id")
+    return f, model, pred.join(test, "doc_id").persist(StorageLevel.MEMORY_AND_DISK)
 
 
 @query("nb_train")

@@ -9,9 +9,24 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
+# Tables whose rows carry long text: per-row work on them is CPU-heavy (regexes).
+TEXT_TABLES = ("documents", "pages", "conversations", "benchmark")
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan of one table; column pruning and filters reach the scan."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet scan of one table; column pruning and filters reach the scan.
+
+    Text tables are spread to at least twice the default parallelism when the
+    scan yields fewer splits (a small file with one row group is one task,
+    which would run every regex of the corpus on one core).  On a cluster the
+    scan of a large table already has many more splits and nothing is added.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if name in TEXT_TABLES:
+        target = 2 * spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < target:
+            df = df.repartition(target)
+    return df
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
