@@ -1,0 +1,85 @@
+"""MLlib-backed classifiers, importance and PCA over a bounded selected feature set.
+
+The long matrix is turned into one vector per document only for the top-k
+selected features (k bounded, e.g. 100-500): each document's (index, value)
+pairs are gathered per document (at most k entries) and laid out as a dense
+array, then ``array_to_vector``.  Fitting is MLlib's own distributed code.
+"""
+from __future__ import annotations
+
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
+                                       MultilayerPerceptronClassifier, OneVsRest,
+                                       RandomForestClassifier)
+from pyspark.ml.feature import PCA, StandardScaler
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+
+def feature_index(selected: DataFrame) -> DataFrame:
+    """``(feature, idx)`` for a bounded selected set (ordering window on <= k rows)."""
+    return selected.select("feature", (F.row_number().over(Window.orderBy("feature")) - 1).alias("idx"))
+
+
+def assemble(matrix: DataFrame, index: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """``(doc_id, features)``: dense vectors over the k selected features."""
+    pairs = matrix.join(F.broadcast(index), "feature").groupBy("doc_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("idx", "value"))).alias("m"))
+    dense = F.transform(F.sequence(F.lit(0), F.lit(k - 1)),
+                        lambda i: F.coalesce(F.try_element_at(F.col("m"), i), F.lit(0.0)))
+    return docs.join(pairs, "doc_id", "left").select(
+        "doc_id", *[c for c in docs.columns if c != "doc_id"], array_to_vector(dense).alias("features"))
+
+
+ESTIMATORS = {
+    "logreg": lambda: LogisticRegression(regParam=1.0 / 1000, elasticNetParam=0.0, maxIter=100,
+                                         featuresCol="features", labelCol="label"),
+    "linear_svm": lambda: OneVsRest(classifier=LinearSVC(maxIter=50, regParam=0.01),
+                                    featuresCol="features", labelCol="label"),
+    "random_forest": lambda: RandomForestClassifier(numTrees=50, seed=42, featuresCol="features",
+                                                    labelCol="label"),
+    "gbt": lambda: OneVsRest(classifier=GBTClassifier(maxIter=20, seed=42), featuresCol="features",
+                             labelCol="label"),
+}
+
+
+def mlp(k: int, n_classes: int):
+    return MultilayerPerceptronClassifier(layers=[k, 100, 50, n_classes], maxIter=100, seed=42,
+                                          featuresCol="features", labelCol="label")
+
+
+def evaluate(estimator, train: DataFrame, test: DataFrame, name: str, scale: bool = False) -> DataFrame:
+    """Fit on ``train`` (label, features), score ``test``: one row with accuracy."""
+    stages = []
+    if scale:
+        stages.append(StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True))
+        estimator = estimator.copy().setFeaturesCol("scaled") if hasattr(estimator, "setFeaturesCol") \
+            else estimator
+    model = Pipeline(stages=stages + [estimator]).fit(train)
+    pred = model.transform(test)
+    return pred.agg(F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("accuracy"),
+                    F.count(F.lit(1)).alias("n_test")).select(F.lit(name).alias("model"), "accuracy", "n_test")
+
+
+def rf_importance(train: DataFrame, index: DataFrame, num_trees: int = 100) -> DataFrame:
+    """Random-forest importances joined back to feature names, ranked."""
+    model = RandomForestClassifier(numTrees=num_trees, seed=42, featuresCol="features", labelCol="label").fit(train)
+    imp = model.featureImportances.toArray().tolist()   # k values, bounded by the selection
+    spark = train.sparkSession
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(imp)], "idx int, importance double")
+    return index.join(df, "idx").select("feature", "importance",
+                                        F.row_number().over(Window.orderBy(F.desc("importance"), "feature"))
+                                        .alias("rank"))
+
+
+def pca_variance(data: DataFrame, k: int) -> DataFrame:
+    """Standardise, PCA with k components: explained and cumulative variance share."""
+    scaled = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True).fit(data) \
+        .transform(data)
+    model = PCA(k=k, inputCol="scaled", outputCol="pc").fit(scaled)
+    ev = model.explainedVariance.toArray().tolist()
+    spark = data.sparkSession
+    df = spark.createDataFrame([(i + 1, float(v)) for i, v in enumerate(ev)], "component int, explained double")
+    w = Window.orderBy("component").rowsBetween(Window.unboundedPreceding, 0)
+    return df.select("component", "explained", F.sum("explained").over(w).alias("cumulative"))

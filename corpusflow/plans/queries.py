@@ -717,3 +717,72 @@ def q_classification_report(spark, sf):
 def q_confusion_matrix(spark, sf):
     _, _, pred = _nb_holdout(spark, sf)
     return md.confusion_matrix(pred)
+
+
+# --- MLlib-backed models (rows-only checks) -------------------------------------------
+
+from corpusflow.operators import mllib_models as ml  # noqa: E402
+
+K_ML = 100
+
+
+def _ml_data(spark, sf, k=K_ML):
+    f = _features(spark, sf)
+    split = md.split_holdout(f.labels).persist(StorageLevel.MEMORY_AND_DISK)
+    train_ids = split.filter(~F.col("is_test"))
+    # Selection is fit on the training rows only.
+    scores = se.f_score(f.matrix.join(train_ids.select("doc_id"), "doc_id", "left_semi"),
+                        train_ids.select("doc_id", "class_id"))
+    idx = ml.feature_index(se.select_k_best(scores, k).select("feature")).persist()
+    k_real = idx.count()
+    docs = split.select("doc_id", F.col("class_id").cast("double").alias("label"), "is_test")
+    data = ml.assemble(f.matrix, idx, docs, k_real).persist(StorageLevel.MEMORY_AND_DISK)
+    n_classes = f.labels.select(F.countDistinct("class_id")).collect()[0][0]
+    return data.filter(~F.col("is_test")), data.filter(F.col("is_test")), idx, k_real, n_classes
+
+
+def _ml_eval(name, scale=False):
+    def run(spark, sf):
+        train, test, _, k, n_classes = _ml_data(spark, sf)
+        est = ml.mlp(k, n_classes) if name == "mlp" else ml.ESTIMATORS[name]()
+        return ml.evaluate(est, train, test, name, scale)
+    return run
+
+
+QUERIES["logreg_eval"] = _ml_eval("logreg")
+QUERIES["linear_svm_eval"] = _ml_eval("linear_svm")
+QUERIES["rf_eval"] = _ml_eval("random_forest")
+QUERIES["gbt_eval"] = _ml_eval("gbt")
+QUERIES["mlp_eval"] = _ml_eval("mlp")
+
+
+@query("rf_importance")
+def q_rf_importance(spark, sf):
+    train, _, idx, _, _ = _ml_data(spark, sf)
+    return ml.rf_importance(train, idx, 100)
+
+
+@query("pca_variance")
+def q_pca_variance(spark, sf):
+    train, test, _, k, _ = _ml_data(spark, sf)
+    return ml.pca_variance(train.unionByName(test), min(20, k))
+
+
+@query("logreg_grid")
+def q_logreg_grid(spark, sf):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+    train, test, _, _, _ = _ml_data(spark, sf)
+    lr = LogisticRegression(maxIter=50)
+    grid = (ParamGridBuilder().addGrid(lr.regParam, [0.001, 0.01, 0.1])
+            .addGrid(lr.elasticNetParam, [0.0, 0.5]).build())
+    cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, numFolds=3, seed=42, parallelism=4,
+                        evaluator=MulticlassClassificationEvaluator(metricName="accuracy"))
+    model = cv.fit(train)
+    rows = [(float(p[lr.regParam]), float(p[lr.elasticNetParam]), float(m))
+            for p, m in zip(grid, model.avgMetrics)]
+    cvdf = spark.createDataFrame(rows, "reg_param double, elastic_net double, cv_accuracy double")
+    test_acc = model.transform(test).agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))
+                                         .alias("a")).collect()[0].a
+    return cvdf.withColumn("best_test_accuracy", F.lit(test_acc))
