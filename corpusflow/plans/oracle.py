@@ -913,3 +913,30 @@ SELECT CAST(c AS VARCHAR) AS class, round(precision, 6) AS precision, round(reca
 UNION ALL SELECT 'accuracy', round(tp / n, 6), round(tp / n, 6), round(tp / n, 6), CAST(n AS BIGINT) FROM t
 UNION ALL SELECT 'macro avg', round(mp, 6), round(mr, 6), round(mf, 6), CAST(n AS BIGINT) FROM t
 UNION ALL SELECT 'weighted avg', round(wp / n, 6), round(wr / n, 6), round(wf / n, 6), CAST(n AS BIGINT) FROM t""")
+
+
+# --- streaming twins (append mode emits windows closed by the 1-hour watermark) -------------
+
+_MAXT = "(SELECT max(ts) FROM events)"
+oracle("stream_hourly_kpis", f"""WITH {REQ}
+SELECT strftime(time_bucket(INTERVAL 1 HOUR, ts), '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS requests,
+       CAST(sum({ERRC}) AS BIGINT) AS errors, round(avg(response_time_ms), 6) AS avg_response_time
+FROM requests GROUP BY time_bucket(INTERVAL 1 HOUR, ts)
+HAVING time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR <= {_MAXT} - INTERVAL 1 HOUR""")
+
+oracle("stream_sliding_kpis", f"""WITH {REQ},
+w AS (SELECT time_bucket(INTERVAL 10 MINUTE, ts) - j * INTERVAL 10 MINUTE AS s, status_code
+      FROM requests, range(0, 6) r(j))
+SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS requests,
+       round(avg(CASE WHEN status_code >= 400 THEN 1.0 ELSE 0.0 END) * 100, 6) AS error_rate_percent
+FROM w GROUP BY s HAVING s + INTERVAL 60 MINUTE <= {_MAXT} - INTERVAL 1 HOUR""")
+
+oracle("stream_running_perf", ORACLE["prediction_perf"])
+
+oracle("stream_alerts", f"""WITH {REQ},
+h AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS s, count(*) AS requests, sum({ERRC}) AS errors
+      FROM requests GROUP BY 1 HAVING time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR <= {_MAXT} - INTERVAL 1 HOUR)
+SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start, requests, CAST(errors AS BIGINT) AS errors,
+       'HIGH_ERROR_RATE' AS alert FROM h WHERE errors * 100.0 / requests > 30.0""")
+
+oracle("stream_dedup", "SELECT count(DISTINCT substr(sha256(props), 1, 16)) AS n_kept FROM events")

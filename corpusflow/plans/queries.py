@@ -786,3 +786,70 @@ def q_logreg_grid(spark, sf):
     test_acc = model.transform(test).agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))
                                          .alias("a")).collect()[0].a
     return cvdf.withColumn("best_test_accuracy", F.lit(test_acc))
+
+
+# --- streaming twins -------------------------------------------------------------------
+
+from corpusflow.streaming import monitor_stream as ms  # noqa: E402
+
+
+@query("stream_hourly_kpis")
+def q_stream_hourly_kpis(spark, sf):
+    out = ms.run_to_table(ms.hourly_kpis(ms.request_stream(spark, sf)), "hourly_kpis")
+    return out.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
+                      "requests", F.col("errors").cast("long").alias("errors"),
+                      F.round("avg_response_time", 6).alias("avg_response_time"))
+
+
+@query("stream_sliding_kpis")
+def q_stream_sliding_kpis(spark, sf):
+    out = ms.run_to_table(ms.sliding_kpis(ms.request_stream(spark, sf)), "sliding_kpis")
+    return out.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
+                      "requests", F.round("error_rate_percent", 6).alias("error_rate_percent"))
+
+
+@query("stream_running_perf")
+def q_stream_running_perf(spark, sf):
+    out = ms.run_to_table(ms.running_perf(ms.prediction_stream(spark, sf)), "running_perf", mode="complete")
+    return _r6(out, ["avg_preprocessing_time", "avg_prediction_time", "avg_confidence"])
+
+
+@query("stream_alerts")
+def q_stream_alerts(spark, sf):
+    out = ms.run_to_table(ms.alert_stream(ms.hourly_kpis(ms.request_stream(spark, sf)), 30.0), "alerts")
+    return out.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
+                      "requests", F.col("errors").cast("long").alias("errors"), "alert")
+
+
+@query("stream_dedup")
+def q_stream_dedup(spark, sf):
+    s = ms.with_event_time(ms.table_stream(spark, sf, "events")).select(
+        "event_id", "ts", tx.sha256_prefix(F.col("props")).alias("input_hash"))
+    out = ms.run_to_table(ms.dedup_by_hash(s, "input_hash", "1 hour"), "dedup")
+    return out.agg(F.count(F.lit(1)).alias("n_kept"))
+
+
+@query("score_stream")
+def q_score_stream(spark, sf):
+    """Validate, score and reject per micro-batch with a fitted NB model."""
+    f = _features(spark, sf)
+    model = md.nb_fit(f.matrix, f.labels.select("doc_id", "class_id"), n_features=f.n_features)
+    vocab = f.vocab.persist()
+    stream = ms.table_stream(spark, sf, "conversations").select(
+        (F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"), "text")
+
+    def handle(batch, epoch):
+        valid, rejected = cl.valid_text(batch, "text")
+        new = valid.select("doc_id", tx.normalize_conservative(tx.clean_text(F.col("text"))).alias("t"))
+        counts = fe.term_counts(new, "t", ngram=(1, 2), stop_words=fe.english_stop_words())
+        mat = fe.tfidf(counts, vocab).select("doc_id", F.concat(F.lit("tfidf_"), F.col("term")).alias("feature"),
+                                             "value")
+        pred = md.nb_predict(model, mat, valid.select("doc_id"))
+        ok = pred.select("doc_id", F.lit("scored").alias("status"), "pred_class_id",
+                         F.round("confidence", 6).alias("confidence"))
+        bad = rejected.select("doc_id", F.lit("rejected").alias("status"),
+                              F.lit(None).cast("int").alias("pred_class_id"),
+                              F.lit(None).cast("double").alias("confidence"))
+        return ok.unionByName(bad)
+
+    return ms.foreach_batch_to_table(stream, "score_stream", handle)
