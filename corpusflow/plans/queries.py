@@ -853,3 +853,233 @@ def q_score_stream(spark, sf):
         return ok.unionByName(bad)
 
     return ms.foreach_batch_to_table(stream, "score_stream", handle)
+
+
+# --- scoring, jobs, sweeps -----------------------------------------------------------------
+
+from corpusflow.operators import score as sc  # noqa: E402
+
+
+def _bench_features(spark, sf, f):
+    bench = read_table(spark, sf, "benchmark")
+    new = bench.select(F.col("item_id").alias("doc_id"), F.lit(None).cast("string").alias("sample_name"),
+                       F.lit(None).cast("string").alias("description"),
+                       tx.clean_text(F.col("text")).alias("transcription"))
+    new = new.withColumn("transcription_cleaned", tx.normalize_conservative(F.col("transcription")))
+    counts = fe.term_counts(new, "transcription_cleaned", ngram=(1, 2), stop_words=fe.english_stop_words())
+    t = fe.tfidf(counts, f.vocab)
+    dense = fe.dense_features(new, fe.label_index(f.docs, "sample_name", null_as="unknown"), serving=True)
+    return bench, new, fe.feature_matrix(t, dense)
+
+
+def _score_bench(spark, sf):
+    f = _features(spark, sf)
+    model = md.nb_fit(f.matrix, f.labels.select("doc_id", "class_id"), n_features=f.n_features)
+    bench, new, mat = _bench_features(spark, sf, f)
+    pred = md.nb_predict(model, mat, new.select("doc_id")).persist(StorageLevel.MEMORY_AND_DISK)
+    return f, bench, pred
+
+
+@query("score_top5")
+def q_score_top5(spark, sf):
+    f, _, pred = _score_bench(spark, sf)
+    out = sc.decode_top(pred, fe.label_index(f.docs, "label"))
+    return out.select(F.col("doc_id").alias("item_id"), "rank", "class", F.round("confidence", 6).alias("confidence"))
+
+
+@query("prediction_log")
+def q_prediction_log(spark, sf):
+    f, bench, pred = _score_bench(spark, sf)
+    texts = bench.select(F.col("item_id").alias("doc_id"), "text",
+                         F.lit("2024-01-01 00:00:00").alias("ts"))
+    rows = sc.prediction_log_rows(texts, pred, fe.label_index(f.docs, "label"))
+    return rows.select(F.col("doc_id").alias("item_id"), "request_id", "model_version", "input_hash",
+                       "input_length", "prediction", F.round("confidence", 6).alias("confidence"),
+                       F.col("feature_stats.text_length").alias("text_length"),
+                       F.col("feature_stats.word_count").alias("word_count"))
+
+
+@query("score_errors")
+def q_score_errors(spark, sf):
+    conv = read_table(spark, sf, "conversations")
+    _, rejected = cl.valid_text(conv.select((F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"), "text"))
+    return sc.error_log(rejected).groupBy("error_type", "error_message").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("model_gate")
+def q_model_gate(spark, sf):
+    _, _, pred = _nb_holdout(spark, sf)
+    acc = pred.agg(F.avg((F.col("class_id") == F.col("pred_class_id")).cast("double")).alias("accuracy"))
+    return acc.select(F.round("accuracy", 6).alias("accuracy"), sc.model_gate(F.col("accuracy")).alias("status"))
+
+
+@query("leaderboard")
+def q_leaderboard(spark, sf):
+    rows = []
+    for name, kw in [("multinomial_nb", {}), ("multinomial_nb_uniform_prior", {"fit_prior": False}),
+                     ("complement_nb", {"complement": True})]:
+        f = _features(spark, sf)
+        split = md.split_holdout(f.labels).persist(StorageLevel.MEMORY_AND_DISK)
+        train = split.filter(~F.col("is_test")).select("doc_id", "class_id")
+        test = split.filter(F.col("is_test")).select("doc_id", "class_id")
+        model = md.nb_fit(f.matrix.join(train, "doc_id", "left_semi"), train, n_features=f.n_features, **kw)
+        pred = md.nb_predict(model, f.matrix.join(test, "doc_id", "left_semi"), test).join(test, "doc_id")
+        rows.append(pred.agg(F.avg((F.col("class_id") == F.col("pred_class_id")).cast("double"))
+                             .alias("accuracy")).select(F.lit(name).alias("name"), "accuracy",
+                                                        F.lit("success").alias("status")))
+    res = rows[0]
+    for r in rows[1:]:
+        res = res.unionByName(r)
+    k = _features(spark, sf).labels.select(F.countDistinct("class_id")).scalar()
+    return sc.leaderboard(res, k)
+
+
+@query("feature_kinds")
+def q_feature_kinds(spark, sf):
+    f = _features(spark, sf)
+    return sc.feature_kinds(f.matrix.select("feature").distinct()).groupBy("kind").agg(
+        F.count(F.lit(1)).alias("n_features"))
+
+
+def _cv_nb_grid(f, alphas, priors, k_folds=3):
+    """All grid cells and folds in one plan, from per-fold statistics computed once.
+
+    Training sums of fold j = all-fold sums minus fold j.  Deltas depend on
+    alpha, so the (fold, feature, class) table is expanded by the (bounded)
+    alpha list; every held-out document is scored for all cells by one join.
+    """
+    folds = md.kfold_assign(f.labels, k_folds).persist(StorageLevel.MEMORY_AND_DISK)
+    spark = folds.sparkSession
+    d = f.n_features
+    per_fold = f.matrix.join(folds, "doc_id").groupBy("fold", "feature", "class_id").agg(
+        F.sum("value").alias("s"))
+    tot = per_fold.groupBy("feature", "class_id").agg(F.sum("s").alias("t"))
+    fold_ids = spark.range(k_folds).select(F.col("id").cast("int").alias("fold"))
+    # train sums for fold j: total minus the fold's own (missing -> 0); bounded by folds x features x classes
+    trn = (tot.join(F.broadcast(fold_ids), how="inner", on=F.lit(True))
+           .join(per_fold, ["fold", "feature", "class_id"], "left")
+           .select("fold", "feature", "class_id", (F.col("t") - F.coalesce("s", F.lit(0.0))).alias("nfc"))
+           .filter(F.col("nfc") > 0))
+    n_fc = folds.groupBy("fold", "class_id").agg(F.count(F.lit(1)).alias("c"))
+    n_c_tot = folds.groupBy("class_id").agg(F.count(F.lit(1)).alias("ct"))
+    mass = trn.groupBy("fold", "class_id").agg(F.sum("nfc").alias("mass_c"))
+    cls = (n_c_tot.join(F.broadcast(fold_ids), how="inner", on=F.lit(True))
+           .join(n_fc, ["fold", "class_id"], "left")
+           .select("fold", "class_id", (F.col("ct") - F.coalesce("c", F.lit(0))).alias("n_c"))
+           .join(mass, ["fold", "class_id"], "left").fillna(0.0, ["mass_c"]))
+    grid = spark.createDataFrame([(float(a), bool(p)) for a in alphas for p in priors], "alpha double, fit_prior boolean")
+    n_train = cls.groupBy("fold").agg(F.sum("n_c").alias("n"), F.count(F.lit(1)).alias("k"))
+    cls_g = (cls.join(n_train, "fold").join(F.broadcast(grid), how="inner", on=F.lit(True))
+             .select("fold", "class_id", "alpha", "fit_prior",
+                     F.when(F.col("fit_prior"), F.log(F.col("n_c") / F.col("n"))).otherwise(-F.log(F.col("k")))
+                     .alias("base"),
+                     (F.log("alpha") - F.log(F.col("mass_c") + F.col("alpha") * d)).alias("slope")))
+    alphas_df = spark.createDataFrame([(float(a),) for a in alphas], "alpha double")
+    deltas = trn.join(F.broadcast(alphas_df), how="inner", on=F.lit(True)).select(
+        "fold", "feature", "class_id", "alpha", (F.log(F.col("nfc") + F.col("alpha")) - F.log("alpha")).alias("delta"))
+    held = f.matrix.join(folds.select("doc_id", "fold"), "doc_id")
+    doc_mass = held.groupBy("doc_id", "fold").agg(F.sum("value").alias("x"))
+    contrib = held.join(deltas, ["fold", "feature"]).groupBy("doc_id", "fold", "class_id", "alpha").agg(
+        F.sum(F.col("value") * F.col("delta")).alias("s"))
+    docs = folds.select("doc_id", "fold", F.col("class_id").alias("true_c")).join(doc_mass, ["doc_id", "fold"], "left")
+    # k scores per document and cell: documents x (bounded) classes x (bounded) grid
+    sc_ = (docs.join(cls_g, "fold")
+           .join(contrib, ["doc_id", "fold", "class_id", "alpha"], "left")
+           .select("doc_id", "fold", "true_c", "class_id", "alpha", "fit_prior",
+                   (F.col("base") + F.col("slope") * F.coalesce("x", F.lit(0.0)) + F.coalesce("s", F.lit(0.0)))
+                   .alias("score")))
+    best = sc_.groupBy("doc_id", "fold", "true_c", "alpha", "fit_prior").agg(
+        F.max_by("class_id", F.struct(F.col("score"), -F.col("class_id"))).alias("pred"))
+    acc = best.groupBy("alpha", "fit_prior", "fold").agg(
+        F.avg((F.col("pred") == F.col("true_c")).cast("double")).alias("acc"))
+    return acc.groupBy("alpha", "fit_prior").agg(F.round(F.avg("acc"), 6).alias("cv_accuracy"),
+                                                 F.round(F.stddev_pop("acc"), 6).alias("cv_std"))
+
+
+@query("nb_grid")
+def q_nb_grid(spark, sf):
+    f = _features(spark, sf)
+    return _cv_nb_grid(f, [0.1, 0.5, 1.0, 2.0], [True, False], 3)
+
+
+def _holdout_acc(f, matrix, name):
+    split = md.split_holdout(f.labels).persist(StorageLevel.MEMORY_AND_DISK)
+    train = split.filter(~F.col("is_test")).select("doc_id", "class_id")
+    test = split.filter(F.col("is_test")).select("doc_id", "class_id")
+    d = matrix.select(F.countDistinct("feature")).scalar()
+    model = md.nb_fit(matrix.join(train, "doc_id", "left_semi"), train, n_features=d)
+    pred = md.nb_predict(model, matrix.join(test, "doc_id", "left_semi"), test).join(test, "doc_id")
+    return pred.agg(F.round(F.avg((F.col("class_id") == F.col("pred_class_id")).cast("double")), 6)
+                    .alias("accuracy")).select(F.lit(name).alias("name"), "accuracy")
+
+
+@query("k_sweep")
+def q_k_sweep(spark, sf):
+    f = _features(spark, sf)
+    # One ranking (bounded by the number of features), persisted and shared by every k.
+    from pyspark.sql import Window
+    ranked = (se.f_score(f.matrix, f.labels).filter(F.col("score").isNotNull())
+              .select("feature", F.row_number().over(Window.orderBy(F.desc("score"), "feature")).alias("rank"))
+              .persist(StorageLevel.MEMORY_AND_DISK))
+    out = None
+    for k in (150, 175, 200, 225, 250):
+        top = ranked.filter(F.col("rank") <= k).select("feature")
+        mat = f.matrix.join(F.broadcast(top), "feature", "left_semi")
+        r = _holdout_acc(f, mat, f"k={k}").select(F.lit(k).alias("k"), "accuracy")
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@query("variant_compare")
+def q_variant_compare(spark, sf):
+    f = _features(spark, sf)
+    d = _variant_docs(spark, sf)
+    out = _holdout_acc(f, f.matrix, "assembled")
+    for name, ngram, min_df, max_df, mf, analyzer, count in [
+            ("tfidf_1_2", (1, 2), 2, 0.95, 2000, "word", False),
+            ("tfidf_1_3", (1, 3), 3, 0.9, 2000, "word", False),
+            ("count_1_2", (1, 2), 2, 0.95, 2000, "word", True),
+            ("char_3_5", (3, 5), 2, 0.95, 1500, "char", False)]:
+        counts, vocab, _ = _variant_counts(spark, sf, ngram, min_df, max_df, mf, analyzer)
+        vals = fe.count_matrix(counts, vocab) if count else fe.tfidf(counts, vocab)
+        mat = vals.select("doc_id", F.col("term").alias("feature"), "value").join(d.select("doc_id"), "doc_id")
+        out = out.unionByName(_holdout_acc(f, mat, name))
+    return out
+
+
+@query("subset_ablation")
+def q_subset_ablation(spark, sf):
+    f = _features(spark, sf)
+    kinds = sc.feature_kinds(f.matrix.select("feature").distinct())
+    m = f.matrix.join(kinds, "feature")
+    subsets = [("all", None), ("tfidf_only", ["tfidf"]), ("without_tfidf", ["length", "other"]),
+               ("length_only", ["length"])]
+    out = None
+    for name, ks in subsets:
+        mat = m if ks is None else m.filter(F.col("kind").isin(ks))
+        r = _holdout_acc(f, mat.drop("kind"), name)
+        out = r if out is None else out.unionByName(r)
+    base = out.filter(F.col("name") == "all").select("accuracy").scalar()
+    return out.select("name", "accuracy", F.round((F.col("accuracy") - base) * 100, 6).alias("change_pct_points"))
+
+
+@query("retrain_job")
+def q_retrain_job(spark, sf):
+    """Quality gate -> clean -> features -> train -> validate, one run-summary row per step."""
+    raw = _raw(spark, sf)
+    gate = pr.data_quality_gate(raw, "transcription", "medical_specialty")
+    clean = _clean(spark, sf)
+    f = _features(spark, sf)
+    _, _, pred = _nb_holdout(spark, sf)
+    acc = pred.agg(F.avg((F.col("class_id") == F.col("pred_class_id")).cast("double")).alias("a")).scalar()
+    def step(no, name, status, value):
+        return F.struct(F.lit(no).alias("step_no"), F.lit(name).alias("step"), status.alias("status"),
+                        value.cast("double").alias("value"))
+
+    steps = spark.range(1).select(F.explode(F.array(
+        step(1, "check_data_quality", gate.select("status").scalar(), gate.select("total_records").scalar()),
+        step(2, "create_clean_dataset", F.lit("success"), clean.select(F.count(F.lit(1))).scalar()),
+        step(3, "create_features", F.lit("success"), f.n_features),
+        step(4, "train_and_validate", sc.model_gate(acc), F.round(acc, 6)),
+    )).alias("s")).select("s.*")
+    return steps
