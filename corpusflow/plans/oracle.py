@@ -940,3 +940,26 @@ SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start, requests, CAST(errors A
        'HIGH_ERROR_RATE' AS alert FROM h WHERE errors * 100.0 / requests > 30.0""")
 
 oracle("stream_dedup", "SELECT count(DISTINCT substr(sha256(props), 1, 16)) AS n_kept FROM events")
+
+
+# --- scoring and jobs --------------------------------------------------------------------
+
+from corpusflow.operators.score import FEATURE_KIND_RULES  # noqa: E402
+
+_kind_case = "CASE " + " ".join(f"WHEN regexp_matches(feature, {S.q(rx)}) THEN '{name}'"
+                                for name, rx in FEATURE_KIND_RULES) + " ELSE 'other' END"
+oracle("feature_kinds", f"""WITH {FEAT}
+SELECT {_kind_case} AS kind, count(*) AS n_features FROM (SELECT DISTINCT feature FROM matrix) GROUP BY 1""")
+
+oracle("score_errors", f"""WITH r AS (
+  SELECT text, {_strip} AS s FROM conversations)
+SELECT 'ValidationError' AS error_type,
+       CASE WHEN text IS NULL THEN 'null' WHEN text = '' THEN 'empty' ELSE 'blank' END AS error_message,
+       count(*) AS n
+FROM r WHERE coalesce(s, '') = '' GROUP BY ALL""")
+
+oracle("model_gate", f"""WITH {NB}, {MULTI},
+a AS (SELECT avg(CASE WHEN class_id = pred_class_id THEN 1.0 ELSE 0.0 END) AS accuracy FROM pred)
+SELECT round(accuracy, 6) AS accuracy,
+       CASE WHEN accuracy < 0.4 THEN 'failed' WHEN accuracy < 0.6 THEN 'warning' ELSE 'passed' END AS status
+FROM a""")
