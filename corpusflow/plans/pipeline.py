@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from corpusflow.functions import text as tx
 from corpusflow.operators import features as fe
 from corpusflow.operators import profile as pr
+from corpusflow.session import ensure_checkpoint_dir
 
 
 @dataclass
@@ -43,31 +44,46 @@ def prepare_docs(clean: DataFrame, label_col: str = "lang", data_driven: bool =
         tx.normalize_conservative(F.col("description"), dates, phones).alias("description_cleaned"))
 
 
+def _cut(df: DataFrame, mode: str) -> DataFrame:
+    """Materialise an intermediate: ``checkpoint`` writes it to the session's
+    checkpoint folder and cuts the lineage (downstream plans stay small and a
+    lost executor does not trigger recomputation from the raw text);
+    ``persist`` keeps it cached; anything else leaves it lazy."""
+    if mode == "checkpoint":
+        return df.checkpoint(eager=True)
+    if mode == "persist":
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    return df
+
+
 def build_features(docs: DataFrame, text_col: str = "transcription_cleaned", max_features: int = 5000,
                    min_df=2, max_df=0.95, ngram=(1, 2), stop_words=None,
-                   fit_on: DataFrame | None = None, persist: bool = True) -> Features:
-    """Wire the feature operators.  With ``persist`` (default) the normalised
-    documents, the term counts and the long matrix are persisted
-    (memory and disk): each feeds several aggregates and scalar subqueries, and
-    would otherwise be recomputed from the raw text for every one of them."""
+                   fit_on: DataFrame | None = None, persist=True) -> Features:
+    """Wire the feature operators.
+
+    ``persist`` selects how the reused intermediates (normalised documents,
+    term counts, vocabulary, long matrix, labels) are materialised: ``True`` or
+    ``"checkpoint"`` (default) checkpoints them into ``spark.checkpoint.dir``;
+    ``"persist"`` caches them; ``False`` keeps the whole plan lazy.  Each of
+    them feeds several aggregates and scalar subqueries, which would otherwise
+    recompute, and re-optimise, the whole text pipeline every time.
+    """
+    mode = "checkpoint" if persist is True else (persist or "lazy")
+    if mode == "checkpoint":
+        ensure_checkpoint_dir(docs.sparkSession)
     stops = fe.english_stop_words() if stop_words is None else stop_words
-    if persist:
-        docs = docs.persist(StorageLevel.MEMORY_AND_DISK)
-    counts = fe.term_counts(docs, text_col, "doc_id", ngram, stops)
-    if persist:
-        counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
+    docs = _cut(docs, mode)
+    counts = _cut(fe.term_counts(docs, text_col, "doc_id", ngram, stops), mode)
     fit_counts = counts if fit_on is None else counts.join(fit_on.select("doc_id"), "doc_id", "left_semi")
     fit_docs = docs if fit_on is None else fit_on
     n_fit = fit_docs.select(F.count(F.lit(1))).scalar()
-    vocab = fe.vocabulary(fit_counts, n_fit, min_df, max_df, max_features)
+    vocab = _cut(fe.vocabulary(fit_counts, n_fit, min_df, max_df, max_features), mode)
     tfidf = fe.tfidf(counts, vocab)
     sample_index = fe.label_index(docs, "sample_name", null_as="unknown")
     dense = fe.dense_features(docs, sample_index)
-    matrix = fe.feature_matrix(tfidf, dense)
-    if persist:
-        matrix = matrix.persist(StorageLevel.MEMORY_AND_DISK)
+    matrix = _cut(fe.feature_matrix(tfidf, dense), mode)
     class_index = fe.label_index(docs, "label")
-    labels = fe.encode(docs.select("doc_id", "label"), "label", class_index, "class_id")
+    labels = _cut(fe.encode(docs.select("doc_id", "label"), "label", class_index, "class_id"), mode)
     n_docs = docs.select(F.count(F.lit(1))).scalar()
     n_feat = vocab.select(F.count(F.lit(1))).scalar() + F.lit(len(fe.LENGTH_FEATURES + fe.CATEGORY_FEATURES))
     return Features(docs, counts, vocab, tfidf, dense, matrix, labels, n_docs, n_feat)
