@@ -83,3 +83,22 @@ def pca_variance(data: DataFrame, k: int) -> DataFrame:
     df = spark.createDataFrame([(i + 1, float(v)) for i, v in enumerate(ev)], "component int, explained double")
     w = Window.orderBy("component").rowsBetween(Window.unboundedPreceding, 0)
     return df.select("component", "explained", F.sum("explained").over(w).alias("cumulative"))
+
+
+def correlation_summary(data: DataFrame, index: DataFrame, high: float = 0.8, mid: float = 0.5) -> DataFrame:
+    """Pearson correlation among the selected features (MLlib ``Correlation``: a
+    distributed Gram-matrix aggregate over a bounded k x k result): pairs above
+    thresholds, mean and max absolute correlation, and the top pairs."""
+    from pyspark.ml.stat import Correlation
+    mat = Correlation.corr(data, "features", "pearson").collect()[0][0].toArray()   # k x k, bounded
+    names = {r.idx: r.feature for r in index.collect()}                              # k rows, bounded
+    k = mat.shape[0]
+    pairs = [(names[i], names[j], float(mat[i, j])) for i in range(k) for j in range(i + 1, k)
+             if mat[i, j] == mat[i, j]]
+    spark = data.sparkSession
+    df = spark.createDataFrame(pairs, "feature_a string, feature_b string, r double")
+    a = F.abs(F.col("r"))
+    return df.agg(F.count(F.lit(1)).alias("pairs"), F.round(F.avg(a), 6).alias("mean_abs_r"),
+                  F.round(F.max(a), 6).alias("max_abs_r"),
+                  F.sum((a > mid).cast("long")).alias("pairs_above_0_5"),
+                  F.sum((a > high).cast("long")).alias("pairs_above_0_8"))

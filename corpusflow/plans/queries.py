@@ -1118,3 +1118,25 @@ def q_retrain_job(spark, sf):
         step(4, "train_and_validate", sc.model_gate(acc), F.round(acc, 6)),
     )).alias("s")).select("s.*")
     return steps
+
+
+@query("feature_correlation")
+def q_feature_correlation(spark, sf):
+    train, test, idx, _, _ = _ml_data(spark, sf, k=50)
+    return ml.correlation_summary(train.unionByName(test), idx)
+
+
+@query("selector_compare")
+def q_selector_compare(spark, sf):
+    """Selection method x k, each evaluated by hold-out NB accuracy in one plan per method."""
+    from pyspark.sql import Window
+    f = _features(spark, sf)
+    out = None
+    for name, fn in [("f_score", se.f_score), ("mutual_info", se.mutual_info), ("chi2", se.chi2_score)]:
+        ranked = (fn(f.matrix, f.labels).filter(F.col("score").isNotNull())
+                  .select("feature", F.row_number().over(Window.orderBy(F.desc("score"), "feature")).alias("rank"))
+                  .persist(StorageLevel.MEMORY_AND_DISK))
+        r = _nb_sweep_holdout(f, ranked, [50, 100, 200, 500]).select(F.lit(name).alias("method"), "k", "accuracy")
+        out = r if out is None else out.unionByName(r)
+    w = Window.orderBy(F.desc("accuracy"), "method", "k")
+    return out.select("*", (F.row_number().over(w) == 1).alias("is_best"))
