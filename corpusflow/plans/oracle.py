@@ -864,19 +864,21 @@ NB = LAB + ", " + SPLIT + f""",
   tot AS (SELECT sum(t_f) AS t FROM tf)"""
 
 
-def _nb_pred(weight: str, prior: str) -> str:
-    return f"""th AS (SELECT f.feature, c.class_id, {weight} AS w
+def _nb_pred(weight: str, prior: str, p: str = "") -> str:
+    return f"""{p}th AS (SELECT f.feature, c.class_id, {weight} AS w
              FROM (SELECT DISTINCT feature FROM tm) f CROSS JOIN ncl c
              LEFT JOIN nfc n ON n.feature = f.feature AND n.class_id = c.class_id
              LEFT JOIN tf ON tf.feature = f.feature, dd, tot),
-  sc AS (SELECT t.doc_id, t.class_id AS true_c, c.class_id, {prior} + coalesce(sum(tm.value * th.w), 0.0) AS score
+  {p}sc AS (SELECT t.doc_id, t.class_id AS true_c, c.class_id,
+                   {prior} + coalesce(sum(tm.value * {p}th.w), 0.0) AS score
          FROM test t CROSS JOIN ncl c LEFT JOIN tm ON tm.doc_id = t.doc_id
-         LEFT JOIN th ON th.feature = tm.feature AND th.class_id = c.class_id, tn
+         LEFT JOIN {p}th ON {p}th.feature = tm.feature AND {p}th.class_id = c.class_id, tn
          GROUP BY t.doc_id, t.class_id, c.class_id, c.n_c, tn.n, tn.k),
-  sc2 AS (SELECT *, max(score) OVER (PARTITION BY doc_id) AS mx,
-                 row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, class_id ASC) AS r FROM sc),
-  sc3 AS (SELECT *, sum(exp(score - mx)) OVER (PARTITION BY doc_id) AS z FROM sc2),
-  pred AS (SELECT doc_id, true_c AS class_id, class_id AS pred_class_id, 1.0 / z AS confidence FROM sc3 WHERE r = 1)"""
+  {p}sc2 AS (SELECT *, max(score) OVER (PARTITION BY doc_id) AS mx,
+                 row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, class_id ASC) AS r FROM {p}sc),
+  {p}sc3 AS (SELECT *, sum(exp(score - mx)) OVER (PARTITION BY doc_id) AS z FROM {p}sc2),
+  {p}pred AS (SELECT doc_id, true_c AS class_id, class_id AS pred_class_id, 1.0 / z AS confidence
+              FROM {p}sc3 WHERE r = 1)"""
 
 
 MULTI = _nb_pred("ln((coalesce(n.nfc, 0.0) + 1.0) / (c.big_n + 1.0 * dd.d))", "ln(c.n_c / tn.n)")
@@ -963,3 +965,20 @@ a AS (SELECT avg(CASE WHEN class_id = pred_class_id THEN 1.0 ELSE 0.0 END) AS ac
 SELECT round(accuracy, 6) AS accuracy,
        CASE WHEN accuracy < 0.4 THEN 'failed' WHEN accuracy < 0.6 THEN 'warning' ELSE 'passed' END AS status
 FROM a""")
+
+
+_UNIF = _nb_pred("ln((coalesce(n.nfc, 0.0) + 1.0) / (c.big_n + 1.0 * dd.d))", "-ln(tn.k)", "u_")
+_CMPL = _nb_pred("-ln((coalesce(tf.t_f, 0.0) - coalesce(n.nfc, 0.0) + 1.0) / (tot.t - c.big_n + 1.0 * dd.d))",
+                 "0.0", "c_")
+oracle("leaderboard", f"""WITH {NB}, {MULTI}, {_UNIF}, {_CMPL},
+res AS (
+  SELECT 'multinomial_nb' AS name, avg(CASE WHEN class_id = pred_class_id THEN 1.0 ELSE 0.0 END) AS accuracy FROM pred
+  UNION ALL SELECT 'multinomial_nb_uniform_prior', avg(CASE WHEN class_id = pred_class_id THEN 1.0 ELSE 0.0 END)
+  FROM u_pred
+  UNION ALL SELECT 'complement_nb', avg(CASE WHEN class_id = pred_class_id THEN 1.0 ELSE 0.0 END) FROM c_pred),
+kk AS (SELECT count(DISTINCT class_id) AS k FROM labels)
+SELECT CAST(rank() OVER (ORDER BY accuracy DESC, name ASC) AS INTEGER) AS rank, name, round(accuracy, 6) AS accuracy,
+       round(accuracy - 0.37, 6) AS vs_baseline, round(accuracy / (1.0 / k), 6) AS vs_random,
+       CASE WHEN accuracy >= 0.45 THEN 'excellent' WHEN accuracy >= 0.40 THEN 'good'
+            WHEN accuracy >= 0.37 THEN 'baseline' ELSE 'below_baseline' END AS band
+FROM res, kk""")
