@@ -6,24 +6,38 @@ from pyspark.sql import functions as F
 
 
 def floor_percentiles(df: DataFrame, group_cols: list[str], value_col: str,
-                      ps: dict[str, float]) -> DataFrame:
-    """Per group, ``sorted(values)[int(p * (n - 1))]`` for each named p.
-
-    Differs from ``percentile`` (linear) and ``percentile_disc``.  Plan: the
-    values are first reduced to distinct ``(group, value, count)`` rows with a
-    partial aggregate, then a running count over the value order per group
-    (one shuffle, sort-based, spills instead of holding a group in memory),
-    then the first value whose running count reaches the target rank.  Groups
-    are never collected into one array.
+                      ps: dict[str, float], n_buckets: int = 64) -> DataFrame:
+    """Per group, ``sorted(values)[int(p * (n - 1))]`` for each named p (exact).
+
+    Differs from ``percentile`` (linear) and ``percentile_disc``.  Plan, built
+    so that a group holding a large share of all rows is still split:
+
+    1. per group, ``n_buckets - 1`` approximate quantile boundaries (a sketch
+       aggregate with map-side partial aggregation);
+    2. each value goes to the bucket ``#boundaries < value`` (monotone, equal
+       values share a bucket), values are reduced to distinct
+       ``(group, bucket, value, count)`` rows;
+    3. per (group, bucket) counts give each bucket's offset (a tiny table);
+    4. the running count runs inside ``(group, bucket)`` window partitions,
+       and the answer is the first value whose offset + running count reaches
+       the target rank.
     """
-    g = list(group_cols) or []
+    g = list(group_cols)
     key = g if g else [F.lit(0).alias("__g")]
-    counts = df.groupBy(*key, F.col(value_col).alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
     part = g if g else ["__g"]
-    w_run = Window.partitionBy(*part).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
-    w_all = Window.partitionBy(*part)
-    cum = counts.select(*part, "__v", F.sum("__c").over(w_run).alias("__cum"),
-                        F.sum("__c").over(w_all).alias("__n"))
+    base = df.select(*key, F.col(value_col).alias("__v")).filter(F.col("__v").isNotNull())
+    qs = [i / n_buckets for i in range(1, n_buckets)]
+    bounds = base.groupBy(*part).agg(F.percentile_approx("__v", qs, 10000).alias("__b"))
+    with_b = base.join(bounds, part).select(
+        *part, "__v", F.size(F.filter("__b", lambda b: b < F.col("__v"))).alias("__k"))
+    counts = with_b.groupBy(*part, "__k", "__v").agg(F.count(F.lit(1)).alias("__c"))
+    per_bucket = counts.groupBy(*part, "__k").agg(F.sum("__c").alias("__bc"))
+    w_off = Window.partitionBy(*part).orderBy("__k").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_bucket.select(*part, "__k", F.coalesce(F.sum("__bc").over(w_off), F.lit(0)).alias("__off"),
+                                F.sum("__bc").over(Window.partitionBy(*part)).alias("__n"))
+    w_run = Window.partitionBy(*part, "__k").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    cum = counts.join(offsets, part + ["__k"]).select(
+        *part, "__v", (F.col("__off") + F.sum("__c").over(w_run)).alias("__cum"), "__n")
     aggs = [F.min(F.when(F.col("__cum") >= F.floor(F.lit(p) * (F.col("__n") - 1)) + 1,
                          F.col("__v"))).alias(name) for name, p in ps.items()]
     out = cum.groupBy(*part).agg(*aggs)
