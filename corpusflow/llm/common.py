@@ -3,6 +3,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -79,3 +81,20 @@ def numbered(df: DataFrame, group: list[str], order: list[str], out: str, parts:
     return (own.join(starts, same)
             .withColumn(out, (F.col("__n") - 1 + F.col("before")).cast("long"))
             .drop("__n", "__part", "__o_part", "before", *[f"__o_{c}" for c in group]))
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's code to the executors, once per application, so that their workers can import it."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parents[2]
+    target = Path(tempfile.mkdtemp(prefix="corpusflow-code-")).resolve() / "corpusflow-code.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for p in sorted((root / "corpusflow").rglob("*.py")):
+            z.write(p, p.relative_to(root))
+    sc.addPyFile(str(target))
+    _SHIPPED.add(sc.applicationId)
