@@ -1,8 +1,8 @@
 """All queries and DuckDB twins of this subpackage."""
 from __future__ import annotations
 
-from corpusflow.llm import line_dedup, mixing, packing, sharding
+from corpusflow.llm import compression, line_dedup, mixing, packing, sharding, warc
 
-MODULES = (line_dedup, mixing, sharding, packing)
+MODULES = (line_dedup, compression, mixing, warc, sharding, packing)
 QUERIES = {name: fn for m in MODULES for name, fn in m.QUERIES.items()}
 ORACLE = {name: sql for m in MODULES for name, sql in getattr(m, "ORACLE", {}).items()}
