@@ -1,8 +1,8 @@
 """All queries and DuckDB twins of this subpackage."""
 from __future__ import annotations
 
-from corpusflow.llm import compression, language, line_dedup, mixing, packing, sharding, toxicity, warc
+from corpusflow.llm import compression, jaccard, language, line_dedup, mixing, packing, sharding, toxicity, warc
 
-MODULES = (line_dedup, toxicity, compression, mixing, warc, language, sharding, packing)
+MODULES = (line_dedup, toxicity, compression, mixing, warc, language, sharding, packing, jaccard)
 QUERIES = {name: fn for m in MODULES for name, fn in m.QUERIES.items()}
 ORACLE = {name: sql for m in MODULES for name, sql in getattr(m, "ORACLE", {}).items()}
