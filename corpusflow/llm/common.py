@@ -83,6 +83,18 @@ def numbered(df: DataFrame, group: list[str], order: list[str], out: str, parts:
             .drop("__n", "__part", "__o_part", "before", *[f"__o_{c}" for c in group]))
 
 
+def block_pairs(blocks: str = "blocks", own: str = "own") -> Column:
+    """The pairs of blocks (i <= j) that a row of block ``own`` takes part in, as an array of structs.
+
+    A group of one block is its own pair (0, 0).  In a group of more, every two
+    rows meet in some pair (i < j), which holds the rows of both blocks.
+    """
+    one = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))
+    others = F.filter(F.sequence(F.lit(0), F.col(blocks) - 1), lambda k: k != F.col(own))
+    return F.when(F.col(blocks) == 1, one).otherwise(
+        F.transform(others, lambda k: F.struct(F.least(F.col(own), k).alias("i"), F.greatest(F.col(own), k).alias("j"))))
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm.common import read, ship_package, stored
+from corpusflow.llm.common import block_pairs, read, ship_package, stored
 from corpusflow.llm.components import components
 from corpusflow.llm.occurrence import linked
 
@@ -125,8 +125,8 @@ class Bands:
             out.append(scramble(sums + held * MIX[0] + salt[0]))
             if n - len(held) > spare:
                 prefix = tokens[:size - -(-self.percent * size // 100) + 1]
-                for p in np.setdiff1d(np.arange(n, dtype=np.uint64), held):
-                    out.append(scramble(scramble(prefix + salt[1]) + p * MIX[1] + salt[0]))
+                for p in np.setdiff1d(np.arange(n, dtype=np.uint64), held) * MIX[1]:
+                    out.append(scramble(scramble(prefix + salt[1]) + (salt[:1] ^ p)))
         return np.concatenate(out).astype(np.int64)
 
 
@@ -190,11 +190,7 @@ def near_copies(docs: DataFrame, width: int = 5, percent: int = 80, unit_shingle
     blocks = stored(blocks.select(F.col("component").alias("unit"), F.ceil(F.col("total") / unit_shingles).cast("int").alias("blocks")), "units")
     dealt = members.join(blocks, F.col("component") == F.col("unit"))
     own = F.pmod(F.xxhash64(F.lit(31), "h1"), F.col("blocks")).cast("int")
-    # A pair of blocks (i, j) holds both; a unit of one block is its own pair.
-    pairs = F.when(F.col("blocks") == 1, F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))).otherwise(F.transform(
-        F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: k != F.col("own")),
-        lambda k: F.struct(F.least("own", k).alias("i"), F.greatest("own", k).alias("j"))))
-    dealt = stored(dealt.withColumn("own", own).select("unit", "r_doc", "r_th", F.explode(pairs).alias("p"))
+    dealt = stored(dealt.withColumn("own", own).select("unit", "r_doc", "r_th", F.explode(block_pairs()).alias("p"))
                    .select("unit", "p.i", "p.j", "r_doc", "r_th"), "dealt")
     texts = docs.withColumn("th", F.xxhash64("text")).join(dealt, same).select("unit", "i", "j", "text")
     links = components(stored(searched(texts, width, percent), "links"))
