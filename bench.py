@@ -30,7 +30,8 @@ def main() -> None:
     names = sys.argv[1:] or HEADLINE
     from corpusflow.session import get_spark
     from corpusflow.plans.queries import QUERIES
-    spark = get_spark(master=f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus))
+    spark = get_spark(master=f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus), conf={
+        "spark.driver.memory": "16g", "spark.corpusflow.minTextSplits": str(2 * cpus)})
     first, warm = {}, {}
     for name in names:
         spark.catalog.clearCache()

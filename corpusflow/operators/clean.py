@@ -24,7 +24,7 @@ def filter_short(df: DataFrame, text_col: str = "transcription", min_length: int
     return df.filter(F.length(text_col) >= min_length)
 
 
-def handle_outliers(df: DataFrame, text_col: str = "transcription", method: str = "cap",
+def handle_outliers(df: DataFrame, text_col: str = "transcription", method: str = "keep",
                     max_length: int = 8000) -> DataFrame:
     """``cap``: cut to the first max_length characters; ``remove``: keep len <= max_length;
     ``keep``: identity."""
@@ -94,9 +94,12 @@ def class_distribution(df: DataFrame, target_col: str = "medical_specialty") ->
 
 def clean_pipeline(df: DataFrame, text_col: str = "transcription",
                    target_col: str = "medical_specialty", n_classes: int = 15,
-                   outlier_method: str = "cap", max_text_length: int = 8000,
+                   outlier_method: str = "keep", max_text_length: int = 8000,
                    min_text_length: int = 50, legacy_quotes: bool = False) -> DataFrame:
-    """missing -> text quality -> outliers -> class reduction, as one lazy plan."""
+    """missing -> text quality -> outliers -> class reduction, as one lazy plan.
+
+    Texts stay whole unless ``outlier_method`` asks for a cut or a filter.
+    """
     out = clean_missing(df, text_col)
     out = clean_text_quality(out, text_col, min_text_length, legacy_quotes)
     out = handle_outliers(out, text_col, outlier_method, max_text_length)

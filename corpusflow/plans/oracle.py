@@ -25,6 +25,7 @@ def pct(x: str, n: str) -> str:
 
 
 CLEAN = S.clean_docs()
+CAPPED = S.clean_docs(method="cap")
 WC = S.word_count("transcription")
 
 oracle("table_profile", """
@@ -252,11 +253,11 @@ r AS (SELECT CASE WHEN top.c IS NOT NULL THEN k.medical_specialty ELSE 'Other' E
       FROM k LEFT JOIN top ON k.medical_specialty = top.c)
 SELECT class, count(*) AS n, {pct('count(*)', '(SELECT count(*) FROM r)')} AS pct FROM r GROUP BY 1""")
 
-oracle("clean_pipeline", f"""WITH {CLEAN}
+oracle("clean_pipeline", f"""WITH {CAPPED}
 SELECT doc_id, medical_specialty, CAST(length(transcription) AS INTEGER) AS chars,
        substr(sha256(transcription), 1, 16) AS text_hash FROM clean_docs""")
 
-oracle("clean_summary", f"""WITH {CLEAN},
+oracle("clean_summary", f"""WITH {CAPPED},
 b AS (SELECT count(*) AS rows_before, count(DISTINCT medical_specialty) AS classes_before FROM raw_docs)
 SELECT rows_before, count(*) AS rows_after, rows_before - count(*) AS rows_removed,
        round(100.0::DOUBLE * (rows_before - count(*)) / rows_before, 6) AS removed_pct,

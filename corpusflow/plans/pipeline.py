@@ -7,7 +7,7 @@ documents (e.g. the training split) while still transforming all of them.
 """
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
@@ -19,17 +19,62 @@ from corpusflow.operators import profile as pr
 from corpusflow.session import ensure_checkpoint_dir
 
 
-@dataclass
 class Features:
-    docs: DataFrame          # doc_id, label, sample_name, description, transcription, *_cleaned
-    counts: DataFrame        # doc_id, term, tf
-    vocab: DataFrame         # term, df, cf, idf, feature_index
-    tfidf: DataFrame         # doc_id, term, value
-    dense: DataFrame         # doc_id + dense feature columns
-    matrix: DataFrame        # doc_id, feature, value (long, sparse)
-    labels: DataFrame        # doc_id, label, class_id
-    n_docs: Column           # scalar: number of documents
-    n_features: Column       # scalar: number of features
+    """The feature tables, each built when it is first asked for.
+
+    ``docs`` doc_id, label, sample_name, description, transcription, *_cleaned;
+    ``counts`` doc_id, term, tf; ``vocab`` term, df, cf, idf, feature_index;
+    ``tfidf`` doc_id, term, value; ``dense`` doc_id + dense feature columns;
+    ``matrix`` doc_id, feature, value (long, sparse); ``labels`` doc_id, label,
+    class_id (reads no normalised text); ``n_docs`` and ``n_features`` scalars.
+    """
+
+    def __init__(self, docs: DataFrame, text_col: str, max_features: int | None, min_df, max_df, ngram, stop_words,
+                 fit_on: DataFrame | None, mode: str):
+        self._source, self._text_col, self._mode, self._fit_on = docs, text_col, mode, fit_on
+        self._max_features, self._min_df, self._max_df, self._ngram, self._stops = max_features, min_df, max_df, ngram, stop_words
+
+    @cached_property
+    def docs(self) -> DataFrame:
+        return _cut(self._source, self._mode)
+
+    @cached_property
+    def counts(self) -> DataFrame:
+        return _cut(fe.term_counts(self.docs, self._text_col, "doc_id", self._ngram, self._stops), self._mode)
+
+    @cached_property
+    def vocab(self) -> DataFrame:
+        counts, docs = self.counts, self.docs
+        if self._fit_on is not None:
+            docs = self._fit_on
+            counts = counts.join(docs.select("doc_id"), "doc_id", "left_semi")
+        n = docs.select(F.count(F.lit(1))).scalar()
+        return _cut(fe.vocabulary(counts, n, self._min_df, self._max_df, self._max_features), self._mode)
+
+    @cached_property
+    def tfidf(self) -> DataFrame:
+        return fe.tfidf(self.counts, self.vocab)
+
+    @cached_property
+    def dense(self) -> DataFrame:
+        return fe.dense_features(self.docs, fe.label_index(self.docs, "sample_name", null_as="unknown"))
+
+    @cached_property
+    def matrix(self) -> DataFrame:
+        return _cut(fe.feature_matrix(self.tfidf, self.dense), self._mode)
+
+    @cached_property
+    def labels(self) -> DataFrame:
+        named = self._source.select("doc_id", "label")
+        return _cut(fe.encode(named, "label", fe.label_index(named, "label"), "class_id"), self._mode)
+
+    @cached_property
+    def n_docs(self) -> Column:
+        return self.docs.select(F.count(F.lit(1))).scalar()
+
+    @cached_property
+    def n_features(self) -> Column:
+        return self.vocab.select(F.count(F.lit(1))).scalar() + F.lit(len(fe.LENGTH_FEATURES + fe.CATEGORY_FEATURES))
 
 
 def prepare_docs(clean: DataFrame, label_col: str = "lang", data_driven: bool = True) -> DataFrame:
@@ -72,18 +117,4 @@ def build_features(docs: DataFrame, text_col: str = "transcription_cleaned", max
     if mode == "checkpoint":
         ensure_checkpoint_dir(docs.sparkSession)
     stops = fe.english_stop_words() if stop_words is None else stop_words
-    docs = _cut(docs, mode)
-    counts = _cut(fe.term_counts(docs, text_col, "doc_id", ngram, stops), mode)
-    fit_counts = counts if fit_on is None else counts.join(fit_on.select("doc_id"), "doc_id", "left_semi")
-    fit_docs = docs if fit_on is None else fit_on
-    n_fit = fit_docs.select(F.count(F.lit(1))).scalar()
-    vocab = _cut(fe.vocabulary(fit_counts, n_fit, min_df, max_df, max_features), mode)
-    tfidf = fe.tfidf(counts, vocab)
-    sample_index = fe.label_index(docs, "sample_name", null_as="unknown")
-    dense = fe.dense_features(docs, sample_index)
-    matrix = _cut(fe.feature_matrix(tfidf, dense), mode)
-    class_index = fe.label_index(docs, "label")
-    labels = _cut(fe.encode(docs.select("doc_id", "label"), "label", class_index, "class_id"), mode)
-    n_docs = docs.select(F.count(F.lit(1))).scalar()
-    n_feat = vocab.select(F.count(F.lit(1))).scalar() + F.lit(len(fe.LENGTH_FEATURES + fe.CATEGORY_FEATURES))
-    return Features(docs, counts, vocab, tfidf, dense, matrix, labels, n_docs, n_feat)
+    return Features(docs, text_col, max_features, min_df, max_df, ngram, stops, fit_on, mode)

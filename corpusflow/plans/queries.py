@@ -27,12 +27,12 @@ def query(name: str):
     return deco
 
 
-def _raw(spark, sf):
-    return labelled_documents(spark, sf)
+def _raw(spark, sf, **kw):
+    return labelled_documents(spark, sf, **kw)
 
 
-def _clean(spark, sf):
-    return cl.clean_pipeline(_raw(spark, sf))
+def _clean(spark, sf, **kw):
+    return cl.clean_pipeline(_raw(spark, sf), **kw)
 
 
 # --- sources / inspection -------------------------------------------------
@@ -107,7 +107,7 @@ def q_class_top_n(spark, sf):
 
 @query("null_profile")
 def q_null_profile(spark, sf):
-    return pr.null_profile(_raw(spark, sf))
+    return pr.null_profile(_raw(spark, sf, keywords=True))
 
 
 @query("duplicate_rows")
@@ -162,7 +162,7 @@ def q_class_top_terms(spark, sf):
 
 @query("feature_availability")
 def q_feature_availability(spark, sf):
-    return pr.feature_availability(_raw(spark, sf))
+    return pr.feature_availability(_raw(spark, sf, keywords=True))
 
 
 @query("eda_summary")
@@ -183,14 +183,14 @@ def q_reduce_classes(spark, sf):
 
 @query("clean_pipeline")
 def q_clean_pipeline(spark, sf):
-    return _clean(spark, sf).select("doc_id", "medical_specialty",
-                                    F.length("transcription").alias("chars"),
-                                    tx.sha256_prefix(F.col("transcription")).alias("text_hash"))
+    return _clean(spark, sf, outlier_method="cap").select(
+        "doc_id", "medical_specialty", F.length("transcription").alias("chars"),
+        tx.sha256_prefix(F.col("transcription")).alias("text_hash"))
 
 
 @query("clean_summary")
 def q_clean_summary(spark, sf):
-    return cl.clean_summary(_raw(spark, sf), _clean(spark, sf))
+    return cl.clean_summary(_raw(spark, sf), _clean(spark, sf, outlier_method="cap"))
 
 
 # --- text normalisation and features of single texts -------------------------

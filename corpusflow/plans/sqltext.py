@@ -96,13 +96,13 @@ def str_list(words) -> str:
 
 
 RAW_DOCS = """raw_docs AS (
-  SELECT d.doc_id, substr(d.text, 1, 80) AS description, d.source AS medical_specialty,
+  SELECT d.doc_id, concat_ws(' ', d.source, d.lang) AS description, d.source AS medical_specialty,
          d.source AS sample_name, d.text AS transcription, CAST(l.quality AS VARCHAR) AS keywords,
          d.lang
-  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"""
+  FROM documents d LEFT JOIN (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY doc_id) l ON d.doc_id = l.doc_id)"""
 
 
-def clean_docs(n_classes=15, min_len=50, max_len=8000, method="cap") -> str:
+def clean_docs(n_classes=15, min_len=50, max_len=8000, method="keep") -> str:
     """CTEs raw_docs .. clean_docs matching ``clean_pipeline`` on ``labelled_documents``."""
     cap = (f"CASE WHEN length(transcription) > {max_len} THEN substr(transcription, 1, {max_len}) "
            f"ELSE transcription END") if method == "cap" else "transcription"

@@ -1,24 +1,20 @@
 """Spark session helpers."""
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
 
 
 def get_spark(master: str | None = None, app: str = "corpusflow",
-              shuffle_partitions: int | None = None) -> SparkSession:
+              shuffle_partitions: int | None = None, conf: dict[str, str] | None = None) -> SparkSession:
     """Build (or reuse) a session with the settings the library assumes.
 
-    On a cluster the master and most settings come from spark-submit; the
-    values here are defaults that ``getOrCreate`` leaves alone when a session
-    already exists.
+    The master and memory come from spark-submit unless ``master`` or ``conf``
+    name them.
     """
-    cpus = os.environ.get("BENCH_CPUS", "8")
     builder = (
         SparkSession.builder
-        .master(master or f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -27,8 +23,11 @@ def get_spark(master: str | None = None, app: str = "corpusflow",
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", "16g")
     )
+    if master:
+        builder = builder.master(master)
+    for key, value in (conf or {}).items():
+        builder = builder.config(key, value)
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
@@ -53,6 +52,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     existing = sc.getCheckpointDir()
     if existing:
         return existing
+    master = sc.master or ""
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="corpusflow-ckpt-")
     sc.setCheckpointDir(path)
     return path

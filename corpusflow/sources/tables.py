@@ -13,23 +13,21 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 TEXT_TABLES = ("documents", "pages", "conversations", "benchmark")
 
 
+#: Session setting: spread text tables to at least this many partitions (unset: keep the scan's splits).
+MIN_TEXT_SPLITS = "spark.corpusflow.minTextSplits"
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet scan of one table; column pruning and filters reach the scan.
 
-    Text tables are spread to at least twice the default parallelism when the
-    scan yields fewer splits (a small file with one row group is one task,
-    which would run every regex of the corpus on one core).  On a cluster the
-    scan of a large table already has many more splits and nothing is added.
+    A session may ask for a least number of partitions of the text tables
+    (``MIN_TEXT_SPLITS``), for small files of one row group, whose regexes would
+    otherwise run on one core.  It is off unless set.
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if name in TEXT_TABLES:
-        try:
-            target = 2 * spark.sparkContext.defaultParallelism
-            splits = df.rdd.getNumPartitions()
-        except Exception:  # noqa: BLE001  (no RDD API, e.g. Spark Connect: keep the scan as is)
-            return df
-        if splits < target:
-            df = df.repartition(target)
+    wanted = spark.conf.get(MIN_TEXT_SPLITS, None)
+    if wanted and name in TEXT_TABLES:
+        df = df.repartition(int(wanted))
     return df
 
 
@@ -37,23 +35,20 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents")
 
 
-def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def labelled_documents(spark: SparkSession, sf_dir: str, keywords: bool = False) -> DataFrame:
     """Documents shaped like the reference's raw table.
 
-    ``transcription`` = text, ``description`` = first 80 characters,
-    ``sample_name`` = source, ``medical_specialty`` = source, and a sparse
-    ``keywords`` column from the labels table (null where a document has no
-    label row).  The labels join is a left join on the key; labels are one row
-    per document, so the join does not multiply rows.
+    ``transcription`` = text, ``description`` = source and language,
+    ``sample_name`` = ``medical_specialty`` = source.  With ``keywords`` there is
+    also that sparse column, from the labels table (one value per document, null
+    where it has none); only then are labels read and joined.
     """
     docs = documents(spark, sf_dir)
-    labels = read_table(spark, sf_dir, "labels").select(
-        "doc_id", F.col("quality").cast("string").alias("keywords"))
-    return (docs.join(labels, "doc_id", "left")
-            .select("doc_id",
-                    F.substring("text", 1, 80).alias("description"),
-                    F.col("source").alias("medical_specialty"),
-                    F.col("source").alias("sample_name"),
-                    F.col("text").alias("transcription"),
-                    "keywords",
-                    "lang"))
+    out = docs.select("doc_id", F.concat_ws(" ", "source", "lang").alias("description"),
+                      F.col("source").alias("medical_specialty"), F.col("source").alias("sample_name"),
+                      F.col("text").alias("transcription"), "lang")
+    if not keywords:
+        return out
+    labels = read_table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").cast("string").alias("keywords"))
+    return out.join(labels, "doc_id", "left").select("doc_id", "description", "medical_specialty", "sample_name",
+                                                     "transcription", "keywords", "lang")
