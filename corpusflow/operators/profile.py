@@ -63,7 +63,8 @@ def null_profile(df: DataFrame, only_missing: bool = False) -> DataFrame:
 def duplicate_rows(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Rows that repeat an earlier identical row (counted, never removed)."""
     cols = cols or df.columns
-    groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("c"))
+    row = F.struct(*[F.col(c) for c in cols])
+    groups = df.groupBy(F.sha2(F.to_json(row, {"ignoreNullFields": "false"}), 256).alias("row")).agg(F.count(F.lit(1)).alias("c"))
     return groups.agg(F.coalesce(F.sum(F.col("c") - 1), F.lit(0)).cast("long").alias("duplicate_rows"),
                       F.coalesce(F.sum("c"), F.lit(0)).cast("long").alias("n_rows"))
 

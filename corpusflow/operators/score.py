@@ -38,13 +38,24 @@ def prediction_log_rows(texts: DataFrame, pred: DataFrame, class_index: DataFram
 
 def error_log(rejected: DataFrame, text_col: str = "text", id_col: str = "doc_id",
               error_type: str = "ValidationError") -> DataFrame:
-    """Error rows for rejected inputs with a running error count (ordered by id)."""
-    w = Window.orderBy(id_col).rowsBetween(Window.unboundedPreceding, 0)
-    return rejected.select(
+    """Error rows for rejected inputs with a running error count (ordered by a numeric id).
+
+    The ids are cut into 256 ranges at approximate quantiles; each range counts
+    its own rows and adds the rows of the ranges below.
+    """
+    cuts = rejected.agg(F.percentile_approx(id_col, [k / 256 for k in range(1, 256)], 10_000)).scalar()
+    ranged = rejected.withColumn("__cuts", cuts)
+    ranged = ranged.withColumn("__range", F.coalesce(F.size(F.filter("__cuts", lambda c: c < F.col(id_col))), F.lit(0)))
+    below = ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))
+    up_to = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)  # 256 rows at most
+    below = below.select(F.col("__range").alias("__r"), F.coalesce(F.sum("__n").over(up_to), F.lit(0)).alias("__below"))
+    w = Window.partitionBy("__range").orderBy(id_col)
+    counted = ranged.withColumn("__own", F.row_number().over(w))
+    return counted.join(below, F.col("__range") == F.col("__r")).select(
         F.lit("PREDICTION_ERROR").alias("event_type"), F.col(id_col).alias("id"),
         tx.sha256_prefix(F.coalesce(F.col(text_col), F.lit(""))).alias("input_hash"),
         F.lit(error_type).alias("error_type"), F.col("reject_reason").alias("error_message"),
-        F.count(F.lit(1)).over(w).alias("total_errors"))
+        (F.col("__own") + F.col("__below")).alias("total_errors"))
 
 
 def model_gate(accuracy_col, fail_below: float = 0.4, warn_below: float = 0.6) -> DataFrame:
@@ -59,28 +70,29 @@ def leaderboard(results: DataFrame, n_classes, baseline: float = 0.37) -> DataFr
     ok = results.filter(F.col("status") == "success")
     w = Window.orderBy(F.desc("accuracy"), F.asc("name"))
     ranked = ok.select("name", "accuracy", F.rank().over(w).alias("rank"))
-    band = (F.when(F.col("accuracy") >= 0.45, F.lit("excellent"))
-            .when(F.col("accuracy") >= 0.40, F.lit("good"))
-            .when(F.col("accuracy") >= baseline, F.lit("baseline")).otherwise(F.lit("below_baseline")))
+    band = (F.when(F.col("accuracy") > 0.45, F.lit("excellent"))
+            .when(F.col("accuracy") > 0.40, F.lit("good"))
+            .when(F.col("accuracy") > baseline, F.lit("baseline")).otherwise(F.lit("below_baseline")))
     return ranked.select("rank", "name", F.round("accuracy", 6).alias("accuracy"),
                          F.round(F.col("accuracy") - baseline, 6).alias("vs_baseline"),
                          F.round(F.col("accuracy") / (F.lit(1.0) / n_classes), 6).alias("vs_random"),
                          band.alias("band"))
 
 
-# Feature-kind rules, first match wins.
+# Feature-kind rules on the lower-case name, first match wins; a
+# name of three letters or more without an underscore is a TF-IDF word.
 FEATURE_KIND_RULES = [
-    ("tfidf", r"^tfidf_"),
-    ("keywords", r"keyword"),
-    ("readability", r"readab|flesch|syllable"),
-    ("length", r"length|count|ratio"),
-    ("medical_entities", r"medical|entity|entities"),
+    ("tfidf", r"tfidf_|word_|token_|^\p{L}{3,}$"),
+    ("keywords", r"keyword_|medical_keyword|specialty_keyword"),
+    ("readability", r"flesch|kincaid|coleman|automated_readability|gunning_fog|smog|syllable|sentence_count"),
+    ("length", r"length|word_count|char_count|line_count|avg_word_length|avg_sentence_length"),
+    ("medical_entities", r"entity_|medical_entity|ner_|drug_|disease_|symptom_"),
 ]
 
 
 def feature_kinds(features: DataFrame, col: str = "feature") -> DataFrame:
     kind = None
     for name, rx in FEATURE_KIND_RULES:
-        cond = F.col(col).rlike(rx)
+        cond = F.lower(col).rlike(rx)
         kind = F.when(cond, F.lit(name)) if kind is None else kind.when(cond, F.lit(name))
     return features.select(col, kind.otherwise(F.lit("other")).alias("kind"))

@@ -438,7 +438,8 @@ FROM g""")
 
 oracle("recent_errors", f"""WITH {REQ}
 SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, endpoint, status_code FROM requests
-WHERE status_code >= 400 ORDER BY requests.ts DESC, event_id DESC LIMIT 10""")
+WHERE status_code >= 400 AND ts > (SELECT max(ts) FROM requests) - INTERVAL 24 HOUR
+ORDER BY requests.ts DESC, event_id DESC LIMIT 10""")
 
 oracle("hourly_trends", f"""WITH {REQ}, t AS (SELECT date_trunc('hour', max(ts)) AS top FROM requests),
 cal AS (SELECT unnest(generate_series(top - INTERVAL 23 HOUR, top, INTERVAL 1 HOUR)) AS hour FROM t),
@@ -513,11 +514,11 @@ SELECT round(age, 6) AS model_age_hours, total_predictions, round(rpm, 6) AS req
        round(conf, 6) AS recent_confidence,
        array_to_string(list_transform(alerts, lambda x: x.type || ':' || x.severity), ',') AS staleness_alerts,
        CAST(len(alerts) AS INTEGER) AS staleness_score,
-       CASE WHEN len(alerts) = 0 THEN 'Model is fresh and performing well'
-            WHEN hi >= 2 THEN 'URGENT: Consider retraining model immediately with fresh data'
-            WHEN hi >= 1 THEN 'Consider retraining model with recent data within 24-48 hours'
-            WHEN med >= 2 THEN 'Monitor closely and consider retraining within 1 week'
-            ELSE 'Monitor model performance and consider retraining schedule' END AS recommendation
+       CASE WHEN len(alerts) = 0 THEN 'none'
+            WHEN hi >= 2 THEN 'retrain_now'
+            WHEN hi >= 1 THEN 'retrain_within_days'
+            WHEN med >= 2 THEN 'watch_and_retrain_within_a_week'
+            ELSE 'watch' END AS recommendation
 FROM h""")
 
 oracle("usage_by_client", f"""WITH {REQ}
@@ -980,6 +981,6 @@ res AS (
 kk AS (SELECT count(DISTINCT class_id) AS k FROM labels)
 SELECT CAST(rank() OVER (ORDER BY accuracy DESC, name ASC) AS INTEGER) AS rank, name, round(accuracy, 6) AS accuracy,
        round(accuracy - 0.37, 6) AS vs_baseline, round(accuracy / (1.0 / k), 6) AS vs_random,
-       CASE WHEN accuracy >= 0.45 THEN 'excellent' WHEN accuracy >= 0.40 THEN 'good'
-            WHEN accuracy >= 0.37 THEN 'baseline' ELSE 'below_baseline' END AS band
+       CASE WHEN accuracy > 0.45 THEN 'excellent' WHEN accuracy > 0.40 THEN 'good'
+            WHEN accuracy > 0.37 THEN 'baseline' ELSE 'below_baseline' END AS band
 FROM res, kk""")

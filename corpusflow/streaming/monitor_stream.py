@@ -8,7 +8,6 @@ the batch report over the stored log stays authoritative.
 """
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -76,43 +75,40 @@ def alert_stream(hourly: DataFrame, error_pct: float = 5.0) -> DataFrame:
                                                    F.lit("HIGH_ERROR_RATE").alias("alert"))
 
 
-def run_to_table(df: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """Run a stream over everything available into an in-memory table and return it.
+def run_to_table(df: DataFrame, name: str, mode: str = "append", run: str | None = None) -> DataFrame:
+    """Run a stream over everything available into a Parquet table and return it."""
+    return foreach_batch_to_table(df, name, lambda batch, epoch: batch, mode=mode, run=run)
 
-    The checkpoint goes under the session's ``spark.checkpoint.dir`` (a shared
-    folder on a cluster), so a restarted query resumes instead of recomputing.
-    """
-    spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark)
-    ck = os.path.join(base, "streams", f"{name}-{uuid.uuid4().hex}")
-    table = f"{name}_{uuid.uuid4().hex[:8]}"
-    q = (df.writeStream.outputMode(mode).format("memory").queryName(table)
-         .option("checkpointLocation", ck).start())
-    try:
-        q.processAllAvailable()
-    finally:
-        q.stop()
-    return spark.table(table)
 
+def foreach_batch_to_table(df: DataFrame, name: str, handler, mode: str = "append", run: str | None = None) -> DataFrame:
+    """Run ``handler(batch_df, epoch_id) -> DataFrame`` per micro-batch into a Parquet table; return that table.
 
-def foreach_batch_to_table(df: DataFrame, name: str, handler, out_path: str | None = None) -> DataFrame:
-    """Run ``handler(batch_df, epoch_id) -> DataFrame`` per micro-batch, appending its
-    output to a parquet table under the checkpoint folder; return that table."""
+    Table and checkpoint lie under the session's ``spark.checkpoint.dir`` (a
+    shared folder on a cluster).  Each epoch has a folder of its own, which a
+    replayed epoch overwrites.  A caller that passes the same ``run`` again
+    resumes where it stopped.  In ``complete`` mode the table is the last epoch's.
+    """
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark)
-    run = uuid.uuid4().hex
-    out = out_path or os.path.join(base, "tables", f"{name}-{run}")
-    ck = os.path.join(base, "streams", f"{name}-{run}")
+    run = run or uuid.uuid4().hex
+    out = f"{base}/tables/{name}-{run}"
+    last = {"epoch": None, "schema": None}
 
     def sink(batch, epoch):
-        handler(batch, epoch).write.mode("append").parquet(out)
+        rows = handler(batch, epoch)
+        rows.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+        last.update(epoch=epoch, schema=rows.schema)
 
-    q = df.writeStream.foreachBatch(sink).option("checkpointLocation", ck).start()
+    q = df.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", f"{base}/streams/{name}-{run}").start()
     try:
         q.processAllAvailable()
     finally:
         q.stop()
-    return spark.read.parquet(out)
+    if mode == "complete" and last["epoch"] is not None:
+        return spark.read.schema(last["schema"]).parquet(f"{out}/epoch={last['epoch']}")
+    if last["schema"] is None:  # nothing new: the table is what earlier runs wrote
+        return spark.read.option("basePath", out).parquet(out).drop("epoch")
+    return spark.read.schema(last["schema"]).option("basePath", out).parquet(out).select(*last["schema"].names)
 
 
 def request_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
