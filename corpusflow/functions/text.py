@@ -324,3 +324,10 @@ def text_stats(col) -> Column:
         ratio(digits).alias("digit_ratio"),
         ratio(punct).alias("punctuation_ratio"),
     )
+
+
+def normalize_endpoint(c: Column) -> Column:
+    """URL-decoded endpoint name with a leading slash; a name that does not decode stays as it is."""
+    # url_decode reads '+' as a space; a path's '+' is itself.
+    plain = F.coalesce(F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), c)
+    return F.when(F.startswith(plain, F.lit("/")), plain).otherwise(F.concat(F.lit("/"), plain))

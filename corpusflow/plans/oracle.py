@@ -984,3 +984,17 @@ SELECT CAST(rank() OVER (ORDER BY accuracy DESC, name ASC) AS INTEGER) AS rank,
        CASE WHEN accuracy > 0.45 THEN 'excellent' WHEN accuracy > 0.40 THEN 'good'
             WHEN accuracy > 0.37 THEN 'baseline' ELSE 'below_baseline' END AS band
 FROM res, kk""")
+
+
+# --- tables on disk ------------------------------------------------------------------------
+
+oracle("csv_scan", """SELECT doc_id, CAST(length(text) AS INTEGER) AS chars, substr(sha256(text), 1, 16) AS text_hash, lang, source
+FROM documents""")
+oracle("table_sink", """SELECT lang, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS chars FROM documents WHERE lang = 'en' GROUP BY lang""")
+ORACLE["feature_store"] = ORACLE["vocabulary"]
+ORACLE["model_store"] = ORACLE["nb_predict"]
+oracle("run_history", """WITH n AS (SELECT (SELECT count(*) FROM documents) + (SELECT count(*) FROM labels) + (SELECT count(*) FROM events) AS n)
+SELECT 'count_tables' AS job, 'run-' || k AS run_id, 3 AS steps, 0 AS failed, 'events' AS last_step, 3 - k AS age, n AS rows_seen
+FROM n, (VALUES (1), (2)) r(k)""")
+oracle("normalize_endpoint", """WITH p AS (SELECT page_id, url_decode(regexp_replace(url, '^https?://[^/]*/?', '')) AS e FROM pages)
+SELECT page_id, CASE WHEN e LIKE '/%' THEN e ELSE '/' || e END AS endpoint FROM p""")

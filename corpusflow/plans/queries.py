@@ -1140,3 +1140,71 @@ def q_selector_compare(spark, sf):
         out = r if out is None else out.unionByName(r)
     w = Window.orderBy(F.desc("accuracy"), "method", "k")
     return out.select("*", (F.row_number().over(w) == 1).alias("is_best"))
+
+
+# --- tables on disk ------------------------------------------------------------------------
+
+import uuid  # noqa: E402
+
+from corpusflow.session import ensure_checkpoint_dir  # noqa: E402
+from corpusflow.sources import store  # noqa: E402
+
+
+def _folder(spark, name):
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query("csv_scan")
+def q_csv_scan(spark, sf):
+    """The documents written as CSV and scanned again."""
+    d = documents(spark, sf).select("doc_id", "text", "lang", "source")
+    path = store.write_table(d, _folder(spark, "csv"), "csv")
+    back = store.read_csv(spark, path, "doc_id long, text string, lang string, source string")
+    return back.select("doc_id", F.length("text").alias("chars"), tx.sha256_prefix(F.col("text")).alias("text_hash"), "lang", "source")
+
+
+@query("table_sink")
+def q_table_sink(spark, sf):
+    """A table partitioned by language, read with the partitions pruned."""
+    d = documents(spark, sf).select("doc_id", "lang", F.length("text").alias("chars"))
+    path = store.write_table(d, _folder(spark, "table"), partition_by=("lang",))
+    return spark.read.parquet(path).filter(F.col("lang") == "en").groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"))
+
+
+@query("feature_store")
+def q_feature_store(spark, sf):
+    """S3: vocabulary saved and loaded."""
+    kept = store.FeatureStore(spark, _folder(spark, "features")).save(_features(spark, sf), ("vocab",))
+    return kept.load("vocab").select("term", "df", "cf", F.round("idf", 6).alias("idf"), "feature_index")
+
+
+@query("model_store")
+def q_model_store(spark, sf):
+    """Naive Bayes trained on the training rows, saved, loaded, and used on the test rows."""
+    f = _features(spark, sf)
+    split = md.split_holdout(f.labels)
+    train = split.filter(~F.col("is_test")).select("doc_id", "class_id")
+    test = split.filter(F.col("is_test")).select("doc_id", "class_id")
+    path = store.save_nb(md.nb_fit(f.matrix.join(train, "doc_id", "left_semi"), train, n_features=f.n_features), _folder(spark, "nb"))
+    pred = md.nb_predict(store.load_nb(spark, path), f.matrix.join(test, "doc_id", "left_semi"), test).join(test, "doc_id")
+    return _r6(pred.select("doc_id", "class_id", "pred_class_id", "confidence"), ["confidence"])
+
+
+@query("run_history")
+def q_run_history(spark, sf):
+    """One logged step per table of a check job, and the job's last runs."""
+    log = store.RunLog(spark, _folder(spark, "runs"))
+    for run in ("run-1", "run-2"):
+        for no, name in enumerate(("documents", "labels", "events"), 1):
+            log.step(run, "count_tables", no, name, lambda name=name: (read_table(spark, sf, name).count(), None))
+    runs = log.history(10).select("job", "run_id", "steps", "failed", "last_step", "age")
+    sums = log.table().groupBy("job", "run_id").agg(F.sum("value").cast("long").alias("rows_seen"))
+    return runs.join(sums, ["job", "run_id"])
+
+
+@query("normalize_endpoint")
+def q_normalize_endpoint(spark, sf):
+    """T20 over the page addresses."""
+    p = read_table(spark, sf, "pages")
+    return p.select("page_id", tx.normalize_endpoint(F.regexp_replace("url", "^https?://[^/]*/?", "")).alias("endpoint"))
