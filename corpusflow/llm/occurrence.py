@@ -2,12 +2,15 @@
 from __future__ import annotations
 
 import heapq
-import math
 from bisect import bisect_left
 
 import numpy as np
 
 
+#: Up to this many entries go through the heap, and up to this many candidates are probed one by one.
+HEAP, FEW = 1_000, 4
+
+
 class Lists:
     """Inverted lists: token -> documents that hold it, in ascending order."""
 
@@ -17,7 +20,16 @@ class Lists:
         order = np.argsort(tokens, kind="stable")
         self.tokens, starts = np.unique(tokens[order], return_index=True)
         self.starts = np.append(starts, len(tokens))
-        self.owners = owners[order].tolist()
+        self.packed = owners[order].astype(np.int32)
+        self.owners = self.packed.tolist()
+
+    def counted(self, spans: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
+        """The documents in these lists, and in how many of them each is."""
+        if not spans:
+            return [], []
+        n = np.bincount(np.concatenate([self.packed[a:b] for a, b in spans]))
+        held = np.flatnonzero(n)
+        return held.tolist(), n[held].tolist()
 
     def spans(self, tokens: np.ndarray) -> list[tuple[int, int]]:
         """(begin, end) of each token's list, shortest first; tokens without one are left out."""
@@ -29,35 +41,34 @@ class Lists:
         return list(zip(begin[order].tolist(), end[order].tolist()))
 
 
-def long_lists(spans: list[tuple[int, int]], least: int) -> int:
-    """How many of the longest lists to probe instead of merging them (below ``least``).
+def occurring(lists: Lists, tokens: np.ndarray, least: int, wanted) -> list[tuple[int, int]]:
+    """(document, overlap) of the ``wanted`` documents that hold ``least`` or more of ``tokens``.
 
-    Probing a list costs a binary search per candidate, merging it a step per
-    entry: the more entries the longest list has, the fewer lists are probed.
+    The ``least - 1`` longest lists are probed and the others, the rarest tokens,
+    merged by a heap: a document outside of all merged lists cannot have the
+    overlap.  In a group of alike documents nearly all lists are long and nearly
+    all documents are candidates; entries beyond ``HEAP`` and candidates beyond
+    ``FEW`` are counted by one pass over the lists instead, with the same result.
     """
-    longest = spans[-1][1] - spans[-1][0]
-    return min(least - 1, max(0, int(least / (0.01 * math.log2(longest + 1) + 1))))
-
-
-def occurring(lists: Lists, tokens: np.ndarray, least: int, wanted) -> list[tuple[int, int]]:
-    """(document, overlap) of the ``wanted`` documents that hold ``least`` or more of ``tokens``."""
     spans = lists.spans(tokens)
     if len(spans) < least:
         return []
-    probed = long_lists(spans, least)
-    merged, probes = spans[:len(spans) - probed], spans[len(spans) - probed:]
-    owners, out = lists.owners, []
-    current, count = -1, 0
-    candidates = []
-    for d in heapq.merge(*[owners[a:b] for a, b in merged]):
-        if d != current:
-            if count >= least - probed and wanted[current]:
-                candidates.append((current, count))
-            current, count = d, 0
-        count += 1
-    if count >= least - probed and wanted[current]:
-        candidates.append((current, count))
-    for d, count in candidates:
+    merged, probes = spans[:len(spans) - least + 1], spans[len(spans) - least + 1:]
+    owners = lists.owners
+    if sum(b - a for a, b in merged) > HEAP:
+        held, counts = lists.counted(merged)
+    else:
+        found: dict[int, int] = {}
+        for d in heapq.merge(*[owners[a:b] for a, b in merged]):
+            found[d] = found.get(d, 0) + 1
+        held, counts = list(found), list(found.values())
+    pairs = [(d, n) for d, n in zip(held, counts) if wanted[d]]
+    if len(pairs) > FEW:
+        held, counts = lists.counted(probes)
+        more = dict(zip(held, counts))
+        return [(d, n) for d, n in ((d, n + more.get(d, 0)) for d, n in pairs) if n >= least]
+    out = []
+    for d, count in pairs:
         left = len(probes)
         for a, b in probes:
             k = bisect_left(owners, d, a, b)
