@@ -183,7 +183,7 @@ def near_copies(docs: DataFrame, width: int = 5, percent: int = 80, unit_shingle
     classes = stored(classes.select("h1", "h2", "n", F.col("rep.doc_id").alias("r_doc"), F.col("rep.th").alias("r_th")), "classes")
     same = (F.col("th") == F.col("r_th")) & F.col("doc_id").eqNullSafe(F.col("r_doc"))
     reps = sets.select("doc_id", "th", "anchors").join(classes, same).select("h1", "anchors")
-    units = candidate_units(reps)
+    units = candidate_units(stored(reps, "reps"))
 
     members = stored(classes.join(units, F.col("h1") == F.col("node")).select("component", "h1", "n", "r_doc", "r_th"), "members")
     blocks = members.groupBy("component").agg(F.sum("n").alias("total"))
@@ -192,7 +192,8 @@ def near_copies(docs: DataFrame, width: int = 5, percent: int = 80, unit_shingle
     own = F.pmod(F.xxhash64(F.lit(31), "h1"), F.col("blocks")).cast("int")
     dealt = stored(dealt.withColumn("own", own).select("unit", "r_doc", "r_th", F.explode(block_pairs()).alias("p"))
                    .select("unit", "p.i", "p.j", "r_doc", "r_th"), "dealt")
-    texts = docs.withColumn("th", F.xxhash64("text")).join(dealt, same).select("unit", "i", "j", "text")
+    # The candidates grow with the corpus, so they are merged with the texts at every size, not broadcast.
+    texts = docs.withColumn("th", F.xxhash64("text")).join(dealt.hint("merge"), same).select("unit", "i", "j", "text")
     links = components(stored(searched(texts, width, percent), "links"))
 
     links = links.select(F.col("node").alias("l_node"), F.col("component").alias("l_root"))
