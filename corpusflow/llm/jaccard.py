@@ -34,14 +34,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusflow.llm.common import block_pairs, read, ship_package, stored
 from corpusflow.llm.components import components
 from corpusflow.llm.occurrence import linked
 
-UNIT_SHINGLES, MAX_WORDS = 2_000_000, 500_000
+UNIT_SHINGLES, MAX_WORDS, SAMPLE, HOT = 2_000_000, 500_000, 5_000, 20
 #: Odd multipliers that mix 64-bit hashes.
 MIX = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)]
 
@@ -130,32 +130,53 @@ class Bands:
         return np.concatenate(out).astype(np.int64)
 
 
-def sets_of(docs: DataFrame, width: int, bands: Bands | None) -> DataFrame:
-    """doc_id, th (text hash), n, h1, h2 and, with ``bands``, anchors of every row."""
-    ship_package(docs.sparkSession)
+def sets_of(docs: DataFrame, width: int) -> DataFrame:
+    """doc_id, th (text hash), n, h1 and h2 of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "th", "n", "h1", "h2"] + ["anchors"] * bool(bands)
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in found:
             sets = [shingles(t.as_py(), width) for t in batch.column(2)]
             h1, h2 = zip(*map(digest, sets)) if sets else ((), ())
-            columns = [batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64())]
-            if bands:
-                columns.append(pa.array([bands.anchors(s) for s in sets], pa.list_(pa.int64())))
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(c, pa.int64()) for c in ([len(s) for s in sets], h1, h2)]],
+                                             names=["doc_id", "th", "n", "h1", "h2"])
 
     rows = docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
-    return rows.mapInArrow(run, f"doc_id {kind}, th long, n long, h1 long, h2 long" + ", anchors array<long>" * bool(bands))
+    return rows.mapInArrow(run, f"doc_id {kind}, th long, n long, h1 long, h2 long")
+
+
+def anchors_of(docs: DataFrame, width: int, bands: Bands) -> DataFrame:
+    """(h1, anchor) of every row with a set."""
+
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
+            for begin in range(0, batch.num_rows, 500):
+                sets = [shingles(t.as_py(), width) for t in batch.column(0).slice(begin, 500)]
+                anchors = [bands.anchors(s) for s in sets]
+                h1 = np.repeat(np.array([digest(s)[0] for s in sets], dtype=np.int64), [len(a) for a in anchors])
+                yield pa.RecordBatch.from_arrays([pa.array(h1), pa.array(np.concatenate(anchors))], names=["h1", "anchor"])
+
+    return docs.select("text").mapInArrow(run, "h1 long, anchor long")
 
 
-def candidate_units(reps: DataFrame) -> DataFrame:
-    """(node, component) of the classes that share an anchor with another class."""
-    held = reps.select("h1", F.explode("anchors").alias("anchor"))
-    shared = held.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("h1").alias("hub")).where("n > 1")
-    shared = stored(shared.select(F.col("anchor").alias("shared"), "hub"), "anchors")
-    edges = held.join(shared, F.col("anchor") == F.col("shared")).where("h1 <> hub").select(F.col("h1").alias("a"), F.col("hub").alias("b"))
-    return components(edges.distinct())
+def candidate_units(docs: DataFrame, rows: int, width: int, bands: Bands) -> DataFrame:
+    """(node, component) of the classes that share an anchor with another class.
+
+    The classes of an anchor are chained in the order of their hashes.  Anchors
+    that ``HOT`` or more documents of a sample hold get a hub from the sample, and
+    their rows are spread by their own hash instead of meeting in one task; the
+    sample only decides who meets where, never which edges there are.  It has
+    about ``SAMPLE`` documents, so at most ``SAMPLE / HOT`` documents' worth of
+    anchors are broadcast.
+    """
+    drawn = docs.where(F.pmod(F.xxhash64(F.lit(33), "doc_id", F.xxhash64("text")), F.lit(1 << 30)) < SAMPLE * (1 << 30) / max(1, rows))
+    hot = anchors_of(drawn, width, bands).groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("h1").alias("hub"))
+    hot = stored(hot.where(F.col("n") >= HOT).select(F.col("anchor").alias("hot"), "hub"), "hot")
+    held = anchors_of(docs, width, bands).join(F.broadcast(hot), F.col("anchor") == F.col("hot"), "left")
+    held = held.select(F.when(F.col("hub").isNull(), F.col("anchor")).otherwise(F.xxhash64("anchor", "h1")).alias("key"), "h1", "hub")
+    before = F.lag("h1").over(Window.partitionBy("key").orderBy("h1"))
+    edges = held.select(F.col("h1").alias("a"), F.coalesce("hub", before).alias("b")).where("b IS NOT NULL AND a <> b")
+    return components(stored(edges.distinct(), "candidates"))
 
 
 def searched(rows: DataFrame, width: int, percent: int) -> DataFrame:
@@ -178,12 +199,12 @@ def searched(rows: DataFrame, width: int, percent: int) -> DataFrame:
 def near_copies(docs: DataFrame, width: int = 5, percent: int = 80, unit_shingles: int = UNIT_SHINGLES) -> DataFrame:
     """doc_id, th (xxHash64 of the text), n_shingles and component_id of every row of ``docs`` (doc_id, text)."""
     docs = docs.select("doc_id", "text")
-    sets = stored(sets_of(docs, width, Bands(percent)), "sets")
+    ship_package(docs.sparkSession)
+    sets = stored(sets_of(docs, width), "sets")
     classes = sets.where("n > 0").groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "th")).alias("rep"), F.first("n").alias("n"))
     classes = stored(classes.select("h1", "h2", "n", F.col("rep.doc_id").alias("r_doc"), F.col("rep.th").alias("r_th")), "classes")
     same = (F.col("th") == F.col("r_th")) & F.col("doc_id").eqNullSafe(F.col("r_doc"))
-    reps = sets.select("doc_id", "th", "anchors").join(classes, same).select("h1", "anchors")
-    units = candidate_units(stored(reps, "reps"))
+    units = candidate_units(docs, sets.count(), width, Bands(percent))
 
     members = stored(classes.join(units, F.col("h1") == F.col("node")).select("component", "h1", "n", "r_doc", "r_th"), "members")
     blocks = members.groupBy("component").agg(F.sum("n").alias("total"))
