@@ -30,6 +30,7 @@ columns are not read.
 """
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -91,6 +92,7 @@ class Bands:
 
     def __init__(self, percent: int, ratio: float = 1.5):
         self.percent, self.ratio = percent, ratio
+        self.known: dict[int, tuple[int, int]] = {}
 
     def start(self, band: int) -> int:
         return -(-int(self.ratio ** band * 1000) // 1000)
@@ -104,7 +106,14 @@ class Bands:
     def parts(self, band: int) -> tuple[int, int]:
         """(parts, spare): linked sets of the band differ in ``parts - spare - 1`` tokens at most."""
         most = 2 * (self.start(band + 1) - 1) * (100 - self.percent) // (100 + self.percent)
-        spare = 0 if most == 0 else 1 + most // (40 if self.percent >= 88 else 8)
+        spare = 0 if most == 0 else 1
+        smallest = self.start(band) * self.percent / 100  # of those that give anchors in this band
+        while spare and spare <= most:  # until the smallest sets seldom have more empty parts
+            n = most + 1 + spare
+            empty = n * math.exp(-smallest / n)
+            if spare >= empty + 3 * math.sqrt(empty):
+                break
+            spare += 1
         return most + 1 + spare, spare
 
     def anchors(self, tokens: np.ndarray) -> np.ndarray:
@@ -115,7 +124,9 @@ class Bands:
         bands = [own] + [own + 1] * (size * 100 // self.percent >= self.start(own + 1))
         out = []
         for band in bands:
-            n, spare = self.parts(band)
+            if band not in self.known:
+                self.known[band] = self.parts(band)
+            n, spare = self.known[band]
             salt = scramble(np.array([band * 2 + 1, n], dtype=np.uint64))
             part = (scramble(tokens ^ salt[0]) % np.uint64(n)).astype(np.int64)
             order = np.argsort(part, kind="stable")
