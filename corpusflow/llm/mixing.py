@@ -6,8 +6,9 @@ documents are then sampled with the probability that brings the cell's expected
 tokens to its weight.  Cells whose probability would pass 1 are kept whole and
 what they cannot give is spread over the other cells (``spread_rounds`` times).
 
-The text table is scanned twice and never shuffled: only cell sums move, and
-they are summed in every task before they do.
+The text table is scanned twice (once if only the decisions are asked for) and
+never shuffled: only cell sums move, and they are summed in every task before
+they do.
 
 Defined cases: a null source, language or text form is a category of its own,
 ``(none)``; tokens are the words ``[^\\x20\\x09-\\x0D]+``; documents without a word
@@ -100,12 +101,13 @@ def probabilities(cells: DataFrame, rate: float = RATE, spread_rounds: int = SPR
 
 def mix(docs: DataFrame, targets: Mapping[str, Mapping[str, float] | DataFrame] | None = None, rate: float = RATE,
         rounds: int = ROUNDS, spread_rounds: int = SPREAD_ROUNDS, seed: str = SEED, topic: Column | None = None,
-        flatten: Mapping[str, float] | None = None) -> DataFrame:
+        flatten: Mapping[str, float] | None = None, narrow: bool = False) -> DataFrame:
     """``docs`` with ``__tokens``, ``__source``, ``__lang``, ``__topic``, ``__probability`` and ``__kept``.
 
     ``targets`` may name shares per dimension; a dimension without one is
     flattened by its exponent.  ``topic`` is any column expression; the default
-    is the text's form.
+    is the text's form.  ``narrow`` leaves all columns but doc_id out and writes the
+    others once, so that texts are read and counted once.
     """
     spark, flatten = docs.sparkSession, dict(FLATTEN, **(flatten or {}))
     words = n_words(F.col("text"))
@@ -113,6 +115,8 @@ def mix(docs: DataFrame, targets: Mapping[str, Mapping[str, float] | DataFrame]
                               "__lang": F.coalesce(F.col("lang").cast("string"), F.lit("(none)"))})
     kind = topic if topic is not None else text_form(F.col("text"), F.col("__tokens"))
     named = named.withColumn("__topic", F.coalesce(kind.cast("string"), F.lit("(none)")))
+    if narrow:
+        named = stored(named.select("doc_id", "__tokens", "__source", "__lang", "__topic"), "tokens")
     cells = stored(named.where("__tokens > 0").groupBy(*[F.col(f"__{d}").alias(d) for d in DIMS])
                    .agg(F.sum("__tokens").alias("tokens")), "cells")
     wanted = {}
@@ -141,7 +145,7 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
-    return mix(docs).select("doc_id", F.col("__source").alias("source"), F.col("__lang").alias("lang"),
+    return mix(docs, narrow=True).select("doc_id", F.col("__source").alias("source"), F.col("__lang").alias("lang"),
                             F.col("__topic").alias("topic"), F.col("__tokens").alias("tokens"),
                             F.round("__weight", 9).alias("cell_weight"), F.round("__probability", 9).alias("probability"),
                             F.col("__kept").alias("kept"))
