@@ -42,7 +42,7 @@ from corpusflow.llm.common import block_pairs, read, ship_package, stored
 from corpusflow.llm.components import components
 from corpusflow.llm.occurrence import linked
 
-UNIT_SHINGLES, MAX_WORDS, SAMPLE, HOT = 2_000_000, 500_000, 5_000, 20
+UNIT_SHINGLES, MAX_WORDS, SAMPLE, HOT = 1_000_000, 200_000, 5_000, 20
 #: Odd multipliers that mix 64-bit hashes.
 MIX = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)]
 

@@ -33,7 +33,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from corpusflow.llm.common import read, ship_package, stored
 from corpusflow.llm.kneser_ney import ORDER, ClassModels, grams
 
-WINDOW, MAX_ROWS, MAX_GRAMS, THRESHOLD, MAX_WORDS = 4, 4_000, 400_000, 0.7, 600_000
+WINDOW, MAX_ROWS, MAX_GRAMS, THRESHOLD, MAX_WORDS = 4, 4_000, 200_000, 0.7, 200_000
 EDGES = ".,;:!?#*$%&|<>\"'()[]{}=+~^`_/\\-"
 
 
@@ -58,6 +58,7 @@ class WordRatios(dict):
     def evidence(self, text: str | None, window: int = WINDOW) -> float:
         if len(self) > MAX_WORDS:
             self.clear()
+        if len(self.clean) > MAX_WORDS:
             self.clean.clear()
         words = (text or "").encode().split()
         ratios = np.fromiter(map(self.__getitem__, words), dtype=np.float64, count=len(words))
@@ -203,6 +204,7 @@ def scored(docs: DataFrame, model: Toxicity) -> DataFrame:
         for batch in found:
             score = pa.array([shared.value.score(t.as_py()) for t in batch.column(at)], pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, score], names=[*batch.schema.names, "__score"])
+        shared.value.words = None  # the worker goes on to other tasks
 
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("__score", DoubleType())]))
 

@@ -20,7 +20,7 @@ def byte_letters() -> list[str]:
 class WordIds(dict):
     """Word (UTF-8 bytes without ASCII white space) -> row in the table of ids."""
 
-    def __init__(self, path: str, max_words: int = 800_000):
+    def __init__(self, path: str, max_words: int = 600_000):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.model, self.letters, self.max_words = self.tokenizer.model, byte_letters(), max_words
