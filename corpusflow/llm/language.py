@@ -140,7 +140,8 @@ def fit(docs: DataFrame, max_rows: int = MAX_ROWS, clusters: int = CLUSTERS) ->
         return Centroids(idf, [], np.zeros((0, SIZE)), np.zeros(0))
     draw = F.pmod(F.xxhash64(F.lit(21), "doc_id"), F.lit(1 << 30)) / (1 << 30)
     rates = spark.createDataFrame([(k, max_rows / v) for k, v in sizes.items()], "l string, rate double")
-    sample = stored(known.join(rates, F.col("lang") == F.col("l")).where(draw < F.col("rate")).select("lang", "text"), "sample")
+    # One row per language.
+    sample = stored(known.join(F.broadcast(rates), F.col("lang") == F.col("l")).where(draw < F.col("rate")).select("lang", "text"), "sample")
 
     def cluster(rows: pd.DataFrame) -> pd.DataFrame:
         vectors = [v for v in map(gram_counts, rows["text"]) if v is not None]
