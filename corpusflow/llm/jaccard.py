@@ -173,7 +173,7 @@ def anchors_of(docs: DataFrame, width: int, bands: Bands) -> DataFrame:
 def candidate_units(docs: DataFrame, rows: int, width: int, bands: Bands) -> DataFrame:
     """(node, component) of the classes that share an anchor with another class.
 
-    The classes of an anchor are chained in the order of their hashes.  Anchors
+    The classes of an anchor are joined to the one with the smallest hash.  Anchors
     that ``HOT`` or more documents of a sample hold get a hub from the sample, and
     their rows are spread by their own hash instead of meeting in one task; the
     sample only decides who meets where, never which edges there are.  It has
@@ -185,8 +185,8 @@ def candidate_units(docs: DataFrame, rows: int, width: int, bands: Bands) -> Dat
     hot = stored(hot.where(F.col("n") >= HOT).select(F.col("anchor").alias("hot"), "hub"), "hot")
     held = anchors_of(docs, width, bands).join(F.broadcast(hot), F.col("anchor") == F.col("hot"), "left")
     held = held.select(F.when(F.col("hub").isNull(), F.col("anchor")).otherwise(F.xxhash64("anchor", "h1")).alias("key"), "h1", "hub")
-    before = F.lag("h1").over(Window.partitionBy("key").orderBy("h1"))
-    edges = held.select(F.col("h1").alias("a"), F.coalesce("hub", before).alias("b")).where("b IS NOT NULL AND a <> b")
+    smallest = F.first("h1").over(Window.partitionBy("key").orderBy("h1"))
+    edges = held.select(F.col("h1").alias("a"), F.coalesce("hub", smallest).alias("b")).where("a <> b")
     return components(stored(edges.distinct(), "candidates"))
 
 
