@@ -8,8 +8,8 @@ models have not seen and weighted to the classes' true shares, turns it into a
 score.
 
 What is bounded: the models are fitted on at most about ``MAX_ROWS`` labelled
-documents per class, drawn by hash, and hold at most ``MAX_GRAMS`` n-grams (the
-most frequent).  That is what is broadcast.  Every text is scored whole.
+documents per class, drawn by hash, and hold every n-gram of them.  That is what
+is broadcast.  Every text is scored whole.
 
 Defined cases: a null or empty text, or one without a letter or digit, has
 evidence 0; labels of a doc_id that disagree count as toxic, null labels are
@@ -33,7 +33,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from corpusflow.llm.common import read, ship_package, stored
 from corpusflow.llm.kneser_ney import ORDER, ClassModels, grams
 
-WINDOW, MAX_ROWS, MAX_GRAMS, THRESHOLD, MAX_WORDS = 4, 4_000, 200_000, 0.7, 200_000
+WINDOW, MAX_ROWS, THRESHOLD, MAX_WORDS = 4, 4_000, 0.7, 200_000
 EDGES = ".,;:!?#*$%&|<>\"'()[]{}=+~^`_/\\-"
 
 
@@ -146,7 +146,7 @@ def gram_counts(sample: DataFrame, order: int = ORDER) -> DataFrame:
     return counts.groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_grams: int = MAX_GRAMS) -> Toxicity:
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Toxicity:
     """Learn from the labelled documents that are not held out."""
     spark = docs.sparkSession
     ship_package(spark)
@@ -161,16 +161,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_grams:
     drawn = known.where(draw < rate).select(F.col("doc_id").alias("__id"), "toxic", (F.pmod(F.xxhash64(F.lit(12), "doc_id"), F.lit(4)) == 0).alias("check"))
     # Bounded: about 2 * max_rows rows of 17 bytes.
     sample = stored(docs.select("doc_id", "text").join(F.broadcast(drawn), F.col("doc_id") == F.col("__id")).select("text", "toxic", "check"), "sample")
-    counts = stored(gram_counts(sample.where("NOT check")), "grams")
-    least = 1
-    if counts.count() > max_grams:
-        kept = 0
-        for r in counts.groupBy(F.least(F.col("toxic") + F.col("ordinary"), F.lit(10_000)).alias("n")).count().orderBy(F.desc("n")).collect():
-            kept += r["count"]
-            if kept > max_grams:
-                break
-            least = r.n
-    table = counts.where(F.col("toxic") + F.col("ordinary") >= least).toArrow()
+    table = gram_counts(sample.where("NOT check")).toArrow()
     rows = {g: (t, o) for g, t, o in zip(*[c.to_pylist() for c in table.columns])}
     if not rows:
         return Toxicity(None, 0.0, 0.0, share)

@@ -6,6 +6,7 @@ import re
 import cases
 from corpusflow.llm import compression, language, toxicity
 from corpusflow.llm.kneser_ney import ClassModels, grams
+from pyspark.sql import functions as F
 
 INSULTS = ["blorgface", "snarkwit", "grubbling"]
 
@@ -47,6 +48,17 @@ def test_toxicity_without_labels(spark):
     assert toxicity.scored(cases.empty(spark), toxicity.fit(cases.empty(spark), none)).count() == 0
 
 
+def test_toxicity_models_hold_every_gram_of_the_sample(spark):
+    rng = random.Random(8)
+    rows = [(k, " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=8)) for _ in range(120)), "en", "a", 0) for k in range(700)]
+    docs = cases.documents(spark, rows)
+    table = spark.createDataFrame([(k, 1, int(k % 4 == 0)) for k, *_ in rows], "doc_id long, quality int, toxic int")
+    learnt = docs.where(~toxicity.held_out(F.col("doc_id")) & (F.pmod(F.xxhash64(F.lit(12), "doc_id"), F.lit(4)) != 0)).select("text")
+    found = {g for r in learnt.collect() for w in r.text.split() for g in grams(w)}
+    models = toxicity.fit(docs, table).models
+    assert len(found) > 200_000 and found == {g for g in models.seen if len(g) == models.order}
+
+
 def test_kneser_ney_sums_to_one():
     counts = {}
     for word, row in (("abab", (3, 1)), ("abba", (0, 4)), ("baa", (2, 2))):
