@@ -1,19 +1,21 @@
 """Quality rules: compression bands.
 
 A text's Zstandard ratio (bytes by compressed bytes) says how much of it
-repeats.  Ratios are taken over the whole text and over fixed chunks of it, and
-each must lie in a band that depends on the length: short texts compress little,
-long ones more.  Over a band the text is repetitive, under it incompressible
+repeats.  Ratios are taken over the whole text and over fixed chunks that cover
+all of it (the last one ends where the text ends and may overlap the one before),
+and each must lie in a band that depends on the length: short texts compress
+little, long ones more.  Over a band the text is repetitive, under it incompressible
 (noise, encoded data).  A text is kept if its base rules hold, its whole ratio is
-in band, and no more than ``BAD_CHUNKS`` of its full chunks are out of band.
+in band, and no more than ``BAD_CHUNKS`` of its chunks are out of band.
 
 Texts are read once, row by row, and nothing is shuffled.
 
 Defined cases: a null or empty text has no words, fails the base rules and has
 ratio 0; a text below the shortest band's length is judged by its base rules
-alone; very long texts are read whole, chunk by chunk; repeated rows get the
-same result; a null doc_id is carried; an empty table gives an empty result;
-other columns are not read.
+alone; one shorter than a chunk has no chunks, its whole ratio stands for them;
+very long texts are read whole, chunk by chunk; repeated rows get the same
+result; a null doc_id is carried; an empty table gives an empty result; other
+columns are not read.
 """
 from __future__ import annotations
 
@@ -71,6 +73,12 @@ def band(size: int, bands=BANDS) -> tuple[float, float] | None:
     return found
 
 
+def chunked(data: bytes, size: int = CHUNK) -> list[bytes]:
+    """Chunks of ``size`` bytes that cover ``data``; none if it is shorter than one."""
+    last = len(data) - size
+    return [data[k:k + size] for k in [*range(0, last, size), last]] if last >= 0 else []
+
+
 def judge(text: str | None, compressor) -> tuple:
     """The columns of ``COLUMNS`` for one text."""
     data = (text or "").encode()
@@ -84,7 +92,7 @@ def judge(text: str | None, compressor) -> tuple:
     repeats = repeated_words(words)
     failed = n < MIN_WORDS or 100 * repeats > REPEAT_PERCENT * n
     ratio = len(data) / len(compressor.compress(data)) if data else 0.0
-    chunks = [data[k:k + CHUNK] for k in range(0, len(data) - CHUNK + 1, CHUNK)] if len(data) >= 2 * CHUNK else []
+    chunks = chunked(data)
     bad = sum(not CHUNK_BAND[0] <= len(c) / len(compressor.compress(c)) <= CHUNK_BAND[1] for c in chunks)
     limits = band(len(data))
     reason = ("base" if failed else "repetitive" if limits and ratio > limits[1] else "incompressible" if limits and ratio < limits[0]

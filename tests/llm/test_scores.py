@@ -1,4 +1,5 @@
 """Toxicity, language and compression rules."""
+import base64
 import math
 import random
 import re
@@ -119,3 +120,21 @@ def test_compression_base_columns_and_bands(spark):
     by_id = {r.doc_id: r for r in got}
     assert by_id[302].reason == "incompressible" and not by_id[303].kept and not by_id[201].kept
     assert compression.compression_rules(cases.empty(spark)).count() == 0
+
+
+def test_compression_chunks_cover_the_whole_text():
+    import zstandard
+    for n in (0, 4095, 4096, 4097, 8191, 8192, 8193, 20_000):
+        data = random.Random(n).randbytes(n)
+        chunks = compression.chunked(data)
+        assert all(len(c) == 4096 for c in chunks) and len(chunks) == (-(-n // 4096) if n >= 4096 else 0)
+        assert not chunks or data == b"".join(chunks[:-1])[:n - 4096] + chunks[-1]
+    rng, compressor = random.Random(4), zstandard.ZstdCompressor(level=compression.LEVEL)
+    lexicon = ["".join(rng.choices("etaoinshrdlu", k=rng.randint(2, 9))) for _ in range(400)]
+    clean = " ".join(rng.choices(lexicon, k=4000))
+    for size, chunks in ((4096, 1), (8192, 2), (9000, 3)):
+        assert compression.judge(clean[:size], compressor)[6:11:2] == (True, chunks, None)
+    encoded = base64.b64encode(rng.randbytes(4090))[:4090].decode()
+    for size in (3990, 8192):
+        assert compression.judge(clean[:size] + encoded, compressor)[6] is False
+    assert compression.judge(clean[:8192] + encoded, compressor)[8:] == (3, 1, "chunks")
