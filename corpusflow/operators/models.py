@@ -14,6 +14,7 @@ Naive Bayes is written as DataFrame aggregates over the long matrix:
 """
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -167,6 +168,88 @@ def nb_predict(model: NBModel, matrix: DataFrame, docs: DataFrame, top: int = 5)
                       F.col("top")[0]["confidence"].alias("confidence"), "top")
 
 
+def nb_grid_cv(matrix: DataFrame, labels: DataFrame, ks: list[int], alphas: list[float], priors: list[bool] = (True, False),
+               selectors: tuple[str, ...] = ("f_score", "chi2"), k_folds: int = 3) -> DataFrame:
+    """Cross-validated accuracy of top-k selection -> min-max scaling -> naive Bayes for every cell of the grid.
+
+    Selection and scaling are fit on each fold's training rows, from one table of sums per (fold, feature, class).
+    A held-out document is read once for all cells: its terms are summed per selector and bucket of ranks, the
+    smoothing values are columns, and priors only change a constant.  Values must not be negative, so an implicit
+    zero is scaled to zero unless all training rows hold the feature; that shift is a constant of each class.
+    A feature with no score is not selected; a selector with fewer than k features takes them all.
+    Broadcast: at most folds x selectors x max(ks) features, times the classes for their weights.
+    """
+    ks, n_a = sorted(ks), range(len(alphas))
+    folds = kfold_assign(labels, k_folds).persist(StorageLevel.MEMORY_AND_DISK)
+    others = F.explode(F.filter(F.sequence(F.lit(0), F.lit(k_folds - 1)), lambda j: j != F.col("fold"))).alias("j")
+    sizes = folds.select(others, "class_id").groupBy("j", "class_id").agg(F.count(F.lit(1)).alias("n_c"))
+    sizes = sizes.join(sizes.groupBy("j").agg(F.sum("n_c").alias("n"), F.count(F.lit(1)).alias("n_k")), "j")
+    sizes = F.broadcast(sizes.persist(StorageLevel.MEMORY_AND_DISK))
+    held = matrix.join(folds.select("doc_id", "class_id", F.col("fold")), "doc_id")
+    v = F.col("value")
+    own = held.groupBy("fold", "feature", "class_id").agg(
+        F.count(F.lit(1)).alias("a"), F.sum(v).alias("s1"), F.sum(v * v).alias("s2"), F.min(v).alias("mn"), F.max(v).alias("mx"))
+    sums = (own.select(others, "*").groupBy("j", "feature", "class_id").agg(
+        *[F.sum(c).alias(c) for c in ("a", "s1", "s2")], F.min("mn").alias("mn"), F.max("mx").alias("mx"))
+        .join(sizes, ["j", "class_id"]).persist(StorageLevel.MEMORY_AND_DISK))
+    per_f = sums.groupBy("j", "feature").agg(
+        *[F.sum(c).alias(c) for c in ("a", "s1", "s2")], F.min("mn").alias("mn"), F.max("mx").alias("mx"),
+        F.first("n").alias("n"), F.first("n_k").alias("n_k"), F.sum(F.col("s1") * F.col("s1") / F.col("n_c")).alias("q"))
+    between = F.col("q") - F.col("s1") * F.col("s1") / F.col("n")
+    within = (F.col("s2") - F.col("q")) / (F.col("n") - F.col("n_k"))
+    scores = {"f_score": F.when(within > 0, between / (F.col("n_k") - 1) / within),
+              "chi2": F.when(F.col("s1") > 0, F.col("q") * F.col("n") / F.col("s1") - F.col("s1"))}
+    full = F.col("a") == F.col("n")
+    low, high = F.when(full, F.col("mn")).otherwise(F.lit(0.0)), F.when(full, F.col("mx")).otherwise(F.greatest("mx", F.lit(0.0)))
+    scored = per_f.select("j", "feature", low.alias("low"), F.when(high > low, 1 / (high - low)).otherwise(F.lit(1.0)).alias("inv"),
+                          F.explode(F.array(*[F.struct(F.lit(s).alias("selector"), scores[s].alias("score")) for s in selectors])).alias("s"))
+    best_first = Window.partitionBy("j", "selector").orderBy(F.desc("score"), "feature")
+    chosen = (scored.select("j", "feature", "low", "inv", "s.selector", "s.score").filter(F.col("score").isNotNull())
+              .withColumn("rank", F.row_number().over(best_first)).filter(F.col("rank") <= ks[-1])
+              .select("j", "selector", "feature", "low", "inv",
+                      F.array_min(F.filter(F.array(*map(F.lit, ks)), lambda k: k >= F.col("rank"))).alias("bucket"))
+              .persist(StorageLevel.MEMORY_AND_DISK))
+    known = chosen.select("j", "feature", "low", "inv").distinct()
+    nfc = F.greatest((F.col("s1") - F.col("n_c") * F.col("low")) * F.col("inv"), F.lit(0.0))
+    weights = (sums.join(F.broadcast(known), ["j", "feature"]).select("j", "feature", "class_id", nfc.alias("nfc"))
+               .select("*", *[(F.log(F.col("nfc") + a) - math.log(a)).alias(f"d{i}") for i, a in enumerate(alphas)])
+               .persist(StorageLevel.MEMORY_AND_DISK))
+    upto = F.explode(F.filter(F.array(*map(F.lit, ks)), lambda k: k >= F.col("bucket"))).alias("k")
+    cell = chosen.select("j", "selector", upto, "feature", (F.col("low") * F.col("inv")).alias("shift"))
+    totals = cell.groupBy("j", "selector", "k").agg(F.count(F.lit(1)).alias("d"), F.sum("shift").alias("shift"))
+    by_class = cell.join(weights, ["j", "feature"]).groupBy("j", "selector", "k", "class_id").agg(
+        F.sum("nfc").alias("mass"), *[F.sum(F.col("shift") * F.col(f"d{i}")).alias(f"c{i}") for i in n_a])
+    cells = (totals.join(sizes, "j").join(by_class, ["j", "selector", "k", "class_id"], "left")
+             .fillna(0.0, ["mass", *[f"c{i}" for i in n_a]]))
+    own_terms = held.select("doc_id", F.col("fold").alias("j"), "feature", "value").join(F.broadcast(chosen), ["j", "feature"]).select(
+        "doc_id", "j", "feature", "selector", "bucket", (v * F.col("inv")).alias("x"))
+    x = (own_terms.groupBy("doc_id", "selector", "bucket").agg(F.sum("x").alias("x"))
+         .select("doc_id", "selector", upto, "x").groupBy("doc_id", "selector", "k").agg(F.sum("x").alias("x")))
+    terms = (own_terms.join(F.broadcast(weights), ["j", "feature"]).groupBy("doc_id", "selector", "bucket", "class_id")
+             .agg(*[F.sum(F.col("x") * F.col(f"d{i}")).alias(f"s{i}") for i in n_a])
+             .select("doc_id", "selector", upto, "class_id", *[f"s{i}" for i in n_a])
+             .groupBy("doc_id", "selector", "k", "class_id").agg(*[F.sum(f"s{i}").alias(f"s{i}") for i in n_a]))
+    docs = folds.select("doc_id", F.col("fold").alias("j"), F.col("class_id").alias("true_c"))
+    rows = (docs.join(F.broadcast(cells), "j").join(x, ["doc_id", "selector", "k"], "left")
+            .join(terms, ["doc_id", "selector", "k", "class_id"], "left").fillna(0.0, ["x", *[f"s{i}" for i in n_a]]))
+
+    def score(i: int, prior: bool) -> Column:
+        base = F.log(F.col("n_c") / F.col("n")) if prior else -F.log(F.col("n_k"))
+        slope = math.log(alphas[i]) - F.log(F.col("mass") + alphas[i] * F.col("d"))
+        # Rounded, so that equal scores stay equal whatever the order of the sums; ties go to the lowest class.
+        return F.round(base + (F.col("x") - F.col("shift")) * slope + F.col(f"s{i}") - F.col(f"c{i}"), 9)
+
+    grid = [(i, p) for i in n_a for p in priors]
+    best = rows.groupBy("doc_id", "j", "true_c", "selector", "k").agg(
+        *[F.max_by("class_id", F.struct(score(i, p), -F.col("class_id"))).alias(f"p{g}") for g, (i, p) in enumerate(grid)])
+    acc = best.groupBy("selector", "k", "j").agg(
+        *[F.avg((F.col(f"p{g}") == F.col("true_c")).cast("double")).alias(f"p{g}") for g in range(len(grid))])
+    each = F.explode(F.array(*[F.struct(F.lit(float(alphas[i])).alias("alpha"), F.lit(p).alias("fit_prior"), F.col(f"p{g}").alias("acc"))
+                               for g, (i, p) in enumerate(grid)])).alias("g")
+    return acc.select("selector", "k", each).groupBy("selector", "k", "g.alpha", "g.fit_prior").agg(
+        F.round(F.avg("g.acc"), 6).alias("cv_accuracy"), F.round(F.stddev_pop("g.acc"), 6).alias("cv_std"))
+
+
 def confusion_matrix(pred: DataFrame, label_col: str = "class_id", pred_col: str = "pred_class_id") -> DataFrame:
     return pred.groupBy(F.col(label_col).alias("label"), F.col(pred_col).alias("predicted")).agg(
         F.count(F.lit(1)).alias("n"))

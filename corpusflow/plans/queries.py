@@ -723,17 +723,23 @@ def q_confusion_matrix(spark, sf):
 
 from corpusflow.operators import mllib_models as ml  # noqa: E402
 
-K_ML = 100
+def _best_features(f, train_ids, k):
+    """Selection is fit on the training rows only."""
+    scores = se.f_score(f.matrix.join(train_ids.select("doc_id"), "doc_id", "left_semi"),
+                        train_ids.select("doc_id", "class_id"))
+    return se.select_k_best(scores, k).select("feature")
+
 
+#: Selected features of each model, as in the reference.
+K_ML = {"logreg": 200, "linear_svm": 200, "random_forest": 500, "gbt": 200, "mlp": 200}
 
-def _ml_data(spark, sf, k=K_ML):
+
+def _ml_data(spark, sf, k=None):
+    """Training and test rows over the ``k`` best features, or over all of them."""
     f = _features(spark, sf)
     split = md.split_holdout(f.labels).persist(StorageLevel.MEMORY_AND_DISK)
     train_ids = split.filter(~F.col("is_test"))
-    # Selection is fit on the training rows only.
-    scores = se.f_score(f.matrix.join(train_ids.select("doc_id"), "doc_id", "left_semi"),
-                        train_ids.select("doc_id", "class_id"))
-    idx = ml.feature_index(se.select_k_best(scores, k).select("feature")).persist()
+    idx = ml.feature_index(_best_features(f, train_ids, k) if k else f.matrix.select("feature").distinct()).persist()
     k_real = idx.count()
     docs = split.select("doc_id", F.col("class_id").cast("double").alias("label"), "is_test")
     data = ml.assemble(f.matrix, idx, docs, k_real).persist(StorageLevel.MEMORY_AND_DISK)
@@ -743,17 +749,17 @@ def _ml_data(spark, sf, k=K_ML):
 
 def _ml_eval(name, scale=False):
     def run(spark, sf):
-        train, test, _, k, n_classes = _ml_data(spark, sf)
+        train, test, _, k, n_classes = _ml_data(spark, sf, K_ML[name])
         est = ml.mlp(k, n_classes) if name == "mlp" else ml.ESTIMATORS[name]()
         return ml.evaluate(est, train, test, name, scale)
     return run
 
 
-QUERIES["logreg_eval"] = _ml_eval("logreg")
-QUERIES["linear_svm_eval"] = _ml_eval("linear_svm")
+QUERIES["logreg_eval"] = _ml_eval("logreg", scale=True)
+QUERIES["linear_svm_eval"] = _ml_eval("linear_svm", scale=True)
 QUERIES["rf_eval"] = _ml_eval("random_forest")
 QUERIES["gbt_eval"] = _ml_eval("gbt")
-QUERIES["mlp_eval"] = _ml_eval("mlp")
+QUERIES["mlp_eval"] = _ml_eval("mlp", scale=True)
 
 
 @query("rf_importance")
@@ -764,28 +770,38 @@ def q_rf_importance(spark, sf):
 
 @query("pca_variance")
 def q_pca_variance(spark, sf):
+    """Up to 100 components of all features."""
     train, test, _, k, _ = _ml_data(spark, sf)
-    return ml.pca_variance(train.unionByName(test), min(20, k))
+    return ml.pca_variance(train.unionByName(test), min(100, k))
+
+
+#: C and L1 share of the reference's grids; both solvers of a penalty have the same optimum, so each is one cell here.
+LR_CELLS = [*[(c, l1) for c in (0.1, 0.5, 1.0, 2.0, 5.0) for l1 in (0.0, 1.0)],
+            *[(c, l1) for c in (0.1, 0.5, 1.0, 2.0) for l1 in (0.1, 0.5, 0.7, 0.9)]]
 
 
 @query("logreg_grid")
 def q_logreg_grid(spark, sf):
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-    train, test, _, _, _ = _ml_data(spark, sf)
-    lr = LogisticRegression(maxIter=50)
-    grid = (ParamGridBuilder().addGrid(lr.regParam, [0.001, 0.01, 0.1])
-            .addGrid(lr.elasticNetParam, [0.0, 0.5]).build())
-    cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, numFolds=3, seed=42, parallelism=4,
-                        evaluator=MulticlassClassificationEvaluator(metricName="accuracy"))
-    model = cv.fit(train)
-    rows = [(float(p[lr.regParam]), float(p[lr.elasticNetParam]), float(m))
-            for p, m in zip(grid, model.avgMetrics)]
-    cvdf = spark.createDataFrame(rows, "reg_param double, elastic_net double, cv_accuracy double")
-    test_acc = model.transform(test).agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))
-                                         .alias("a")).collect()[0].a
-    return cvdf.withColumn("best_test_accuracy", F.lit(test_acc))
+    """200 features and scaling fit in each of 3 folds; the elastic net wins only if it is better."""
+    f = _features(spark, sf)
+    split = md.split_holdout(f.labels).persist(StorageLevel.MEMORY_AND_DISK)
+    train = split.filter(~F.col("is_test")).select("doc_id", "class_id")
+    folds = md.kfold_assign(train, 3).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def scores(fitted, others, cells):
+        idx = ml.feature_index(_best_features(f, fitted, 200)).persist()
+        both = fitted.select("doc_id", "class_id", F.lit(True).alias("fit")).unionByName(
+            others.select("doc_id", "class_id", F.lit(False).alias("fit")))
+        docs = both.select("doc_id", F.col("class_id").cast("double").alias("label"), "fit")
+        data = ml.assemble(f.matrix, idx, docs, idx.count())
+        return ml.lr_accuracies(data.filter("fit"), data.filter("NOT fit"), cells)
+
+    each = [scores(folds.filter(F.col("fold") != j), folds.filter(F.col("fold") == j), LR_CELLS) for j in range(3)]
+    mean = {cell: sum(e[cell] for e in each) / 3 for cell in LR_CELLS}
+    best = max(LR_CELLS, key=lambda cell: (mean[cell], cell[1] in (0.0, 1.0)))
+    test_acc = scores(train, split.filter("is_test"), [best])[best]
+    rows = [(c, l1, mean[c, l1], test_acc) for c, l1 in LR_CELLS]
+    return spark.createDataFrame(rows, "c double, elastic_net double, cv_accuracy double, best_test_accuracy double")
 
 
 # --- streaming twins -------------------------------------------------------------------
@@ -941,65 +957,11 @@ def q_feature_kinds(spark, sf):
         F.count(F.lit(1)).alias("n_features"))
 
 
-def _cv_nb_grid(f, alphas, priors, k_folds=3):
-    """All grid cells and folds in one plan, from per-fold statistics computed once.
-
-    Training sums of fold j = all-fold sums minus fold j.  Deltas depend on
-    alpha, so the (fold, feature, class) table is expanded by the (bounded)
-    alpha list; every held-out document is scored for all cells by one join.
-    """
-    folds = md.kfold_assign(f.labels, k_folds).persist(StorageLevel.MEMORY_AND_DISK)
-    spark = folds.sparkSession
-    d = f.n_features
-    per_fold = f.matrix.join(folds, "doc_id").groupBy("fold", "feature", "class_id").agg(
-        F.sum("value").alias("s"))
-    tot = per_fold.groupBy("feature", "class_id").agg(F.sum("s").alias("t"))
-    fold_ids = spark.range(k_folds).select(F.col("id").cast("int").alias("fold"))
-    # train sums for fold j: total minus the fold's own (missing -> 0); bounded by folds x features x classes
-    trn = (tot.join(F.broadcast(fold_ids), how="inner", on=F.lit(True))
-           .join(per_fold, ["fold", "feature", "class_id"], "left")
-           .select("fold", "feature", "class_id", (F.col("t") - F.coalesce("s", F.lit(0.0))).alias("nfc"))
-           .filter(F.col("nfc") > 0))
-    n_fc = folds.groupBy("fold", "class_id").agg(F.count(F.lit(1)).alias("c"))
-    n_c_tot = folds.groupBy("class_id").agg(F.count(F.lit(1)).alias("ct"))
-    mass = trn.groupBy("fold", "class_id").agg(F.sum("nfc").alias("mass_c"))
-    cls = (n_c_tot.join(F.broadcast(fold_ids), how="inner", on=F.lit(True))
-           .join(n_fc, ["fold", "class_id"], "left")
-           .select("fold", "class_id", (F.col("ct") - F.coalesce("c", F.lit(0))).alias("n_c"))
-           .join(mass, ["fold", "class_id"], "left").fillna(0.0, ["mass_c"]))
-    grid = spark.createDataFrame([(float(a), bool(p)) for a in alphas for p in priors], "alpha double, fit_prior boolean")
-    n_train = cls.groupBy("fold").agg(F.sum("n_c").alias("n"), F.count(F.lit(1)).alias("k"))
-    cls_g = (cls.join(n_train, "fold").join(F.broadcast(grid), how="inner", on=F.lit(True))
-             .select("fold", "class_id", "alpha", "fit_prior",
-                     F.when(F.col("fit_prior"), F.log(F.col("n_c") / F.col("n"))).otherwise(-F.log(F.col("k")))
-                     .alias("base"),
-                     (F.log("alpha") - F.log(F.col("mass_c") + F.col("alpha") * d)).alias("slope")))
-    alphas_df = spark.createDataFrame([(float(a),) for a in alphas], "alpha double")
-    deltas = trn.join(F.broadcast(alphas_df), how="inner", on=F.lit(True)).select(
-        "fold", "feature", "class_id", "alpha", (F.log(F.col("nfc") + F.col("alpha")) - F.log("alpha")).alias("delta"))
-    held = f.matrix.join(folds.select("doc_id", "fold"), "doc_id")
-    doc_mass = held.groupBy("doc_id", "fold").agg(F.sum("value").alias("x"))
-    contrib = held.join(deltas, ["fold", "feature"]).groupBy("doc_id", "fold", "class_id", "alpha").agg(
-        F.sum(F.col("value") * F.col("delta")).alias("s"))
-    docs = folds.select("doc_id", "fold", F.col("class_id").alias("true_c")).join(doc_mass, ["doc_id", "fold"], "left")
-    # k scores per document and cell: documents x (bounded) classes x (bounded) grid
-    sc_ = (docs.join(cls_g, "fold")
-           .join(contrib, ["doc_id", "fold", "class_id", "alpha"], "left")
-           .select("doc_id", "fold", "true_c", "class_id", "alpha", "fit_prior",
-                   (F.col("base") + F.col("slope") * F.coalesce("x", F.lit(0.0)) + F.coalesce("s", F.lit(0.0)))
-                   .alias("score")))
-    best = sc_.groupBy("doc_id", "fold", "true_c", "alpha", "fit_prior").agg(
-        F.max_by("class_id", F.struct(F.col("score"), -F.col("class_id"))).alias("pred"))
-    acc = best.groupBy("alpha", "fit_prior", "fold").agg(
-        F.avg((F.col("pred") == F.col("true_c")).cast("double")).alias("acc"))
-    return acc.groupBy("alpha", "fit_prior").agg(F.round(F.avg("acc"), 6).alias("cv_accuracy"),
-                                                 F.round(F.stddev_pop("acc"), 6).alias("cv_std"))
-
-
 @query("nb_grid")
 def q_nb_grid(spark, sf):
+    """The reference's 140 cells (5 k x 2 selectors x 7 alphas x 2 priors), selection and scaling fit in each of 3 folds."""
     f = _features(spark, sf)
-    return _cv_nb_grid(f, [0.1, 0.5, 1.0, 2.0], [True, False], 3)
+    return md.nb_grid_cv(f.matrix, f.labels, [300, 400, 500, 600, 750], [0.01, 0.1, 0.5, 1.0, 2.0, 5.0, 10.0])
 
 
 def _holdout_acc(f, matrix, name):
@@ -1082,18 +1044,30 @@ def q_variant_compare(spark, sf):
     return out
 
 
+#: The reference's feature subsets, by kinds; a subset without features is left out.
+KINDS = [*[kind for kind, _ in sc.FEATURE_KIND_RULES], "other"]
+SUBSETS = {"all": KINDS, "no_keywords": [k for k in KINDS if k != "keywords"], "tfidf_only": ["tfidf"],
+           "keywords_only": ["keywords"], "meta_features": ["readability", "length"], "tfidf_plus_meta": ["tfidf", "readability", "length"],
+           "without_tfidf": [k for k in KINDS if k != "tfidf"], "entities_only": ["medical_entities"],
+           "core_features": ["tfidf", "readability", "length"]}
+
+
 @query("subset_ablation")
 def q_subset_ablation(spark, sf):
+    """Every subset through selection, scaling and naive Bayes in 3 folds; k = min(500, n, 0.8 n)."""
     f = _features(spark, sf)
-    kinds = sc.feature_kinds(f.matrix.select("feature").distinct())
-    m = f.matrix.join(kinds, "feature")
-    subsets = [("all", None), ("tfidf_only", ["tfidf"]), ("without_tfidf", ["length", "other"]),
-               ("length_only", ["length"])]
+    kinds = sc.feature_kinds(f.matrix.select("feature").distinct()).persist(StorageLevel.MEMORY_AND_DISK)
+    sizes = {r.kind: r["count"] for r in kinds.groupBy("kind").count().collect()}
     out = None
-    for name, ks in subsets:
-        mat = m if ks is None else m.filter(F.col("kind").isin(ks))
-        r = _holdout_acc(f, mat.drop("kind"), name)
+    for name, own in SUBSETS.items():
+        n = sum(sizes.get(k, 0) for k in own)
+        if n == 0:
+            continue
+        mat = f.matrix.join(F.broadcast(kinds.filter(F.col("kind").isin(own)).select("feature")), "feature", "left_semi")
+        r = md.nb_grid_cv(mat, f.labels, [max(1, min(500, int(0.8 * n)))], [1.0], [True], ("f_score",)).select(
+            F.lit(name).alias("name"), F.col("cv_accuracy").alias("accuracy"))
         out = r if out is None else out.unionByName(r)
+    out = out.persist(StorageLevel.MEMORY_AND_DISK)
     base = out.filter(F.col("name") == "all").select("accuracy").scalar()
     return out.select("name", "accuracy", F.round((F.col("accuracy") - base) * 100, 6).alias("change_pct_points"))
 
@@ -1122,8 +1096,9 @@ def q_retrain_job(spark, sf):
 
 @query("feature_correlation")
 def q_feature_correlation(spark, sf):
-    train, test, idx, _, _ = _ml_data(spark, sf, k=50)
-    return ml.correlation_summary(train.unionByName(test), idx)
+    """Pearson among the best 1,000 features."""
+    train, test, _, _, _ = _ml_data(spark, sf, k=1000)
+    return ml.correlation_summary(train.unionByName(test))
 
 
 @query("selector_compare")
@@ -1132,7 +1107,14 @@ def q_selector_compare(spark, sf):
     from pyspark.sql import Window
     f = _features(spark, sf)
     out = None
-    for name, fn in [("f_score", se.f_score), ("mutual_info", se.mutual_info), ("chi2", se.chi2_score)]:
+
+    def forest(matrix, labels):
+        idx = ml.feature_index(matrix.select("feature").distinct()).persist()
+        docs = labels.select("doc_id", F.col("class_id").cast("double").alias("label"))
+        data = ml.assemble(matrix, idx, docs, idx.count()).persist(StorageLevel.MEMORY_AND_DISK)
+        return ml.rf_importance(data, idx, 100).select("feature", F.col("importance").alias("score"))
+
+    for name, fn in [("f_score", se.f_score), ("mutual_info", se.mutual_info), ("chi2", se.chi2_score), ("random_forest", forest)]:
         ranked = (fn(f.matrix, f.labels).filter(F.col("score").isNotNull())
                   .select("feature", F.row_number().over(Window.orderBy(F.desc("score"), "feature")).alias("rank"))
                   .persist(StorageLevel.MEMORY_AND_DISK))

@@ -4,7 +4,9 @@ import math
 import numpy as np
 from pyspark.sql import functions as F
 
+from corpusflow.operators import mllib_models as ml
 from corpusflow.operators import models as md
+from corpusflow.plans import queries
 
 
 def _toy(spark):
@@ -64,3 +66,59 @@ def test_classification_report_zero_division(spark):
     rep = {r["class"]: r for r in md.classification_report(pred).collect()}
     assert rep["2"].precision == 0.0 and rep["2"].recall == 0.0
     assert rep["accuracy"].precision == 0.5
+
+
+def test_nb_grid_matches_dense_numpy(spark):
+    rng = np.random.default_rng(3)
+    y = rng.integers(0, 3, 60)
+    X = rng.poisson(0.6 + 2.0 * (np.arange(12)[None, :] % 3 == y[:, None]), (60, 12)).astype(float)
+    X[:, 10], X[:, 11] = 5.0 + X[:, 10], 2.0  # in every row; constant
+    matrix = spark.createDataFrame([(i, f"f{j:02d}", float(X[i, j])) for i in range(60) for j in range(12) if X[i, j]],
+                                   "doc_id long, feature string, value double")
+    labels = spark.createDataFrame([(i, int(c)) for i, c in enumerate(y)], "doc_id long, class_id int")
+    fold = np.array([r.fold for r in md.kfold_assign(labels, 3).orderBy("doc_id").collect()])
+    ks, alphas = [2, 5, 9], [0.01, 1.0, 10.0]
+    got = {(r.selector, r.k, r.alpha, r.fit_prior): (r.cv_accuracy, r.cv_std) for r in md.nb_grid_cv(matrix, labels, ks, alphas).collect()}
+    assert len(got) == 2 * 3 * 3 * 2
+    for (selector, k, alpha, prior), found in got.items():
+        acc = []
+        for j in range(3):
+            A, b, H = X[fold != j], y[fold != j], X[fold == j]
+            n_c = np.bincount(b, minlength=3)
+            s1 = np.array([A[b == c].sum(0) for c in range(3)])
+            q = (s1 ** 2 / n_c[:, None]).sum(0)
+            total = s1.sum(0)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                f = (q - total ** 2 / len(b)) / 2 / (((A ** 2).sum(0) - q) / (len(b) - 3))
+            f[11] = -1.0
+            rank = f if selector == "f_score" else q * len(b) / total - total
+            top = np.argsort(-np.round(rank, 9), kind="stable")[:k]
+            low, span = A[:, top].min(0), np.ptp(A[:, top], 0)
+            span[span == 0] = 1
+            A, H = (A[:, top] - low) / span, (H[:, top] - low) / span
+            counts = np.array([A[b == c].sum(0) for c in range(3)]) + alpha
+            joint = H @ np.log(counts / counts.sum(1, keepdims=True)).T + (np.log(n_c / len(b)) if prior else 0)
+            acc.append((np.round(joint, 9).argmax(1) == y[fold == j]).mean())
+        assert found == (round(float(np.mean(acc)), 6), round(float(np.std(acc)), 6)), (selector, k, alpha, prior)
+
+
+def test_grids_and_feature_counts_are_the_references():
+    assert len(set(queries.LR_CELLS)) == 26 and sum(l1 == 1.0 for _, l1 in queries.LR_CELLS) == 5 and len(queries.SUBSETS) == 9
+    assert queries.K_ML == {"logreg": 200, "linear_svm": 200, "random_forest": 500, "gbt": 200, "mlp": 200}
+
+
+def test_assembled_vectors_pca_and_logistic_cells(spark):
+    rng = np.random.default_rng(5)
+    X = rng.normal(size=(30, 8)) * (rng.random((30, 8)) < 0.6)
+    X[4], X[:, 6] = 0.0, 2.0
+    matrix = spark.createDataFrame([(i, f"f{j}", float(X[i, j])) for i in range(30) for j in range(8) if X[i, j] and i != 4],
+                                   "doc_id long, feature string, value double")
+    X[4, 6] = 0.0
+    docs = spark.createDataFrame([(i, float(X[i, 0] > 0)) for i in range(30)], "doc_id long, label double")
+    data = ml.assemble(matrix, ml.feature_index(matrix.select("feature").distinct()), docs, 8)
+    assert np.allclose([r.features.toArray() for r in data.orderBy("doc_id").collect()], X)
+    values = np.sort(np.linalg.eigvalsh(np.corrcoef(X.T)))[::-1] / 8
+    got = ml.pca_variance(data, 3).orderBy("component").collect()
+    assert np.allclose([r.explained for r in got], values[:3]) and np.allclose([r.cumulative for r in got], np.cumsum(values[:3]))
+    found = ml.lr_accuracies(data, data, [(1.0, 0.0), (1.0, 1.0), (0.001, 1.0)])
+    assert found[1.0, 1.0] > 0.85 and found[0.001, 1.0] < found[1.0, 1.0]
