@@ -64,4 +64,4 @@ def test_entry_without_this_subpackage(tmp_path):
 
 def test_every_dealt_query_is_registered():
     from corpusflow.llm.registry import QUERIES
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
