@@ -518,7 +518,12 @@ SELECT round(age, 6) AS model_age_hours, total_predictions, round(rpm, 6) AS req
             WHEN hi >= 2 THEN 'retrain_now'
             WHEN hi >= 1 THEN 'retrain_within_days'
             WHEN med >= 2 THEN 'watch_and_retrain_within_a_week'
-            ELSE 'watch' END AS recommendation
+            ELSE 'watch' END AS recommendation_code,
+       CASE WHEN len(alerts) = 0 THEN 'model is fresh, keep serving it'
+            WHEN hi >= 2 THEN 'start retraining today'
+            WHEN hi >= 1 THEN 'schedule retraining within days'
+            WHEN med >= 2 THEN 'watch daily, retraining due within a week'
+            ELSE 'watch the next reports' END AS recommendation
 FROM h""")
 
 oracle("usage_by_client", f"""WITH {REQ}
