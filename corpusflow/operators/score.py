@@ -79,6 +79,34 @@ def leaderboard(results: DataFrame, n_classes, baseline: float = 0.37) -> DataFr
                          band.alias("band"))
 
 
+def comparison_advice(results: DataFrame, baseline: float = 0.37, fast_seconds: float = 10.0, fast_accuracy: float = 0.35) -> DataFrame:
+    """What to do after a comparison: (step, advice, names).
+
+    ``results`` has one row per model (name, mean_accuracy, time_seconds, status).
+    Rows: how far the best model is above the baseline, the three best, the two
+    best that are fast, models to combine (forest, boosting or logistic ones
+    among the five best, if there are two), the one to tune, and those that failed.
+    """
+    ok = results.filter(F.col("status") == "success")
+    order = F.struct(-F.col("mean_accuracy"), F.col("name"))
+    # One entry per model: a bounded list.
+    best = F.transform(F.array_sort(F.collect_list(F.struct(order.alias("o"), "name", "mean_accuracy", "time_seconds"))),
+                       lambda m: F.struct(m["name"].alias("name"), m["mean_accuracy"].alias("a"), m["time_seconds"].alias("t")))
+    one = ok.agg(best.alias("m")).join(results.agg(F.sort_array(F.collect_list(F.when(F.col("status") != "success", F.col("name")))).alias("bad")))
+    names = lambda a: F.transform(a, lambda m: m["name"])
+    top = F.get("m", F.lit(0))["a"]
+    band = (F.when(top > 0.45, F.lit("STRONG")).when(top > 0.40, F.lit("ABOVE_BASELINE")).when(top > baseline, F.lit("SLIGHTLY_ABOVE_BASELINE"))
+            .otherwise(F.lit("NOT_ABOVE_BASELINE")))
+    fast = F.filter("m", lambda m: (m["t"] < fast_seconds) & (m["a"] > fast_accuracy))
+    mixed = F.filter(F.slice("m", 1, 5), lambda m: m["name"].rlike("(?i)forest|boost|logistic"))
+    rows = [(1, band, F.slice(names(F.col("m")), 1, 1)), (2, F.lit("FOCUS_ON"), F.slice(names(F.col("m")), 1, 3)),
+            (3, F.lit("ITERATE_WITH"), F.slice(names(fast), 1, 2)),
+            (4, F.lit("COMBINE"), F.when(F.size(mixed) >= 2, F.slice(names(mixed), 1, 3)).otherwise(F.array().cast("array<string>"))),
+            (5, F.lit("TUNE"), F.slice(names(F.col("m")), 1, 1)), (6, F.lit("REPAIR"), F.col("bad"))]
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("step"), a.alias("advice"), n.alias("names")) for k, a, n in rows])).alias("r")
+    return one.select(each).select("r.*").filter(F.size("names") > 0).withColumn("names", F.array_join("names", ", "))
+
+
 # Feature-kind rules on the lower-case name, first match wins; a
 # name of three letters or more without an underscore is a TF-IDF word.
 FEATURE_KIND_RULES = [

@@ -840,12 +840,30 @@ r AS (
   UNION ALL SELECT 5, 'SPARSE', 'sparse-aware models (naive Bayes, linear)', density < 10 FROM st)
 SELECT CAST("order" AS INTEGER) AS "order", rule, advice FROM r WHERE fires""")
 
-oracle("selection_advice", f"""WITH {LAB}, {VAR}, {_DIM},
+CORR = """csel AS (SELECT feature FROM fsc WHERE score IS NOT NULL ORDER BY round(score, 6) DESC, feature LIMIT 1000),
+  cm AS (SELECT m.* FROM matrix m SEMI JOIN csel USING (feature)),
+  cst AS (SELECT feature, sum(value) AS s1, sum(value * value) AS s2, (SELECT count(*) FROM docs) AS n FROM cm GROUP BY 1),
+  cok AS (SELECT feature, s1, n, sqrt(n * s2 - s1 * s1) AS root FROM cst WHERE n * s2 - s1 * s1 > 1e-12 * n * s2),
+  cpp AS (SELECT a.feature AS f1, b.feature AS f2, sum(a.value * b.value) AS s FROM cm a JOIN cm b ON a.doc_id = b.doc_id AND a.feature < b.feature
+          GROUP BY ALL),
+  cpairs AS (SELECT a.feature AS feature_1, b.feature AS feature_2, (a.n * coalesce(s, 0.0) - a.s1 * b.s1) / (a.root * b.root) AS r
+             FROM cok a JOIN cok b ON a.feature < b.feature LEFT JOIN cpp ON f1 = a.feature AND f2 = b.feature)"""
+
+oracle("feature_correlation", f"""WITH {LAB}, {FSC}, {CORR}
+SELECT count(*) AS pairs, round(avg(abs(r)), 6) AS mean_abs_r, round(max(abs(r)), 6) AS max_abs_r,
+       count(*) FILTER (abs(r) > 0.5) AS pairs_above_0_5, count(*) FILTER (abs(r) > 0.8) AS pairs_above_0_8 FROM cpairs""")
+
+oracle("correlated_pairs", f"""WITH {LAB}, {FSC}, {CORR}
+SELECT feature_1, feature_2, round(r, 6) AS r, abs(round(r, 6)) > 0.8 AS high FROM cpairs WHERE abs(round(r, 6)) > 0.5""")
+
+oracle("selection_advice", f"""WITH {LAB}, {VAR}, {_DIM}, {FSC}, {CORR},
 c AS (SELECT sum(CASE WHEN variance = 0 THEN 1 ELSE 0 END) AS zero,
-             sum(CASE WHEN variance < 0.01 THEN 1 ELSE 0 END) AS low FROM fv)
+             sum(CASE WHEN variance < 0.01 THEN 1 ELSE 0 END) AS low FROM fv),
+hc AS (SELECT count(*) AS high FROM cpairs WHERE abs(r) > 0.8)
 SELECT CAST("order" AS INTEGER) AS "order", strategy, CAST(n_features AS BIGINT) AS n_features FROM (
   SELECT 1 AS "order", 'REMOVE_CONSTANT' AS strategy, zero AS n_features FROM c WHERE zero > 0
   UNION ALL SELECT 2, 'REMOVE_LOW_VARIANCE', low FROM c WHERE low > 0
+  UNION ALL SELECT 3, 'REMOVE_CORRELATED', high FROM hc WHERE high > 0
   UNION ALL SELECT 4, 'UNIVARIATE_SELECTION', n_features FROM dim WHERE n_features > 1000)""")
 
 SPLIT = """ranked AS (SELECT doc_id, class_id,
@@ -995,8 +1013,11 @@ FROM res, kk""")
 
 oracle("csv_scan", """SELECT doc_id, CAST(length(text) AS INTEGER) AS chars, substr(sha256(text), 1, 16) AS text_hash, lang, source
 FROM documents""")
-oracle("table_sink", """SELECT lang, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS chars FROM documents WHERE lang = 'en' GROUP BY lang""")
-ORACLE["feature_store"] = ORACLE["vocabulary"]
+oracle("table_sink", """SELECT lang, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS chars, CAST(sum(doc_id) AS BIGINT) AS ids
+FROM documents GROUP BY lang""")
+oracle("feature_store", f"""WITH {LAB},
+x AS (SELECT doc_id, count(*) AS n_features, round(sum(value), 6) AS value_sum FROM matrix GROUP BY 1)
+SELECT l.doc_id, l.label, l.class_id, n_features, value_sum FROM labels l LEFT JOIN x ON l.doc_id = x.doc_id""")
 ORACLE["model_store"] = ORACLE["nb_predict"]
 oracle("run_history", """WITH n AS (SELECT (SELECT count(*) FROM documents) + (SELECT count(*) FROM labels) + (SELECT count(*) FROM events) AS n)
 SELECT 'count_tables' AS job, 'run-' || k AS run_id, 3 AS steps, 0 AS failed, 'events' AS last_step, 3 - k AS age, n AS rows_seen

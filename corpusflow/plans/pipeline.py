@@ -38,6 +38,11 @@ class Features:
     def docs(self) -> DataFrame:
         return _cut(self._source, self._mode)
 
+    @cached_property
+    def term_rows(self) -> DataFrame:
+        """doc_id and the array of a document's terms, repeats included."""
+        return _cut(fe.term_arrays(self.docs, self._text_col, "doc_id", self._ngram, self._stops), self._mode)
+
     @cached_property
     def counts(self) -> DataFrame:
         return _cut(fe.term_counts(self.docs, self._text_col, "doc_id", self._ngram, self._stops), self._mode)

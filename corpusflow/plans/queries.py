@@ -657,7 +657,7 @@ def q_model_advice(spark, sf):
 @query("selection_advice")
 def q_selection_advice(spark, sf):
     f = _features(spark, sf)
-    return se.selection_advice(se.feature_variance(f.matrix, f.n_docs), f.n_features)
+    return se.selection_advice(se.feature_variance(f.matrix, f.n_docs), f.n_features, sp.pair_summary(_correlations(f)))
 
 
 # --- models ------------------------------------------------------------------------
@@ -719,60 +719,112 @@ def q_confusion_matrix(spark, sf):
     return md.confusion_matrix(pred)
 
 
-# --- MLlib-backed models (rows-only checks) -------------------------------------------
+# --- MLlib pipelines (rows-only checks) -----------------------------------------------
 
-from corpusflow.operators import mllib_models as ml  # noqa: E402
-
-def _best_features(f, train_ids, k):
-    """Selection is fit on the training rows only."""
-    scores = se.f_score(f.matrix.join(train_ids.select("doc_id"), "doc_id", "left_semi"),
-                        train_ids.select("doc_id", "class_id"))
-    return se.select_k_best(scores, k).select("feature")
+from corpusflow.operators import ml_chain as mc  # noqa: E402
+from corpusflow.operators import score as sc  # noqa: E402
+from corpusflow.operators import spectral as sp  # noqa: E402
 
 
-#: Selected features of each model, as in the reference.
-K_ML = {"logreg": 200, "linear_svm": 200, "random_forest": 500, "gbt": 200, "mlp": 200}
+def _ml_rows(spark, sf):
+    """One row per document for the pipelines: read by every fold of every model, so written once."""
+    return mc.vector_rows(_features(spark, sf)).checkpoint()
 
 
-def _ml_data(spark, sf, k=None):
-    """Training and test rows over the ``k`` best features, or over all of them."""
-    f = _features(spark, sf)
-    split = md.split_holdout(f.labels).persist(StorageLevel.MEMORY_AND_DISK)
-    train_ids = split.filter(~F.col("is_test"))
-    idx = ml.feature_index(_best_features(f, train_ids, k) if k else f.matrix.select("feature").distinct()).persist()
-    k_real = idx.count()
-    docs = split.select("doc_id", F.col("class_id").cast("double").alias("label"), "is_test")
-    data = ml.assemble(f.matrix, idx, docs, k_real).persist(StorageLevel.MEMORY_AND_DISK)
-    n_classes = f.labels.select(F.countDistinct("class_id")).collect()[0][0]
-    return data.filter(~F.col("is_test")), data.filter(F.col("is_test")), idx, k_real, n_classes
-
-
-def _ml_eval(name, scale=False):
+def _ml_eval(name):
+    """M5-M9: vectors, selection, scaling and classifier fit in each of 3 folds."""
     def run(spark, sf):
-        train, test, _, k, n_classes = _ml_data(spark, sf, K_ML[name])
-        est = ml.mlp(k, n_classes) if name == "mlp" else ml.ESTIMATORS[name]()
-        return ml.evaluate(est, train, test, name, scale)
+        return mc.compare(_ml_rows(spark, sf), [name]).drop("time_seconds")
     return run
 
 
-QUERIES["logreg_eval"] = _ml_eval("logreg", scale=True)
-QUERIES["linear_svm_eval"] = _ml_eval("linear_svm", scale=True)
+QUERIES["logreg_eval"] = _ml_eval("logistic_regression")
+QUERIES["linear_svm_eval"] = _ml_eval("linear_svm")
 QUERIES["rf_eval"] = _ml_eval("random_forest")
-QUERIES["gbt_eval"] = _ml_eval("gbt")
-QUERIES["mlp_eval"] = _ml_eval("mlp", scale=True)
+QUERIES["gbt_eval"] = _ml_eval("gradient_boosting")
+QUERIES["mlp_eval"] = _ml_eval("neural_network")
+QUERIES["nb_eval"] = _ml_eval("multinomial_nb")
+QUERIES["complement_nb_eval"] = _ml_eval("complement_nb")
+
+
+@query("model_comparison")
+def q_model_comparison(spark, sf):
+    """Models in 3 folds, ranked; a failed one is listed last with its error."""
+    from pyspark.sql import Window
+    found = mc.compare(_ml_rows(spark, sf), ["multinomial_nb", "complement_nb", "logistic_regression", "random_forest"])
+    order = Window.orderBy(F.desc_nulls_last("mean_accuracy"), "name")  # one row per model
+    return found.select(F.row_number().over(order).alias("rank"), "*")
+
+
+@query("comparison_advice")
+def q_comparison_advice(spark, sf):
+    return sc.comparison_advice(mc.compare(_ml_rows(spark, sf), ["multinomial_nb", "complement_nb", "logistic_regression"]))
+
+
+@query("pipeline_store")
+def q_pipeline_store(spark, sf):
+    """A fitted chain saved, published, loaded and used; ``same`` compares it with the one in memory."""
+    rows = _ml_rows(spark, sf)
+    model = mc.chain("multinomial_nb").fit(rows.filter("fold <> 0"))
+    registry = store.ModelRegistry(spark, _folder(spark, "registry"))
+    registry.publish(registry.save(model, "v1"))
+    held = rows.filter("fold = 0")
+    loaded = registry.load().transform(held).select("doc_id", "label", "prediction")
+    here = model.transform(held).select(F.col("doc_id").alias("d"), F.col("prediction").alias("p"))
+    return loaded.join(here, F.col("doc_id") == F.col("d")).select("doc_id", "label", "prediction", (F.col("prediction") == F.col("p")).alias("same"))
 
 
 @query("rf_importance")
 def q_rf_importance(spark, sf):
-    train, _, idx, _, _ = _ml_data(spark, sf)
-    return ml.rf_importance(train, idx, 100)
+    """Importances of all features."""
+    return mc.importances(_ml_rows(spark, sf)).drop("kind")
+
+
+@query("rf_importance_kinds")
+def q_rf_importance_kinds(spark, sf):
+    """Sum and mean of the importances of each kind of feature."""
+    return mc.importance_by_kind(mc.importances(_ml_rows(spark, sf)))
+
+
+def _components(spark, sf):
+    f = _features(spark, sf)
+    return sp.principal_components(f.matrix, f.docs.count(), 100)
 
 
 @query("pca_variance")
 def q_pca_variance(spark, sf):
     """Up to 100 components of all features."""
-    train, test, _, k, _ = _ml_data(spark, sf)
-    return ml.pca_variance(train.unionByName(test), min(100, k))
+    return _components(spark, sf)
+
+
+@query("pca_components_needed")
+def q_pca_components_needed(spark, sf):
+    """Components for 80, 90 and 95% of the variance, null if 100 are not enough."""
+    return sp.components_needed(_components(spark, sf))
+
+
+#: Features of the correlation analysis.
+N_CORRELATED = 1000
+
+
+def _correlations(f):
+    """Best features by F, rounded so that equal scores stay equal whatever the order of the sums."""
+    best = se.select_k_best(se.f_score(f.matrix, f.labels).withColumn("score", F.round("score", 6)), N_CORRELATED).select("feature")
+    return sp.correlated_pairs(f.matrix, sp.numbered_features(best), N_CORRELATED, f.n_docs)
+
+
+@query("feature_correlation")
+def q_feature_correlation(spark, sf):
+    """Pearson among the best 1,000 features, in numbers."""
+    return sp.pair_summary(_correlations(_features(spark, sf)))
+
+
+@query("correlated_pairs")
+def q_correlated_pairs(spark, sf):
+    """The pairs by name."""
+    r = F.round("r", 6)
+    return (_correlations(_features(spark, sf)).select("feature_1", "feature_2", r.alias("r")).filter(F.abs("r") > 0.5)
+            .withColumn("high", F.abs("r") > 0.8))
 
 
 #: C and L1 share of the reference's grids; both solvers of a penalty have the same optimum, so each is one cell here.
@@ -784,24 +836,17 @@ LR_CELLS = [*[(c, l1) for c in (0.1, 0.5, 1.0, 2.0, 5.0) for l1 in (0.0, 1.0)],
 def q_logreg_grid(spark, sf):
     """200 features and scaling fit in each of 3 folds; the elastic net wins only if it is better."""
     f = _features(spark, sf)
-    split = md.split_holdout(f.labels).persist(StorageLevel.MEMORY_AND_DISK)
-    train = split.filter(~F.col("is_test")).select("doc_id", "class_id")
-    folds = md.kfold_assign(train, 3).persist(StorageLevel.MEMORY_AND_DISK)
-
-    def scores(fitted, others, cells):
-        idx = ml.feature_index(_best_features(f, fitted, 200)).persist()
-        both = fitted.select("doc_id", "class_id", F.lit(True).alias("fit")).unionByName(
-            others.select("doc_id", "class_id", F.lit(False).alias("fit")))
-        docs = both.select("doc_id", F.col("class_id").cast("double").alias("label"), "fit")
-        data = ml.assemble(f.matrix, idx, docs, idx.count())
-        return ml.lr_accuracies(data.filter("fit"), data.filter("NOT fit"), cells)
-
-    each = [scores(folds.filter(F.col("fold") != j), folds.filter(F.col("fold") == j), LR_CELLS) for j in range(3)]
+    split = md.split_holdout(f.labels)
+    rows = mc.vector_rows(f).drop("fold").join(split.select("doc_id", "is_test"), "doc_id")
+    folds = md.kfold_assign(split.filter(~F.col("is_test")).select("doc_id", "class_id"), 3).select("doc_id", "fold")
+    rows = rows.join(folds, "doc_id", "left").checkpoint()
+    train = rows.filter(~F.col("is_test"))
+    each = [mc.logistic_cells(train.filter(F.col("fold") != j), train.filter(F.col("fold") == j), LR_CELLS) for j in range(3)]
     mean = {cell: sum(e[cell] for e in each) / 3 for cell in LR_CELLS}
     best = max(LR_CELLS, key=lambda cell: (mean[cell], cell[1] in (0.0, 1.0)))
-    test_acc = scores(train, split.filter("is_test"), [best])[best]
-    rows = [(c, l1, mean[c, l1], test_acc) for c, l1 in LR_CELLS]
-    return spark.createDataFrame(rows, "c double, elastic_net double, cv_accuracy double, best_test_accuracy double")
+    test_acc = mc.logistic_cells(train, rows.filter("is_test"), [best])[best]
+    cells = [(c, l1, mean[c, l1], test_acc) for c, l1 in LR_CELLS]
+    return spark.createDataFrame(cells, "c double, elastic_net double, cv_accuracy double, best_test_accuracy double")
 
 
 # --- streaming twins -------------------------------------------------------------------
@@ -873,9 +918,6 @@ def q_score_stream(spark, sf):
 
 # --- scoring, jobs, sweeps -----------------------------------------------------------------
 
-from corpusflow.operators import score as sc  # noqa: E402
-
-
 def _bench_features(spark, sf, f):
     bench = read_table(spark, sf, "benchmark")
     new = bench.select(F.col("item_id").alias("doc_id"), F.lit(None).cast("string").alias("sample_name"),
@@ -964,17 +1006,6 @@ def q_nb_grid(spark, sf):
     return md.nb_grid_cv(f.matrix, f.labels, [300, 400, 500, 600, 750], [0.01, 0.1, 0.5, 1.0, 2.0, 5.0, 10.0])
 
 
-def _holdout_acc(f, matrix, name):
-    split = md.split_holdout(f.labels).persist(StorageLevel.MEMORY_AND_DISK)
-    train = split.filter(~F.col("is_test")).select("doc_id", "class_id")
-    test = split.filter(F.col("is_test")).select("doc_id", "class_id")
-    d = matrix.select(F.countDistinct("feature")).scalar()
-    model = md.nb_fit(matrix.join(train, "doc_id", "left_semi"), train, n_features=d)
-    pred = md.nb_predict(model, matrix.join(test, "doc_id", "left_semi"), test).join(test, "doc_id")
-    return pred.agg(F.round(F.avg((F.col("class_id") == F.col("pred_class_id")).cast("double")), 6)
-                    .alias("accuracy")).select(F.lit(name).alias("name"), "accuracy")
-
-
 def _nb_sweep_holdout(f, ranked, ks, alpha=1.0):
     """Hold-out NB accuracy for several top-k feature sets in one plan.
 
@@ -1018,30 +1049,31 @@ def _nb_sweep_holdout(f, ranked, ks, alpha=1.0):
 
 @query("k_sweep")
 def q_k_sweep(spark, sf):
+    """Naive Bayes over several k in 5 folds; selection and scaling are fit per fold."""
     f = _features(spark, sf)
-    from pyspark.sql import Window
-    # One ranking (bounded by the number of features), persisted and shared by every k.
-    ranked = (se.f_score(f.matrix, f.labels).filter(F.col("score").isNotNull())
-              .select("feature", F.row_number().over(Window.orderBy(F.desc("score"), "feature")).alias("rank"))
-              .persist(StorageLevel.MEMORY_AND_DISK))
-    return _nb_sweep_holdout(f, ranked, [150, 175, 200, 225, 250])
+    found = md.nb_grid_cv(f.matrix, f.labels, [150, 175, 200, 225, 250], [1.0], [True], ("f_score",), k_folds=5)
+    return found.select("k", F.col("cv_accuracy").alias("accuracy"), F.col("cv_std").alias("std"))
+
+
+#: Term variants: n-gram sizes, least and most documents, features, analyzer, raw counts.
+VARIANTS = {"tfidf_1_2": ((1, 2), 2, 0.95, 2000, "word", False), "tfidf_1_3": ((1, 3), 3, 0.9, 2000, "word", False),
+            "count_1_2": ((1, 2), 2, 0.95, 2000, "word", True), "char_3_5": ((3, 5), 2, 0.95, 1500, "char", False)}
 
 
 @query("variant_compare")
 def q_variant_compare(spark, sf):
+    """Term variants through the naive Bayes chain in 3 folds; the vocabulary is fit per fold."""
     f = _features(spark, sf)
+    rows = mc.vector_rows(f).checkpoint()
+    out = mc.compare(rows, ["multinomial_nb"]).withColumn("name", F.lit("assembled"))
     d = _variant_docs(spark, sf)
-    out = _holdout_acc(f, f.matrix, "assembled")
-    for name, ngram, min_df, max_df, mf, analyzer, count in [
-            ("tfidf_1_2", (1, 2), 2, 0.95, 2000, "word", False),
-            ("tfidf_1_3", (1, 3), 3, 0.9, 2000, "word", False),
-            ("count_1_2", (1, 2), 2, 0.95, 2000, "word", True),
-            ("char_3_5", (3, 5), 2, 0.95, 1500, "char", False)]:
-        counts, vocab, _ = _variant_counts(spark, sf, ngram, min_df, max_df, mf, analyzer)
-        vals = fe.count_matrix(counts, vocab) if count else fe.tfidf(counts, vocab)
-        mat = vals.select("doc_id", F.col("term").alias("feature"), "value").join(d.select("doc_id"), "doc_id")
-        out = out.unionByName(_holdout_acc(f, mat, name))
-    return out
+    for name, (ngram, min_df, max_df, most, analyzer, counts) in VARIANTS.items():
+        stops = fe.english_stop_words() if analyzer == "word" else None
+        terms = fe.term_arrays(d, "t", ngram=ngram, stop_words=stops, pattern=tx.DEFAULT_TOKEN_PATTERN, analyzer=analyzer)
+        own = rows.select("doc_id", "label", "fold").join(terms, "doc_id").checkpoint()
+        out = out.unionByName(mc.compare(own, ["multinomial_nb"], max_features=most, min_df=min_df, max_df=max_df, counts_only=counts, dense=[])
+                              .withColumn("name", F.lit(name)))
+    return out.drop("time_seconds")
 
 
 #: The reference's feature subsets, by kinds; a subset without features is left out.
@@ -1074,49 +1106,28 @@ def q_subset_ablation(spark, sf):
 
 @query("retrain_job")
 def q_retrain_job(spark, sf):
-    """Quality gate -> clean -> features -> train -> validate, one run-summary row per step."""
-    raw = _raw(spark, sf)
-    gate = pr.data_quality_gate(raw, "transcription", "medical_specialty")
-    clean = _clean(spark, sf)
-    f = _features(spark, sf)
-    _, _, pred = _nb_holdout(spark, sf)
-    acc = pred.agg(F.avg((F.col("class_id") == F.col("pred_class_id")).cast("double")).alias("a")).scalar()
-    def step(no, name, status, value):
-        return F.struct(F.lit(no).alias("step_no"), F.lit(name).alias("step"), status.alias("status"),
-                        value.cast("double").alias("value"))
-
-    steps = spark.range(1).select(F.explode(F.array(
-        step(1, "check_data_quality", gate.select("status").scalar(), gate.select("total_records").scalar()),
-        step(2, "create_clean_dataset", F.lit("success"), clean.select(F.count(F.lit(1))).scalar()),
-        step(3, "create_features", F.lit("success"), f.n_features),
-        step(4, "train_and_validate", sc.model_gate(acc), F.round(acc, 6)),
-    )).alias("s")).select("s.*")
-    return steps
-
-
-@query("feature_correlation")
-def q_feature_correlation(spark, sf):
-    """Pearson among the best 1,000 features."""
-    train, test, _, _, _ = _ml_data(spark, sf, k=1000)
-    return ml.correlation_summary(train.unionByName(test))
+    """The job's run rows and its notification."""
+    from corpusflow.plans.retrain import retrain
+    done = retrain(spark, _raw(spark, sf), _folder(spark, "retrain"))
+    return done.runs.table().drop("finished_at", "run_id").unionByName(done.notices().drop("sent_at", "run_id"))
 
 
 @query("selector_compare")
 def q_selector_compare(spark, sf):
-    """Selection method x k, each evaluated by hold-out NB accuracy in one plan per method."""
+    """Selection method x k, ranked on the training rows, each evaluated by hold-out NB accuracy in one plan per method."""
     from pyspark.sql import Window
     f = _features(spark, sf)
     out = None
+    ids = md.split_holdout(f.labels).filter(~F.col("is_test")).select("doc_id", "class_id").persist(StorageLevel.MEMORY_AND_DISK)
+    fitted = f.matrix.join(ids.select("doc_id"), "doc_id", "left_semi")
 
     def forest(matrix, labels):
-        idx = ml.feature_index(matrix.select("feature").distinct()).persist()
-        docs = labels.select("doc_id", F.col("class_id").cast("double").alias("label"))
-        data = ml.assemble(matrix, idx, docs, idx.count()).persist(StorageLevel.MEMORY_AND_DISK)
-        return ml.rf_importance(data, idx, 100).select("feature", F.col("importance").alias("score"))
+        rows = mc.vector_rows(f).join(labels.select("doc_id"), "doc_id", "left_semi")
+        return mc.importances(rows.checkpoint()).select("feature", F.col("importance").alias("score"))
 
     for name, fn in [("f_score", se.f_score), ("mutual_info", se.mutual_info), ("chi2", se.chi2_score), ("random_forest", forest)]:
-        ranked = (fn(f.matrix, f.labels).filter(F.col("score").isNotNull())
-                  .select("feature", F.row_number().over(Window.orderBy(F.desc("score"), "feature")).alias("rank"))
+        best = se.select_k_best(fn(fitted, ids), 500)
+        ranked = (best.select("feature", F.row_number().over(Window.orderBy(F.desc("score"), "feature")).alias("rank"))  # 500 rows
                   .persist(StorageLevel.MEMORY_AND_DISK))
         r = _nb_sweep_holdout(f, ranked, [50, 100, 200, 500]).select(F.lit(name).alias("method"), "k", "accuracy")
         out = r if out is None else out.unionByName(r)
@@ -1147,18 +1158,19 @@ def q_csv_scan(spark, sf):
 
 @query("table_sink")
 def q_table_sink(spark, sf):
-    """A table partitioned by language, read with the partitions pruned."""
+    """A table partitioned by language, read back whole."""
     d = documents(spark, sf).select("doc_id", "lang", F.length("text").alias("chars"))
     path = store.write_table(d, _folder(spark, "table"), partition_by=("lang",))
-    return spark.read.parquet(path).filter(F.col("lang") == "en").groupBy("lang").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"))
+    back = spark.read.schema(d.schema).parquet(path)
+    return back.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"), F.sum("doc_id").alias("ids"))
 
 
 @query("feature_store")
 def q_feature_store(spark, sf):
-    """S3: vocabulary saved and loaded."""
-    kept = store.FeatureStore(spark, _folder(spark, "features")).save(_features(spark, sf), ("vocab",))
-    return kept.load("vocab").select("term", "df", "cf", F.round("idf", 6).alias("idf"), "feature_index")
+    """S3: X and y saved, loaded and joined: features and value sum of every document, with its label."""
+    kept = store.FeatureStore(spark, _folder(spark, "features")).save(_features(spark, sf))
+    x = kept.load("matrix").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_features"), F.round(F.sum("value"), 6).alias("value_sum"))
+    return kept.load("labels").join(x, "doc_id", "left").select("doc_id", "label", "class_id", "n_features", "value_sum")
 
 
 @query("model_store")

@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,10 +19,16 @@ CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"
                "lineSep": "\n", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
-def read_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """CSV with a header; without ``schema`` every column is a string."""
-    reader = spark.read.options(**CSV_OPTIONS)
-    return (reader.schema(schema) if schema else reader).csv(path)
+def read_csv(spark: SparkSession, path: str, schema: str | None = None, lines_in_fields: bool = True) -> DataFrame:
+    """CSV with a header; without ``schema`` every column is a string.
+
+    Fields with line ends keep a file from being split, so a file is one task and
+    its rows are dealt out anew right after the scan.  Pass
+    ``lines_in_fields=False`` for files without such fields: Spark splits those.
+    """
+    reader = spark.read.options(**CSV_OPTIONS | {"multiLine": str(lines_in_fields).lower()})
+    rows = (reader.schema(schema) if schema else reader).csv(path)
+    return rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))) if lines_in_fields else rows
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists",
@@ -67,6 +75,45 @@ def load_nb(spark: SparkSession, folder: str, complement: bool = False) -> NBMod
     return NBModel(spark.read.parquet(f"{folder}/deltas"), classes, const, classes.select(F.count(F.lit(1))).scalar())
 
 
+POINTER_SCHEMA = "version string, run_id string, published_at timestamp"
+
+
+class ModelRegistry:
+    """Fitted pipelines below one folder, one sub-folder per version, and an append-only table that names the serving one.
+
+    A version is written whole before it can be published, and publishing appends
+    one file to the pointer table, so readers see the old version or the new one.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder.rstrip("/")
+
+    def save(self, model: PipelineModel, version: str) -> str:
+        model.write().save(f"{self.folder}/models/{version}")
+        return version
+
+    def load(self, version: str | None = None) -> PipelineModel:
+        return PipelineModel.load(f"{self.folder}/models/{version or self.serving()}")
+
+    def publish(self, version: str, run_id: str | None = None) -> None:
+        row = self.spark.createDataFrame([(version, run_id, None)], POINTER_SCHEMA).withColumn("published_at", F.current_timestamp())
+        row.coalesce(1).write.mode("append").parquet(f"{self.folder}/pointer")
+
+    def published(self) -> DataFrame:
+        """All rows of the pointer table; none before the first publication."""
+        try:
+            return self.spark.read.schema(POINTER_SCHEMA).parquet(f"{self.folder}/pointer")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], POINTER_SCHEMA)
+
+    def serving(self) -> str | None:
+        """The version published last; None before the first publication."""
+        newest = self.published().orderBy(F.desc("published_at"), F.desc("version")).first()
+        return newest.version if newest else None
+
+
 RUN_SCHEMA = "run_id string, job string, step_no int, step string, status string, value double, finished_at timestamp, message string"
 
 

@@ -4,7 +4,6 @@ import math
 import numpy as np
 from pyspark.sql import functions as F
 
-from corpusflow.operators import mllib_models as ml
 from corpusflow.operators import models as md
 from corpusflow.plans import queries
 
@@ -102,23 +101,5 @@ def test_nb_grid_matches_dense_numpy(spark):
         assert found == (round(float(np.mean(acc)), 6), round(float(np.std(acc)), 6)), (selector, k, alpha, prior)
 
 
-def test_grids_and_feature_counts_are_the_references():
+def test_grids_are_the_references():
     assert len(set(queries.LR_CELLS)) == 26 and sum(l1 == 1.0 for _, l1 in queries.LR_CELLS) == 5 and len(queries.SUBSETS) == 9
-    assert queries.K_ML == {"logreg": 200, "linear_svm": 200, "random_forest": 500, "gbt": 200, "mlp": 200}
-
-
-def test_assembled_vectors_pca_and_logistic_cells(spark):
-    rng = np.random.default_rng(5)
-    X = rng.normal(size=(30, 8)) * (rng.random((30, 8)) < 0.6)
-    X[4], X[:, 6] = 0.0, 2.0
-    matrix = spark.createDataFrame([(i, f"f{j}", float(X[i, j])) for i in range(30) for j in range(8) if X[i, j] and i != 4],
-                                   "doc_id long, feature string, value double")
-    X[4, 6] = 0.0
-    docs = spark.createDataFrame([(i, float(X[i, 0] > 0)) for i in range(30)], "doc_id long, label double")
-    data = ml.assemble(matrix, ml.feature_index(matrix.select("feature").distinct()), docs, 8)
-    assert np.allclose([r.features.toArray() for r in data.orderBy("doc_id").collect()], X)
-    values = np.sort(np.linalg.eigvalsh(np.corrcoef(X.T)))[::-1] / 8
-    got = ml.pca_variance(data, 3).orderBy("component").collect()
-    assert np.allclose([r.explained for r in got], values[:3]) and np.allclose([r.cumulative for r in got], np.cumsum(values[:3]))
-    found = ml.lr_accuracies(data, data, [(1.0, 0.0), (1.0, 1.0), (0.001, 1.0)])
-    assert found[1.0, 1.0] > 0.85 and found[0.001, 1.0] < found[1.0, 1.0]
