@@ -44,6 +44,41 @@ def floor_percentiles(df: DataFrame, group_cols: list[str], value_col: str,
     return out.drop("__g") if not g else out
 
 
+#: Values whose counts run in one window: those that share all but their last 11 bits.
+_RUN_BITS = 11
+
+
+def linear_percentiles(df: DataFrame, cols: dict[str, Column], ps: list[float]) -> DataFrame:
+    """One row per ``name`` with a map ``p -> value``: exact percentiles with linear interpolation, like ``percentile``, of non-negative int columns.
+
+    One scan counts the distinct values, spread by value; no task holds them all.
+    Values that share all but their last 11 bits form a run: the runs' sums say how
+    many values lie below each run (at most 2**20 rows for ints), and inside a run
+    at most 2,048 rows are added up.  Nulls are left out; a column without values
+    has no row.
+    """
+    each = df.select(F.explode(F.array(*[F.struct(F.lit(n).alias("name"), c.cast("int").alias("v")) for n, c in cols.items()])).alias("e")).select("e.*")
+    run = F.shiftright("v", _RUN_BITS).alias("run")
+    counts = each.filter(F.col("v").isNotNull()).groupBy("name", run, "v").agg(F.count(F.lit(1)).alias("c"))
+    up_to = Window.partitionBy("name").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = counts.groupBy("name", "run").agg(F.sum("c").alias("c")).select(
+        F.col("name").alias("r_name"), F.col("run").alias("r_run"), F.coalesce(F.sum("c").over(up_to), F.lit(0)).alias("below"),
+        F.sum("c").over(Window.partitionBy("name")).alias("n"))
+    inside = Window.partitionBy("name", "run").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    found = counts.withColumn("up_to", F.sum("c").over(inside)).join(runs, (F.col("name") == F.col("r_name")) & (F.col("run") == F.col("r_run")))
+    reached = F.col("below") + F.col("up_to")
+
+    def at(rank: Column) -> Column:
+        return F.min(F.when(reached > rank, F.col("v"))).cast("double")
+
+    pos = [F.lit(float(p)) * (F.col("n") - 1) for p in ps]
+    ranks = [c for i, x in enumerate(pos) for c in (at(F.floor(x)).alias(f"lo{i}"), at(F.ceil(x)).alias(f"hi{i}"))]
+    one = found.groupBy("name", "n").agg(*ranks)
+    value = [F.when(F.col(f"lo{i}") == F.col(f"hi{i}"), F.col(f"lo{i}")).otherwise(
+        (F.ceil(x) - x) * F.col(f"lo{i}") + (x - F.floor(x)) * F.col(f"hi{i}")) for i, x in enumerate(pos)]
+    return one.select("name", F.create_map(*[c for p, v in zip(ps, value) for c in (F.lit(float(p)), v)]).alias("percentiles"))
+
+
 def floor_log2(x: Column) -> Column:
     """Exact ``floor(log2(x))`` for x > 0 (corrects the rounding of ln(x)/ln(2))."""
     b = F.floor(F.log2(x))

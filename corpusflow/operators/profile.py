@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusflow.functions import text as tx
+from corpusflow.functions.stats import linear_percentiles
+from corpusflow.session import ensure_checkpoint_dir
 
 # Word filters of the vocabulary reports.
 OVERLAP_COMMON_WORDS = ["the", "and", "that", "this", "with", "from", "they", "have",
@@ -96,37 +98,39 @@ def class_tiers(df: DataFrame, target_col: str, thresholds=(100, 20, 5)) -> Data
                     _pct(F.coalesce("samples", F.lit(0)), total).alias("pct")))
 
 
+def _percentile_row(df: DataFrame, cols: dict, ps: list[float]) -> Column:
+    """The percentiles of ``cols`` as one map: name -> p -> value."""
+    found = linear_percentiles(df, cols, ps)
+    return found.agg(F.map_from_entries(F.collect_list(F.struct("name", "percentiles")))).scalar()
+
+
+def _sizes(df: DataFrame) -> DataFrame:
+    """``df`` (a few lengths per text) written once: reports read it several times, the texts only here."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def text_length_stats(df: DataFrame, text_cols=("description", "transcription")) -> DataFrame:
     """Mean/median/min/max characters and mean/median words per text column (non-null rows)."""
-    parts = []
-    for c in text_cols:
-        if c not in df.columns:
-            continue
-        chars = F.length(F.col(c))
-        words = tx.word_count(F.col(c))
-        sub = df.filter(F.col(c).isNotNull()).agg(
-            F.round(F.avg(chars), 6).alias("char_mean"),
-            F.round(F.percentile(chars, 0.5), 6).alias("char_median"),
-            F.round(F.avg(words), 6).alias("word_mean"),
-            F.round(F.percentile(words, 0.5), 6).alias("word_median"),
-            F.min(chars).cast("long").alias("char_min"),
-            F.max(chars).cast("long").alias("char_max"))
-        parts.append(sub.select(F.lit(c).alias("column_name"), "*"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    held = [c for c in text_cols if c in df.columns]
+    sizes = {f"{c}_{kind}": size for c in held for kind, size in (("chars", F.length(F.col(c))), ("words", F.when(F.col(c).isNotNull(), tx.word_count(F.col(c)))))}
+    wide = _sizes(df.select(*[size.alias(n) for n, size in sizes.items()]))
+    median = _percentile_row(wide, {n: F.col(n) for n in sizes}, [0.5])
+    one = wide.agg(*[f(n).alias(f"{n}_{f.__name__}") for n in sizes for f in (F.avg, F.min, F.max)]).withColumn("m", median)
+    rows = [F.struct(F.lit(c).alias("column_name"), F.round(f"{c}_chars_avg", 6).alias("char_mean"), F.round(F.col("m")[f"{c}_chars"][0.5], 6).alias("char_median"),
+                     F.round(f"{c}_words_avg", 6).alias("word_mean"), F.round(F.col("m")[f"{c}_words"][0.5], 6).alias("word_median"),
+                     F.col(f"{c}_chars_min").cast("long").alias("char_min"), F.col(f"{c}_chars_max").cast("long").alias("char_max")) for c in held]
+    return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
 def iqr_outliers(df: DataFrame, text_col: str = "transcription") -> DataFrame:
     """IQR bounds and strict outlier counts for characters and words, plus warnings."""
-    base = df.filter(F.col(text_col).isNotNull()).select(
-        F.length(text_col).alias("chars"), tx.word_count(F.col(text_col)).alias("words"))
-    q = base.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile("chars", 0.25).alias("cq1"), F.percentile("chars", 0.75).alias("cq3"),
-        F.percentile("words", 0.25).alias("wq1"), F.percentile("words", 0.75).alias("wq3"),
-        F.percentile("chars", 0.5).alias("cmed"), F.max("chars").alias("cmax"))
+    base = _sizes(df.filter(F.col(text_col).isNotNull()).select(
+        F.length(text_col).alias("chars"), tx.word_count(F.col(text_col)).alias("words")))
+    cuts = _percentile_row(base, {"chars": F.col("chars"), "words": F.col("words")}, [0.25, 0.5, 0.75])
+    q = base.agg(F.count(F.lit(1)).alias("n"), F.max("chars").alias("cmax")).withColumn("m", cuts)
+    q = q.select("n", "cmax", *[F.col("m")[name][p].alias(a) for name, p, a in (
+        ("chars", 0.25, "cq1"), ("chars", 0.75, "cq3"), ("words", 0.25, "wq1"), ("words", 0.75, "wq3"), ("chars", 0.5, "cmed"))])
     q = q.select("*",
                  (F.col("cq1") - 1.5 * (F.col("cq3") - F.col("cq1"))).alias("c_lo"),
                  (F.col("cq3") + 1.5 * (F.col("cq3") - F.col("cq1"))).alias("c_hi"),

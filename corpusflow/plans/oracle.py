@@ -952,12 +952,56 @@ FROM requests GROUP BY time_bucket(INTERVAL 1 HOUR, ts)
 HAVING time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR <= {_MAXT} - INTERVAL 1 HOUR""")
 
 oracle("stream_sliding_kpis", f"""WITH {REQ},
-w AS (SELECT time_bucket(INTERVAL 10 MINUTE, ts) - j * INTERVAL 10 MINUTE AS s, status_code
+w AS (SELECT time_bucket(INTERVAL 10 MINUTE, ts) - j * INTERVAL 10 MINUTE AS s, status_code, response_time_ms
       FROM requests, range(0, 6) r(j))
 SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS requests,
-       round(avg(CASE WHEN status_code >= 400 THEN 1.0 ELSE 0.0 END) * 100, 6) AS error_rate_percent
+       round(avg(CASE WHEN status_code >= 400 THEN 1.0 ELSE 0.0 END) * 100, 6) AS error_rate_percent,
+       round(list_sort(list(response_time_ms))[CAST(ceil(0.95::DOUBLE * count(*)) AS INTEGER)], 6) AS p95
 FROM w GROUP BY s HAVING s + INTERVAL 60 MINUTE <= {_MAXT} - INTERVAL 1 HOUR""")
 
+oracle("stream_newest", f"""WITH {PRED},
+p AS (SELECT *, 'v' || (seq % 3) AS v, row_number() OVER (PARTITION BY seq % 3 ORDER BY ts DESC, seq DESC) AS rn,
+             count(*) OVER (PARTITION BY seq % 3) AS total FROM predictions),
+a AS (SELECT v, max(total) >= 100 AS ok, avg(confidence) AS m, stddev_pop(confidence) AS s,
+             avg(CASE WHEN confidence < 0.7 THEN 1.0 ELSE 0.0 END) AS low FROM p WHERE rn <= 100 GROUP BY v)
+SELECT v AS model_version, CASE WHEN ok THEN 'analyzed' ELSE 'insufficient_data' END AS status, CASE WHEN ok THEN 100 END AS window_size,
+       CASE WHEN ok THEN round(m, 6) END AS confidence_mean, CASE WHEN ok THEN round(s, 6) END AS confidence_std,
+       CASE WHEN ok THEN round(low, 6) END AS low_confidence_ratio,
+       CASE WHEN ok THEN concat_ws(',', CASE WHEN low > 0.3 THEN 'HIGH_LOW_CONFIDENCE_RATIO' END,
+                                   CASE WHEN s > 0.25 THEN 'HIGH_CONFIDENCE_VARIANCE' END) END AS drift_alerts
+FROM a""")
+
+#: Minutes that the 1-hour watermark has closed; the watermark is rounded down to milliseconds.
+_WM = f"(date_trunc('millisecond', {_MAXT}) - INTERVAL 1 HOUR)"
+oracle("stream_quiet", f"""WITH {REQ},
+active AS (SELECT DISTINCT endpoint AS key, date_trunc('minute', ts) AS m FROM requests
+           WHERE date_trunc('minute', ts) + INTERVAL 1 MINUTE <= {_WM}),
+nxt AS (SELECT key, m, lead(m) OVER (PARTITION BY key ORDER BY m) AS nm FROM active),
+quiet AS (SELECT key, unnest(generate_series(m + INTERVAL 10 MINUTE, coalesce(nm, date_trunc('minute', {_WM})) - INTERVAL 1 MINUTE,
+                                             INTERVAL 1 MINUTE)) AS m FROM nxt),
+lasts AS (SELECT r.endpoint AS key, a.nm, max(r.ts) AS last FROM requests r JOIN nxt a ON r.endpoint = a.key AND date_trunc('minute', r.ts) = a.m
+          GROUP BY ALL),
+absent AS (SELECT key, last FROM lasts WHERE nm IS NULL AND {_WM} > last + INTERVAL 23 HOUR)
+SELECT key, 'LOW_TRAFFIC' AS alert, strftime(m, '%Y-%m-%d %H:%M:%S') AS start FROM quiet
+UNION ALL SELECT key, 'ABSENT', strftime(last, '%Y-%m-%d %H:%M:%S') FROM absent""")
+
+oracle("stream_bursts", f"""WITH {REQ},
+w AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS s, CAST(sum({ERRC}) AS DOUBLE) AS errors,
+             list_sort(list(response_time_ms))[CAST(ceil(0.95::DOUBLE * count(*)) AS INTEGER)] AS p95 FROM requests GROUP BY 1
+      HAVING time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE <= {_WM})
+SELECT 'ERROR_BURST' AS alert, strftime(s, '%Y-%m-%d %H:%M:%S') AS start, round(errors, 6) AS value FROM w WHERE errors > 1
+UNION ALL SELECT 'SLOW_P95', strftime(s, '%Y-%m-%d %H:%M:%S'), round(p95, 6) FROM w WHERE p95 > 450.0""")
+
+oracle("stream_quarantine", f"""WITH t AS (
+  SELECT conv_id, turn, CASE WHEN (conv_id + turn) % 11 = 0 THEN '  ' ELSE text END AS text, (conv_id * 3 + turn) % 7 = 0 AS cut FROM conversations),
+r AS (SELECT cut, text, {_strip} AS s FROM t)
+SELECT CASE WHEN cut THEN 'corrupt' WHEN text IS NULL THEN 'null' WHEN text = '' THEN 'empty' WHEN coalesce(s, '') = '' THEN 'blank' ELSE 'scored' END AS outcome,
+       count(*) AS n FROM r GROUP BY 1""")
+
+oracle("sketch_report", f"""WITH {REQ}
+SELECT endpoint, count(*) AS requests, count(*) FILTER (status_code >= 400) AS errors, round(avg(response_time_ms), 6) AS avg_response_time_ms
+FROM requests GROUP BY 1""")
+
 oracle("stream_running_perf", ORACLE["prediction_perf"])
 
 oracle("stream_alerts", f"""WITH {REQ},

@@ -866,7 +866,7 @@ def q_stream_hourly_kpis(spark, sf):
 def q_stream_sliding_kpis(spark, sf):
     out = ms.run_to_table(ms.sliding_kpis(ms.request_stream(spark, sf)), "sliding_kpis")
     return out.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
-                      "requests", F.round("error_rate_percent", 6).alias("error_rate_percent"))
+                      "requests", F.round("error_rate_percent", 6).alias("error_rate_percent"), F.round("p95", 6).alias("p95"))
 
 
 @query("stream_running_perf")
@@ -890,30 +890,84 @@ def q_stream_dedup(spark, sf):
     return out.agg(F.count(F.lit(1)).alias("n_kept"))
 
 
+from corpusflow.streaming import score_stream as ss  # noqa: E402
+from corpusflow.streaming import state as st  # noqa: E402
+
+
+@query("stream_newest")
+def q_stream_newest(spark, sf):
+    """Drift of each model version from the newest 100 of its last 1,000 predictions, held as state."""
+    predictions = ms.prediction_stream(spark, sf).withColumn("model_version", F.concat(F.lit("v"), (F.col("seq") % 3).cast("string")))
+    reports = ms.run_to_table(st.newest_predictions(predictions), "newest", mode="update")
+    return st.drift_by_version(st.latest_window(reports))
+
+
+@query("stream_quiet")
+def q_stream_quiet(spark, sf):
+    """Minutes that end ten without requests and absences, per endpoint, told by event-time timers."""
+    out = ms.run_to_table(st.quiet_alerts(ms.request_stream(spark, sf), F.col("endpoint")), "quiet")
+    return out.select("key", "alert", F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"))
+
+
+@query("stream_bursts")
+def q_stream_bursts(spark, sf):
+    """Error bursts and slow windows of 5 minutes."""
+    out = ms.run_to_table(st.burst_alerts(ms.request_stream(spark, sf), error_count=1, p95_ms=450.0), "bursts")
+    return out.select("alert", F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), F.round("value", 6).alias("value"))
+
+
+TURN = "conv_id long, turn long, role string, text string"
+
+
+def _turn_lines(spark, sf):
+    """The conversations as JSON lines in a folder; every seventh line is cut off, every eleventh text is blank."""
+    turns = read_table(spark, sf, "conversations").select("conv_id", "turn", "role", F.when(
+        (F.col("conv_id") + F.col("turn")) % 11 == 0, F.lit("  ")).otherwise(F.col("text")).alias("text"))
+    line = F.to_json(F.struct("conv_id", "turn", "role", "text"))
+    cut = (F.col("conv_id") * 3 + F.col("turn")) % 7 == 0
+    folder = _folder(spark, "lines")
+    turns.select(F.when(cut, F.substring(line, 1, 25)).otherwise(line).alias("value")).write.text(folder)
+    return folder
+
+
+def _score_lines(spark, sf):
+    from pyspark.sql.types import StructType
+    f = _features(spark, sf)
+    model = mc.chain("multinomial_nb").fit(mc.vector_rows(f).checkpoint())
+    index = fe.label_index(f.docs, "sample_name", null_as="unknown")
+    return ss.score_lines(ss.line_stream(spark, _turn_lines(spark, sf)), StructType.fromDDL(TURN), F.struct("conv_id", "turn"), model, index)
+
+
 @query("score_stream")
 def q_score_stream(spark, sf):
-    """Validate, score and reject per micro-batch with a fitted NB model."""
-    f = _features(spark, sf)
-    model = md.nb_fit(f.matrix, f.labels.select("doc_id", "class_id"), n_features=f.n_features)
-    vocab = f.vocab.persist()
-    stream = ms.table_stream(spark, sf, "conversations").select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"), "text")
-
-    def handle(batch, epoch):
-        valid, rejected = cl.valid_text(batch, "text")
-        new = valid.select("doc_id", tx.normalize_conservative(tx.clean_text(F.col("text"))).alias("t"))
-        counts = fe.term_counts(new, "t", ngram=(1, 2), stop_words=fe.english_stop_words())
-        mat = fe.tfidf(counts, vocab).select("doc_id", F.concat(F.lit("tfidf_"), F.col("term")).alias("feature"),
-                                             "value")
-        pred = md.nb_predict(model, mat, valid.select("doc_id"))
-        ok = pred.select("doc_id", F.lit("scored").alias("status"), "pred_class_id",
-                         F.round("confidence", 6).alias("confidence"))
-        bad = rejected.select("doc_id", F.lit("rejected").alias("status"),
-                              F.lit(None).cast("int").alias("pred_class_id"),
-                              F.lit(None).cast("double").alias("confidence"))
-        return ok.unionByName(bad)
-
-    return ms.foreach_batch_to_table(stream, "score_stream", handle)
+    """JSON lines validated and scored per micro-batch with the fitted chain."""
+    scores, _ = _score_lines(spark, sf)
+    return scores.select("doc_id.conv_id", "doc_id.turn", "pred_class_id", F.round("confidence", 6).alias("confidence"))
+
+
+@query("stream_quarantine")
+def q_stream_quarantine(spark, sf):
+    """What was scored and what was rejected, by reason."""
+    scores, rejects = _score_lines(spark, sf)
+    return (scores.agg(F.count(F.lit(1)).alias("n")).select(F.lit("scored").alias("outcome"), "n")
+            .unionByName(rejects.groupBy(F.col("reason").alias("outcome")).agg(F.count(F.lit(1)).alias("n"))))
+
+
+@query("sketch_report")
+def q_sketch_report(spark, sf):
+    """Hourly sketches of the log, written once and merged per endpoint."""
+    from corpusflow.operators import sketches as sk
+    path = store.write_table(sk.hourly_sketches(_req(spark, sf)), _folder(spark, "sketches"))
+    out = sk.merged(spark.read.parquet(path))
+    return out.select("endpoint", "requests", "errors", F.round("avg_response_time_ms", 6).alias("avg_response_time_ms"))
+
+
+@query("sketch_percentiles")
+def q_sketch_percentiles(spark, sf):
+    """Approximate distinct clients and latency percentiles per endpoint, from merged hourly sketches."""
+    from corpusflow.operators import sketches as sk
+    path = store.write_table(sk.hourly_sketches(_req(spark, sf)), _folder(spark, "sketches"))
+    return sk.merged(spark.read.parquet(path))
 
 
 # --- scoring, jobs, sweeps -----------------------------------------------------------------

@@ -65,3 +65,18 @@ def test_stream_resumes_and_equals_batch(spark, tmp_path):
     running = ms.run_to_table(ms.running_perf(stream()), "perf", mode="complete")
     batch = ms.running_perf(spark.read.schema(schema).parquet(f"{tmp_path}/in/*"))
     assert sorted(map(tuple, running.collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_linear_percentiles_equal_percentile(spark):
+    import random
+    from corpusflow.functions.stats import linear_percentiles
+    rng = random.Random(8)
+    rows = [(rng.choice([7, rng.randrange(50), rng.randrange(2 ** 31)]), rng.randrange(3) if k % 4 else None, None) for k in range(999)]
+    df = spark.createDataFrame(rows, "a int, b int, c int").repartition(7)
+    ps = [0.0, 0.1, 0.25, 0.5, 0.75, 0.95, 1.0]
+    got = {r.name: r.percentiles for r in linear_percentiles(df, {x: F.col(x) for x in "abc"}, ps).collect()}
+    for x in "ab":
+        assert [got[x][p] for p in ps] == df.select(F.percentile(x, ps)).first()[0]
+    assert "c" not in got  # no values
+    one = spark.createDataFrame([(5,)], "a int")
+    assert [r.percentiles for r in linear_percentiles(one, {"a": F.col("a")}, [0.3]).collect()] == [{0.3: 5.0}]
