@@ -135,6 +135,11 @@ def artifact_hits(col, name: str) -> Column:
                           F.lit("(?i)" + ARTIFACT_PATTERNS[name]))
 
 
+def artifact_matches(col, name: str) -> Column:
+    """All matches of one artifact pattern in the lower-cased text."""
+    return F.regexp_extract_all(F.lower(F.coalesce(_c(col), F.lit(""))), F.lit("(?i)" + ARTIFACT_PATTERNS[name]), F.lit(0))
+
+
 def normalize_aggressive(col) -> Column:
     """Lower-case, drop ``(date|time|patient|dr|md|hospital)[:-]? token``, strip punctuation."""
     c = F.lower(F.coalesce(_c(col), F.lit("")))

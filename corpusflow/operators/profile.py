@@ -352,6 +352,18 @@ def artifact_scan(df: DataFrame, text_col: str = "transcription", id_col: str =
         for i, n in enumerate(names)])).alias("s")).select("s.*")
 
 
+def artifact_examples(df: DataFrame, text_col: str = "transcription", most: int = 5) -> DataFrame:
+    """``(pattern, rank, example, texts)``: up to ``most`` distinct matches of each artifact pattern, most frequent first.
+
+    Matches are counted per (pattern, match) before they are ranked; one pattern's ranking keeps ``most`` rows in every task.
+    """
+    found = [F.struct(F.lit(n).alias("pattern"), F.array_distinct(tx.artifact_matches(F.col(text_col), n)).alias("m")) for n in tx.ARTIFACT_PATTERNS]
+    each = df.select(F.explode(F.array(*found)).alias("f")).select("f.pattern", F.explode("f.m").alias("example"))
+    order = Window.partitionBy("pattern").orderBy(F.desc("texts"), "example")
+    counts = each.groupBy("pattern", "example").agg(F.count(F.lit(1)).alias("texts"))
+    return counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= most).select("pattern", "rank", "example", "texts")
+
+
 def artifact_switches(df: DataFrame, text_col: str = "transcription"):
     """(remove_date_labels, remove_phones) as boolean Columns over one scalar
     subquery: true when the corpus has any date-label / phone hit.  Lazy: no

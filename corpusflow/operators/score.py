@@ -17,23 +17,34 @@ def decode_top(pred: DataFrame, class_index: DataFrame) -> DataFrame:
                      F.col("t.confidence").alias("confidence")).join(F.broadcast(idx), "class_id").drop("class_id")
 
 
-def prediction_log_rows(texts: DataFrame, pred: DataFrame, class_index: DataFrame, ts_col: str = "ts",
-                        model_version: str = "v1") -> DataFrame:
-    """One log row per scored text: id, version, text[:500], hash, length, class,
-    confidence, top predictions and text statistics."""
+def prediction_log_rows(texts: DataFrame, pred: DataFrame, class_index: DataFrame, ts_col: str = "ts", model_version: str = "v1",
+                        model_loaded_at: str | None = None, feature_engine_version: str = "1.0.0", preprocessing_ms: float | None = None,
+                        prediction_ms: float | None = None) -> DataFrame:
+    """One row per scored text: ``doc_id`` and all fields of ``logs.PREDICTION_SCHEMA``.
+
+    ``preprocessing_ms`` and ``prediction_ms`` are the caller's times per text (a
+    batch is timed as a whole).  Memory and processor use belong to a single
+    process and stay null here.
+    """
     idx = class_index.select(F.col("label").alias("prediction"), F.col("label_id").alias("pred_class_id"))
-    p = pred.join(F.broadcast(idx), "pred_class_id")
+    # One entry per class: a bounded map from class number to name.
+    names = class_index.select(F.map_from_entries(F.collect_list(F.struct(F.col("label_id").cast("int"), "label")))).scalar()
+    p = pred.join(F.broadcast(idx), "pred_class_id").withColumn("names", names)
     j = texts.join(p, "doc_id")
-    stats = tx.text_stats(F.col("text"))
+    stats = F.from_json(F.to_json(tx.text_stats(F.col("text"))), "map<string,double>")
+    top = F.transform("top", lambda t: F.struct(F.col("names")[t["class_id"].cast("int")].alias("class"), t["confidence"].alias("confidence")))
+    ms = [F.lit(x).cast("double") for x in (preprocessing_ms, prediction_ms)]
     return j.select(
-        "doc_id",
+        "doc_id", F.col(ts_col).cast("string").alias("timestamp"),
         tx.request_id(F.col(ts_col), F.col("text")).alias("request_id"),
         F.lit(model_version).alias("model_version"),
         F.substring("text", 1, 500).alias("input_text"),
         tx.sha256_prefix(F.col("text")).alias("input_hash"),
         F.length("text").cast("long").alias("input_length"),
-        "prediction", "confidence", "top",
-        stats.alias("feature_stats"))
+        "prediction", "confidence", top.alias("top_predictions"),
+        ms[0].alias("preprocessing_time_ms"), ms[1].alias("prediction_time_ms"), (ms[0] + ms[1]).alias("total_time_ms"),
+        stats.alias("feature_stats"), F.lit(model_loaded_at).cast("string").alias("model_loaded_at"), F.lit(feature_engine_version).alias("feature_engine_version"),
+        F.lit(None).cast("double").alias("memory_usage_mb"), F.lit(None).cast("double").alias("cpu_usage_percent"))
 
 
 def error_log(rejected: DataFrame, text_col: str = "text", id_col: str = "doc_id",

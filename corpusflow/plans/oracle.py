@@ -275,8 +275,12 @@ def _norm_sql(expr: str, src: str = "clean_docs", id_col: str = "doc_id", ctes:
 SELECT {id_col}, CAST(length(t) AS INTEGER) AS chars, substr(sha256(t), 1, 16) AS text_hash FROM n"""
 
 
+def _matches(e: str, name: str) -> str:
+    return f"regexp_extract_all(lower(coalesce({e}, '')), {S.q('(?i)' + tx.ARTIFACT_PATTERNS[name])}, 0)"
+
+
 def _hits(e: str, name: str) -> str:
-    return f"len(regexp_extract_all(lower(coalesce({e}, '')), {S.q('(?i)' + tx.ARTIFACT_PATTERNS[name])}, 0))"
+    return f"len({_matches(e, name)})"
 
 
 _sw = f"""sw AS (SELECT coalesce(max({_hits('transcription', 'date_labels')} > 0), false) AS dates,
@@ -305,6 +309,11 @@ def _scan_sql(src: str, name: str, label: str) -> str:
 
 _d_cte, _d_sel = _scan_sql("SELECT transcription AS t FROM clean_docs", "d", "documents")
 _p_cte, _p_sel = _scan_sql(f"SELECT {S.clean_text('html')} AS t FROM pages", "p", "pages")
+_examples = " UNION ALL ".join(f"SELECT '{n}' AS pattern, unnest(list_distinct({_matches('t', n)})) AS example FROM pg" for n in tx.ARTIFACT_PATTERNS)
+oracle("artifact_examples", f"""WITH pg AS (SELECT {S.clean_text('html')} AS t FROM pages),
+c AS (SELECT pattern, example, count(*) AS texts FROM ({_examples}) GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY pattern ORDER BY texts DESC, example) AS rank FROM c)
+SELECT pattern, CAST(rank AS INTEGER) AS rank, example, texts FROM r WHERE rank <= 5""")
 oracle("artifact_scan", f"WITH {CLEAN}, {_d_cte}, {_p_cte}\n{_d_sel} UNION ALL {_p_sel}")
 
 oracle("combined_text", _norm_sql(
@@ -471,11 +480,34 @@ from corpusflow.operators.monitor import EXPORT_NAMES  # noqa: E402
 oracle("metrics_export", f"WITH {KPIS}\n" + " UNION ALL ".join(
     f"SELECT '{dst}' AS metric, round(CAST({src} AS DOUBLE), 6) AS value FROM kpis" for src, dst in EXPORT_NAMES))
 
-oracle("prediction_perf", f"""WITH {PRED}
+oracle("log_rejects", """SELECT CASE WHEN event_id % 13 = 0 THEN 'rejected' ELSE 'parsed' END AS outcome, count(*) AS n FROM events GROUP BY 1""")
+oracle("prediction_errors", """SELECT event_id, 'v1' AS model_version, 'prediction_error' AS event_type FROM events
+WHERE event_type = 'error' AND event_id % 5 <> 0""")
+oracle("log_counters", f"""WITH {REQ}, {PRED}
+SELECT 'status_code' AS counter, CAST(status_code AS VARCHAR) AS key, count(*) AS n FROM requests GROUP BY 2
+UNION ALL SELECT 'endpoint', endpoint, count(*) FROM requests GROUP BY 2
+UNION ALL SELECT 'errors', '', count(*) FROM requests WHERE status_code >= 400
+UNION ALL SELECT 'model_version', model_version, count(*) FROM predictions GROUP BY 2
+UNION ALL SELECT 'low_confidence', model_version, count(*) FROM predictions WHERE confidence < 0.7 GROUP BY 2""")
+
+_ds = ("text_length", "word_count", "avg_word_length")
+oracle("drift_text_stats", f"""WITH b AS (SELECT doc_id, coalesce(text, '') AS c, 1.0::DOUBLE / (1.0::DOUBLE + length(text) / 2000.0::DOUBLE) AS confidence FROM documents
+  ORDER BY doc_id DESC LIMIT 100),
+s AS (SELECT *, length(c) AS n, {S.collapse_ws('c')} AS cw FROM b),
+w AS (SELECT *, CASE WHEN cw = '' THEN []::VARCHAR[] ELSE string_split(cw, ' ') END AS words FROM s),
+t AS (SELECT confidence, n AS text_length, len(words) AS word_count,
+             CASE WHEN len(words) > 0 THEN list_sum(list_transform(words, lambda x: length(x))) / len(words) ELSE 0.0 END AS avg_word_length FROM w),
+a AS (SELECT avg(confidence) AS m, stddev_pop(confidence) AS sd, avg(CASE WHEN confidence < 0.7 THEN 1.0 ELSE 0.0 END) AS low,
+             {', '.join(f"avg({c}) AS {c}_mean, stddev_pop({c}) AS {c}_std" for c in _ds)} FROM t)
+SELECT 'analyzed' AS status, 100 AS window_size, round(m, 6) AS confidence_mean, round(sd, 6) AS confidence_std, round(low, 6) AS low_confidence_ratio,
+       {', '.join(f"round({c}_{k}, 6) AS {c}_{k}" for c in _ds for k in ('mean', 'std'))},
+       concat_ws(',', CASE WHEN low > 0.3 THEN 'HIGH_LOW_CONFIDENCE_RATIO' END, CASE WHEN sd > 0.25 THEN 'HIGH_CONFIDENCE_VARIANCE' END) AS drift_alerts FROM a""")
+
+PERF = f"""WITH {PRED}
 SELECT model_version, count(*) AS total_predictions, round(avg(preprocessing_time_ms), 6) AS avg_preprocessing_time,
        round(avg(prediction_time_ms), 6) AS avg_prediction_time, round(avg(confidence), 6) AS avg_confidence
-FROM predictions GROUP BY 1""")
-
+FROM predictions GROUP BY 1"""
+oracle("prediction_perf", f"""SELECT *, (SELECT count(*) FROM events WHERE event_type = 'error' AND event_id % 5 <> 0) AS error_count FROM ({PERF})""")
 _LAST100 = f"""{PRED}, buf AS (SELECT * FROM predictions ORDER BY ts DESC, seq DESC LIMIT 1000),
 last100 AS (SELECT * FROM buf ORDER BY ts DESC, seq DESC LIMIT 100)"""
 oracle("drift_report", f"""WITH {_LAST100},
@@ -1002,7 +1034,7 @@ oracle("sketch_report", f"""WITH {REQ}
 SELECT endpoint, count(*) AS requests, count(*) FILTER (status_code >= 400) AS errors, round(avg(response_time_ms), 6) AS avg_response_time_ms
 FROM requests GROUP BY 1""")
 
-oracle("stream_running_perf", ORACLE["prediction_perf"])
+oracle("stream_running_perf", PERF)
 
 oracle("stream_alerts", f"""WITH {REQ},
 h AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS s, count(*) AS requests, sum({ERRC}) AS errors
@@ -1022,12 +1054,13 @@ _kind_case = "CASE " + " ".join(f"WHEN regexp_matches(feature, {S.q(rx)}) THEN '
 oracle("feature_kinds", f"""WITH {FEAT}
 SELECT {_kind_case} AS kind, count(*) AS n_features FROM (SELECT DISTINCT feature FROM matrix) GROUP BY 1""")
 
-oracle("score_errors", f"""WITH r AS (
-  SELECT text, {_strip} AS s FROM conversations)
-SELECT 'ValidationError' AS error_type,
+oracle("score_errors", f"""WITH t AS (
+  SELECT conv_id * 1000000 + turn AS doc_id, CASE WHEN (conv_id + turn) % 11 = 0 THEN '  ' ELSE text END AS text FROM conversations),
+r AS (SELECT *, {_strip} AS s FROM t)
+SELECT doc_id, 'PREDICTION_ERROR' AS event_type, substr(sha256(coalesce(text, '')), 1, 16) AS input_hash, 'ValidationError' AS error_type,
        CASE WHEN text IS NULL THEN 'null' WHEN text = '' THEN 'empty' ELSE 'blank' END AS error_message,
-       count(*) AS n
-FROM r WHERE coalesce(s, '') = '' GROUP BY ALL""")
+       row_number() OVER (ORDER BY doc_id) AS total_errors
+FROM r WHERE coalesce(s, '') = ''""")
 
 oracle("model_gate", f"""WITH {NB}, {MULTI},
 a AS (SELECT avg(CASE WHEN class_id = pred_class_id THEN 1.0 ELSE 0.0 END) AS accuracy FROM pred)

@@ -234,6 +234,13 @@ def q_artifact_scan(spark, sf):
             .unionByName(pr.artifact_scan(p).select(F.lit("pages").alias("src"), "*")))
 
 
+@query("artifact_examples")
+def q_artifact_examples(spark, sf):
+    """Up to five examples of each artifact pattern in the pages."""
+    p = read_table(spark, sf, "pages").select(tx.clean_text(F.col("html")).alias("transcription"))
+    return pr.artifact_examples(p)
+
+
 @query("combined_text")
 def q_combined_text(spark, sf):
     d = _clean(spark, sf)
@@ -336,16 +343,53 @@ def q_log_parse(spark, sf):
         F.sum("status_code").cast("long").alias("sum_k"))
 
 
+@query("log_rejects")
+def q_log_rejects(spark, sf):
+    """Log lines that parse and those that do not; every thirteenth line is cut off."""
+    ev = read_table(spark, sf, "events")
+    line = F.to_json(F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"), F.lit("/predict").alias("endpoint"),
+                              F.col("value").alias("response_time_ms")))
+    lines = ev.select(F.when(F.col("event_id") % 13 == 0, F.substring(line, 1, 20)).otherwise(line).alias("value"))
+    good, bad = logs.parse_json_log(lines, logs.REQUEST_SCHEMA)
+    return good.groupBy(F.lit("parsed").alias("outcome")).agg(F.count(F.lit(1)).alias("n")).unionByName(
+        bad.groupBy(F.lit("rejected").alias("outcome")).agg(F.count(F.lit(1)).alias("n")))
+
+
 @query("slow_requests")
 def q_slow_requests(spark, sf):
-    return _req(spark, sf).filter(F.col("response_time_ms") > 400).select(
-        "event_id", "endpoint", "response_time_ms")
+    return mon.slow_requests(_req(spark, sf), 400).select("event_id", "endpoint", "response_time_ms")
 
 
 @query("low_confidence")
 def q_low_confidence(spark, sf):
-    return _pred(spark, sf).filter(F.col("confidence") < 0.5).select(
-        "seq", "prediction", F.round("confidence", 6).alias("confidence"))
+    return mon.low_confidence(_pred(spark, sf)).select("seq", "prediction", F.round("confidence", 6).alias("confidence"))
+
+
+def _error_lines(spark, sf):
+    """The events as lines of the structured log: errors are failed predictions, every fifth a warning."""
+    ev = read_table(spark, sf, "events")
+    level = F.when(F.col("event_type") != "error", F.lit("INFO")).when(F.col("event_id") % 5 == 0, F.lit("WARNING")).otherwise(F.lit("ERROR"))
+    record = F.struct(F.when(F.col("event_type") == "error", F.lit("prediction_error")).otherwise(F.lit("prediction")).alias("event_type"),
+                      F.col("event_id").cast("string").alias("request_id"), F.lit("v1").alias("model_version"))
+    return ev.select(F.to_json(F.struct(level.alias("level"), record.alias("message"))).alias("value"))
+
+
+def _prediction_errors(spark, sf):
+    kind = f"struct<level:string,message:{logs.ERROR_SCHEMA.simpleString()}>"
+    log = _error_lines(spark, sf).select(F.from_json("value", kind).alias("r")).select("r.level", "r.message.*")
+    return mon.prediction_errors(log)
+
+
+@query("prediction_errors")
+def q_prediction_errors(spark, sf):
+    """Failed predictions, parsed from the lines of the structured log."""
+    return _prediction_errors(spark, sf).select(F.col("request_id").cast("long").alias("event_id"), "model_version", "event_type")
+
+
+@query("log_counters")
+def q_log_counters(spark, sf):
+    """Counters by status, endpoint, version, failures and low confidence."""
+    return mon.log_counters(_req(spark, sf), _pred(spark, sf))
 
 
 @query("rolling_kpis")
@@ -393,7 +437,7 @@ def q_metrics_export(spark, sf):
 
 @query("prediction_perf")
 def q_prediction_perf(spark, sf):
-    return mon.prediction_perf(_pred(spark, sf))
+    return mon.prediction_perf(_pred(spark, sf), errors=_prediction_errors(spark, sf))
 
 
 @query("drift_report")
@@ -1001,21 +1045,41 @@ def q_score_top5(spark, sf):
 
 @query("prediction_log")
 def q_prediction_log(spark, sf):
+    """Rows of all fields, appended to a log table twice (two deployments) and read back."""
     f, bench, pred = _score_bench(spark, sf)
-    texts = bench.select(F.col("item_id").alias("doc_id"), "text",
-                         F.lit("2024-01-01 00:00:00").alias("ts"))
-    rows = sc.prediction_log_rows(texts, pred, fe.label_index(f.docs, "label"))
-    return rows.select(F.col("doc_id").alias("item_id"), "request_id", "model_version", "input_hash",
-                       "input_length", "prediction", F.round("confidence", 6).alias("confidence"),
-                       F.col("feature_stats.text_length").alias("text_length"),
-                       F.col("feature_stats.word_count").alias("word_count"))
+    path, index = _folder(spark, "prediction_log"), fe.label_index(f.docs, "label")
+    for hour, version in enumerate(("v1", "v2")):
+        texts = bench.select(F.col("item_id").alias("doc_id"), "text",
+                             F.timestamp_seconds(F.lit(1704067200 + 3600 * hour) + F.col("item_id")).alias("ts"))
+        rows = sc.prediction_log_rows(texts, pred, index, model_version=version, model_loaded_at="2024-01-01T00:00:00Z", preprocessing_ms=2.0, prediction_ms=1.0)
+        store.write_table(rows, path, mode="append", partition_by=("model_version",))
+    log = spark.read.parquet(path)
+    names = [c.name for c in logs.PREDICTION_SCHEMA]
+    return log.select(F.col("doc_id").alias("item_id"), *[F.round(c, 6).alias(c) if c == "confidence" else F.col(c) for c in names])
+
+
+def _text_predictions(spark, sf):
+    """Predictions over the documents, in the order of doc_id, with the statistics of their texts."""
+    d = documents(spark, sf)
+    stats = tx.text_stats(F.col("text"))
+    return d.select(F.col("doc_id").alias("seq"), F.timestamp_seconds("doc_id").alias("ts"), F.lit("v1").alias("model_version"), F.col("lang").alias("prediction"),
+                    (F.lit(1.0) / (F.lit(1.0) + F.length("text") / F.lit(2000.0))).alias("confidence"),
+                    *[stats[c].cast("double").alias(c) for c in ("text_length", "word_count", "avg_word_length")])
+
+
+@query("drift_text_stats")
+def q_drift_text_stats(spark, sf):
+    """The drift report with mean and deviation of text statistics."""
+    return mon.drift_report(_text_predictions(spark, sf), 100, buffer=1000, stat_cols=("text_length", "word_count", "avg_word_length"))
 
 
 @query("score_errors")
 def q_score_errors(spark, sf):
-    conv = read_table(spark, sf, "conversations")
-    _, rejected = cl.valid_text(conv.select((F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"), "text"))
-    return sc.error_log(rejected).groupBy("error_type", "error_message").agg(F.count(F.lit(1)).alias("n"))
+    """Error rows of rejected texts; every eleventh text of the conversations is blank."""
+    turns = read_table(spark, sf, "conversations").select((F.col("conv_id") * 1000000 + F.col("turn")).alias("doc_id"), F.when(
+        (F.col("conv_id") + F.col("turn")) % 11 == 0, F.lit("  ")).otherwise(F.col("text")).alias("text"))
+    _, rejected = cl.valid_text(turns, "text")
+    return sc.error_log(rejected).select(F.col("id").alias("doc_id"), "event_type", "input_hash", "error_type", "error_message", "total_errors")
 
 
 @query("model_gate")

@@ -5,6 +5,7 @@ table is Parquet unless asked otherwise.
 """
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -46,18 +47,47 @@ FEATURE_TABLES = ("vocab", "tfidf", "dense", "matrix", "labels")
 
 
 class FeatureStore:
-    """The fitted feature tables below one folder, one sub-folder per table."""
+    """The fitted feature tables below one folder, one sub-folder per table.
 
-    def __init__(self, spark: SparkSession, folder: str):
+    Tables with a row key are cut into ``buckets`` by ``doc_id`` and sorted by it,
+    so joins and groupings on ``doc_id`` between them move nothing.  How a table
+    was cut is kept beside it, and a later session declares it from there.
+    """
+
+    KEY = "doc_id"
+
+    def __init__(self, spark: SparkSession, folder: str, buckets: int | None = None):
         self.spark, self.folder = spark, folder.rstrip("/")
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def _table(self, name: str) -> str:
+        return f"feature_store_{hashlib.md5(self.folder.encode()).hexdigest()[:16]}_{name}"
 
     def save(self, features, tables: tuple[str, ...] = FEATURE_TABLES) -> "FeatureStore":
         for name in tables:
-            getattr(features, name).write.mode("overwrite").parquet(f"{self.folder}/{name}")
+            self.put(name, getattr(features, name))
         return self
 
+    def put(self, name: str, df: DataFrame) -> None:
+        path, keyed = f"{self.folder}/{name}", self.KEY in df.columns
+        if keyed:  # one file per bucket
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._table(name)}")
+            (df.repartition(self.buckets, self.KEY).write.mode("overwrite").format("parquet").option("path", path)
+             .bucketBy(self.buckets, self.KEY).sortBy(self.KEY).saveAsTable(self._table(name)))
+        else:
+            df.write.mode("overwrite").parquet(path)
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+        layout = self.spark.createDataFrame([(columns, self.buckets if keyed else 0)], "columns string, buckets int")
+        layout.coalesce(1).write.mode("overwrite").json(f"{self.folder}/_layout_{name}")
+
     def load(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}")
+        layout = self.spark.read.schema("columns string, buckets int").json(f"{self.folder}/_layout_{name}").first()
+        if not layout.buckets:
+            return self.spark.read.parquet(f"{self.folder}/{name}")
+        if not self.spark.catalog.tableExists(self._table(name)):
+            self.spark.sql(f"CREATE TABLE {self._table(name)} ({layout.columns}) USING parquet CLUSTERED BY ({self.KEY}) SORTED BY ({self.KEY}) "
+                           f"INTO {layout.buckets} BUCKETS LOCATION '{self.folder}/{name}'")
+        return self.spark.table(self._table(name))
 
 
 def save_nb(model: NBModel, folder: str) -> str:

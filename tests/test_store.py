@@ -80,3 +80,57 @@ def test_linear_percentiles_equal_percentile(spark):
     assert "c" not in got  # no values
     one = spark.createDataFrame([(5,)], "a int")
     assert [r.percentiles for r in linear_percentiles(one, {"a": F.col("a")}, [0.3]).collect()] == [{0.3: 5.0}]
+
+
+def test_bucketed_feature_tables_join_without_exchange(spark, tmp_path):
+    class Made:
+        matrix = spark.createDataFrame([(k % 50, f"f{k}", float(k)) for k in range(500)], "doc_id long, feature string, value double")
+        labels = spark.createDataFrame([(k, f"c{k % 3}") for k in range(60)], "doc_id long, label string")
+        vocab = spark.createDataFrame([("a", 1)], "term string, df long")
+
+    kept = store.FeatureStore(spark, f"{tmp_path}/s", buckets=4).save(Made, ("matrix", "labels", "vocab"))
+    again = store.FeatureStore(spark, f"{tmp_path}/s", buckets=9)  # the layout on disk counts
+    for name in ("matrix", "labels"):
+        spark.sql(f"DROP TABLE {kept._table(name)}")  # as in a new session
+        assert again.load(name).exceptAll(getattr(Made, name)).isEmpty() and again.load(name).count() == getattr(Made, name).count()
+    assert again.load("vocab").collect() == Made.vocab.collect()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = again.load("labels").join(again.load("matrix").groupBy("doc_id").agg(F.sum("value").alias("v")), "doc_id", "left")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert joined.count() == 60 and joined.filter("v is null").count() == 10
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_prediction_log_rows_hold_every_field(spark, tmp_path):
+    from corpusflow.operators import score as sc
+    from corpusflow.sources import logs
+    texts = spark.createDataFrame([(1, "Patient presents with acute chest pain.", datetime(2024, 1, 1)), (2, "x" * 600, datetime(2024, 1, 2))], "doc_id long, text string, ts timestamp")
+    pred = spark.createDataFrame([(1, 0, 0.9, [(0, 0.9), (1, 0.1)]), (2, 1, 0.6, [(1, 0.6), (0, 0.4)])],
+                                 "doc_id long, pred_class_id long, confidence double, top array<struct<class_id:long,confidence:double>>")
+    index = spark.createDataFrame([("de", 0), ("en", 1)], "label string, label_id long")
+    rows = sc.prediction_log_rows(texts, pred, index, preprocessing_ms=2.0, prediction_ms=1.5)
+    assert rows.columns == ["doc_id", *[f.name for f in logs.PREDICTION_SCHEMA]]
+    assert not [f.name for f in logs.PREDICTION_SCHEMA if rows.schema[f.name].dataType != f.dataType and f.name not in ("top_predictions", "feature_stats")]
+    for _ in range(2):
+        store.write_table(rows, f"{tmp_path}/log", mode="append")
+    got = spark.read.parquet(f"{tmp_path}/log").orderBy("doc_id").collect()
+    assert len(got) == 4 and got[0].prediction == "de" and got[0].total_time_ms == 3.5 and len(got[3].input_text) == 500 and got[3].input_length == 600
+    assert [(t["class"], t.confidence) for t in got[3].top_predictions] == [("en", 0.6), ("de", 0.4)]
+    assert got[0].feature_stats["text_length"] == 39 and got[0].feature_stats["word_count"] == 6
+
+
+def test_counters_and_error_counts(spark):
+    log = requests(spark, [0, 1, 2])
+    pred = spark.createDataFrame([("v1", 0.9, 1.0, 1.0), ("v1", 0.5, 1.0, 1.0), ("v2", 0.1, 1.0, 1.0)],
+                                 "model_version string, confidence double, preprocessing_time_ms double, prediction_time_ms double")
+    got = {(r.counter, r.key): r.n for r in monitor.log_counters(log, pred).collect()}
+    assert got == {("status_code", "200"): 2, ("status_code", "500"): 1, ("endpoint", "/p"): 3, ("errors", ""): 1, ("model_version", "v1"): 2,
+                   ("model_version", "v2"): 1, ("low_confidence", "v1"): 1, ("low_confidence", "v2"): 1}
+    failed = spark.createDataFrame([("v1",), ("v1",)], "model_version string")
+    assert {r.model_version: r.error_count for r in monitor.prediction_perf(pred, errors=failed).collect()} == {"v1": 2, "v2": 0}
+    raw = spark.createDataFrame([("ERROR", "prediction_error"), ("ERROR", "other"), ("INFO", "prediction_error")], "level string, event_type string")
+    assert monitor.prediction_errors(raw).count() == 1
