@@ -1,6 +1,7 @@
 """Helpers shared by the operators of this subpackage."""
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 import zipfile
@@ -47,6 +48,28 @@ def stored(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def beside(stage):
+    """A stage ``docs -> docs`` that sees the columns of ``DOCUMENT`` only; others travel in one struct under a fresh name.
+
+    So whatever the others are called, they cannot clash with the stage's own
+    columns, and come back unchanged and in place.
+    """
+
+    @functools.wraps(stage)
+    def run(docs: DataFrame, *args, **options) -> DataFrame:
+        others = [c for c in docs.columns if c not in DOCUMENT]
+        if not others:
+            return stage(docs, *args, **options)
+        name, quoted = f"others_{uuid.uuid4().hex}", {c: F.col(f"`{c}`") for c in docs.columns}
+        out = stage(docs.select(*[quoted[c] for c in docs.columns if c in DOCUMENT], F.struct(*[quoted[c] for c in others]).alias(name)), *args, **options)
+        return out.select(*[F.col(c) if c in DOCUMENT else F.col(name)[c].alias(c) for c in docs.columns])
+
+    return run
+
+
 def hash128(*cols: Column) -> tuple[Column, Column]:
     """Two 64-bit hashes of the same value; the second is seeded by the first."""
     first = F.xxhash64(*cols)

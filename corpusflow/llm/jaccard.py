@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusflow.llm.common import block_pairs, read, ship_package, stored
+from corpusflow.llm.common import beside, block_pairs, read, ship_package, stored
 from corpusflow.llm.components import components
 from corpusflow.llm.occurrence import linked
 
@@ -238,6 +238,7 @@ def near_copies(docs: DataFrame, width: int = 5, percent: int = 80, unit_shingle
         "doc_id", "th", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
 
 
+@beside
 def first_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each group of near copies: that with the smallest doc_id.
 

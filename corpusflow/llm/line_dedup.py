@@ -23,7 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm.common import SPACES, hash128, new_folder, read, stored
+from corpusflow.llm.common import SPACES, beside, hash128, new_folder, read, stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -133,6 +133,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, batches
     return runs.drop_frequent(docs, min_docs, doc_id, text, carry)
 
 
+@beside
 def without_common_lines(docs: DataFrame, min_docs: int = 10) -> DataFrame:
     """The documents table with every text free of frequent lines; n_chars follows the text."""
     carry = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))

@@ -27,7 +27,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusflow.llm.common import read, stored
+from corpusflow.llm.common import beside, read, stored
 
 DIMS = ("source", "lang", "topic")
 #: Production parameters: share of all tokens to keep; exponent that flattens each marginal; rounds.
@@ -138,6 +138,7 @@ def mix(docs: DataFrame, targets: Mapping[str, Mapping[str, float] | DataFrame]
     return out.withColumn("__kept", draw(F.col("doc_id"), seed) < F.col("__probability"))
 
 
+@beside
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The sampled documents, with the columns of ``docs``."""
     return mix(docs, **options).where("__kept").select(*docs.columns)

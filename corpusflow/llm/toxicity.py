@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from corpusflow.llm.common import read, ship_package, stored
+from corpusflow.llm.common import beside, read, ship_package, stored
 from corpusflow.llm.kneser_ney import ORDER, ClassModels, grams
 
 WINDOW, MAX_ROWS, THRESHOLD, MAX_WORDS = 4, 4_000, 0.7, 200_000
@@ -200,6 +200,7 @@ def scored(docs: DataFrame, model: Toxicity) -> DataFrame:
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("__score", DoubleType())]))
 
 
+@beside
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that score below ``threshold``, with all their columns."""
     return scored(docs, fit(docs, labels)).where(F.col("__score") < threshold).drop("__score")

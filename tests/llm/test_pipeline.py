@@ -5,6 +5,7 @@ from pathlib import Path
 import cases
 import corpus_pipeline
 from corpusflow.llm.common import stored
+from pyspark.sql import functions as F
 from test_jaccard import brute as groups
 from test_line_dedup import brute as lines
 from test_scores import toxic_rows
@@ -46,6 +47,27 @@ def test_each_stage_against_brute_force(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == packed.count()
 
 
+CLASHES = ("n_lines", "n_dropped", "kept_text", "__score", "__doc", "__th", "__tokens", "__source", "__lang", "__topic", "__weight", "__kept", "a.dot", "line", "key",
+           "h1", "component", "unit", "others")
+
+
+def test_other_columns_come_back_whatever_they_are_called(spark, tmp_path):
+    toxic, labels = toxic_rows(n=60)
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    plain = cases.documents(spark, cases.rows(30))
+    more = [F.concat(F.lit(f"{k}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))).alias(c) for k, c in enumerate(CLASHES)]
+    docs, bare = stored(plain.select(*more[:5], "*", *more[5:])), stored(plain)
+    for name, stage in corpus_pipeline.STAGES:
+        docs, bare = stored(stage(spark, docs, str(tmp_path))), stored(stage(spark, bare, str(tmp_path)))
+        if name == "packing":
+            assert docs.columns == bare.columns and docs.count() == bare.count()
+            continue
+        assert docs.columns == [*CLASHES[:5], *plain.columns, *CLASHES[5:]]
+        assert docs.select(*plain.columns).exceptAll(bare).isEmpty() and docs.count() == bare.count()
+        for r in docs.select("doc_id", *[F.col(f"`{c}`") for c in CLASHES]).collect():
+            assert list(r)[1:] == [f"{k}:{'-' if r.doc_id is None else r.doc_id}" for k in range(len(CLASHES))]
+
+
 def test_empty_documents(spark, tmp_path):
     docs = cases.empty(spark)
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
