@@ -118,6 +118,17 @@ def block_pairs(blocks: str = "blocks", own: str = "own") -> Column:
         F.transform(others, lambda k: F.struct(F.least(F.col(own), k).alias("i"), F.greatest(F.col(own), k).alias("j"))))
 
 
+_HELD: dict[str, object] = {}
+
+
+def worker_cache(owner: str, make):
+    """What a worker keeps for an operator between its tasks; a worker that goes on to another operator drops it."""
+    if owner not in _HELD:
+        _HELD.clear()
+        _HELD[owner] = make()
+    return _HELD[owner]
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -11,8 +11,10 @@ link when 100 * intersection >= percent * union.
    A band has spare parts for empty ones; a set with more empty parts than that
    gives, for each of them, its prefix tokens (the ``size - least overlap + 1``
    smallest hashes, of which linked sets share one).  So no link is missed.
-3. Classes that share an anchor are candidates; their connected components are
-   the search units.  Only their texts are read again.
+3. The classes of an anchor are tied to its hub, the one with the smallest hash.
+   A hub and the classes tied to it are a search unit: two classes that share an
+   anchor share its hub, so they meet there.  Units don't chain, so they do not
+   grow into one another.  Only their texts are read again, compressed.
 4. Inside a unit, documents are searched against inverted lists: short lists are
    merged by a heap, long ones probed by binary search, and documents with the
    overlap that a link needs are kept and compared exactly.  A unit of more
@@ -38,11 +40,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusflow.llm.common import beside, block_pairs, read, ship_package, stored
+from corpusflow.llm.common import beside, block_pairs, read, ship_package, stored, worker_cache
 from corpusflow.llm.components import components
 from corpusflow.llm.occurrence import linked
 
-UNIT_SHINGLES, MAX_WORDS, SAMPLE, HOT = 1_000_000, 200_000, 5_000, 20
+UNIT_SHINGLES, MAX_WORDS, MAX_SEEN, SAMPLE, HOT = 1_000_000, 200_000, 100_000, 5_000, 20
 #: Odd multipliers that mix 64-bit hashes.
 MIX = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)]
 
@@ -60,15 +62,13 @@ class WordHashes(dict):
         return out
 
 
-_WORDS = WordHashes()
-
-
 def shingles(text: str | None, width: int) -> np.ndarray:
     """The text's set: sorted distinct hashes of ``width`` words in a row, A-Z lower-cased."""
     words = (text or "").encode().lower().split()
-    if len(_WORDS) > MAX_WORDS:
-        _WORDS.clear()
-    h = np.fromiter(map(_WORDS.__getitem__, words), dtype=np.uint64, count=len(words))
+    known = worker_cache("word hashes", WordHashes)
+    if len(known) > MAX_WORDS:
+        known.clear()
+    h = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
     if not words:
         return h
     n = min(width, len(words))
@@ -157,23 +157,31 @@ def sets_of(docs: DataFrame, width: int) -> DataFrame:
 
 
 def anchors_of(docs: DataFrame, width: int, bands: Bands) -> DataFrame:
-    """(h1, anchor) of every row with a set."""
+    """(h1, anchor) of every set; a task gives those of equal sets once, as far as it remembers (``MAX_SEEN`` sets)."""
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in found:
             for begin in range(0, batch.num_rows, 500):
-                sets = [shingles(t.as_py(), width) for t in batch.column(0).slice(begin, 500)]
-                anchors = [bands.anchors(s) for s in sets]
-                h1 = np.repeat(np.array([digest(s)[0] for s in sets], dtype=np.int64), [len(a) for a in anchors])
+                sets = {}
+                for t in batch.column(0).slice(begin, 500):
+                    s = shingles(t.as_py(), width)
+                    if len(s) and (h := digest(s)[0]) not in seen:
+                        sets[h] = s
+                if len(seen) + len(sets) > MAX_SEEN:
+                    seen.clear()
+                seen.update(sets)
+                anchors = [bands.anchors(s) for s in sets.values()] or [np.zeros(0, np.int64)]
+                h1 = np.repeat(np.array(list(sets) or [0], dtype=np.int64), [len(a) for a in anchors])
                 yield pa.RecordBatch.from_arrays([pa.array(h1), pa.array(np.concatenate(anchors))], names=["h1", "anchor"])
 
     return docs.select("text").mapInArrow(run, "h1 long, anchor long")
 
 
 def candidate_units(docs: DataFrame, rows: int, width: int, bands: Bands) -> DataFrame:
-    """(node, component) of the classes that share an anchor with another class.
+    """(unit, h1): every class that shares an anchor with another, with each hub it is tied to; the hub is in its own unit.
 
-    The classes of an anchor are joined to the one with the smallest hash.  Anchors
+    The classes of an anchor are tied to the one with the smallest hash.  Anchors
     that ``HOT`` or more documents of a sample hold get a hub from the sample, and
     their rows are spread by their own hash instead of meeting in one task; the
     sample only decides who meets where, never which edges there are.  It has
@@ -187,16 +195,35 @@ def candidate_units(docs: DataFrame, rows: int, width: int, bands: Bands) -> Dat
     held = held.select(F.when(F.col("hub").isNull(), F.col("anchor")).otherwise(F.xxhash64("anchor", "h1")).alias("key"), "h1", "hub")
     smallest = F.first("h1").over(Window.partitionBy("key").orderBy("h1"))
     edges = held.select(F.col("h1").alias("a"), F.coalesce("hub", smallest).alias("b")).where("a <> b")
-    return components(stored(edges.distinct(), "candidates"))
+    edges = stored(edges.distinct(), "candidates")
+    return edges.select(F.col("b").alias("unit"), F.col("a").alias("h1")).unionByName(
+        edges.select(F.col("b").alias("unit"), F.col("b").alias("h1")).distinct())
+
+
+def compressed(docs: DataFrame) -> DataFrame:
+    """doc_id, th and the text as a Zstandard frame: what the units' texts are shuffled as."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from zstandard import ZstdCompressor
+        z = ZstdCompressor(level=3)
+        for batch in found:
+            for begin in range(0, batch.num_rows, 1_000):
+                part = batch.slice(begin, 1_000)
+                frames = [z.compress((t.as_py() or "").encode()) for t in part.column(2)]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(frames, pa.binary())], names=["doc_id", "th", "frame"])
+
+    return docs.select("doc_id", F.xxhash64("text").alias("th"), "text").mapInArrow(run, f"doc_id {kind}, th long, frame binary")
 
 
 def searched(rows: DataFrame, width: int, percent: int) -> DataFrame:
-    """(a, b) edges that connect the linked classes of each unit: ``rows`` has unit, i, j and text."""
+    """(a, b) edges that connect the linked classes of each unit: ``rows`` has unit, i, j and frame."""
 
     def search(table: pa.Table) -> pa.Table:
-        sets = {}
-        for t in table.column("text"):
-            s = shingles(t.as_py(), width)
+        from zstandard import ZstdDecompressor
+        z, sets = ZstdDecompressor(), {}
+        for t in table.column("frame"):
+            s = shingles(z.decompress(t.as_py()).decode(), width)
             sets[digest(s)] = s
         keys = sorted(sets)
         label = linked([sets[k] for k in keys], percent)
@@ -217,15 +244,15 @@ def near_copies(docs: DataFrame, width: int = 5, percent: int = 80, unit_shingle
     same = (F.col("th") == F.col("r_th")) & F.col("doc_id").eqNullSafe(F.col("r_doc"))
     units = candidate_units(docs, sets.count(), width, Bands(percent))
 
-    members = stored(classes.join(units, F.col("h1") == F.col("node")).select("component", "h1", "n", "r_doc", "r_th"), "members")
-    blocks = members.groupBy("component").agg(F.sum("n").alias("total"))
-    blocks = stored(blocks.select(F.col("component").alias("unit"), F.ceil(F.col("total") / unit_shingles).cast("int").alias("blocks")), "units")
-    dealt = members.join(blocks, F.col("component") == F.col("unit"))
+    members = stored(classes.join(units, "h1").select(F.col("unit").alias("m_unit"), "h1", "n", "r_doc", "r_th"), "members")
+    blocks = members.groupBy("m_unit").agg(F.sum("n").alias("total"))
+    blocks = stored(blocks.select(F.col("m_unit").alias("unit"), F.ceil(F.col("total") / unit_shingles).cast("int").alias("blocks")), "units")
+    dealt = members.join(blocks, F.col("m_unit") == F.col("unit"))
     own = F.pmod(F.xxhash64(F.lit(31), "h1"), F.col("blocks")).cast("int")
     dealt = stored(dealt.withColumn("own", own).select("unit", "r_doc", "r_th", F.explode(block_pairs()).alias("p"))
                    .select("unit", "p.i", "p.j", "r_doc", "r_th"), "dealt")
     # The candidates grow with the corpus, so they are merged with the texts at every size, not broadcast.
-    texts = docs.withColumn("th", F.xxhash64("text")).join(dealt.hint("merge"), same).select("unit", "i", "j", "text")
+    texts = compressed(docs).join(dealt.hint("merge"), same).select("unit", "i", "j", "frame")
     links = components(stored(searched(texts, width, percent), "links"))
 
     links = links.select(F.col("node").alias("l_node"), F.col("component").alias("l_root"))
