@@ -26,11 +26,15 @@ def discount(counts: list[int]) -> float:
 
 
 class ClassModels:
-    """Probabilities of both classes (toxic, ordinary) for every n-gram that was seen, and their back-off weights."""
+    """Probabilities of both classes for every n-gram that was seen, and their back-off weights.
+
+    Each pair is one complex number (toxic + ordinary * i), a third of a tuple's
+    size: every worker holds the whole model.
+    """
 
     def __init__(self, counts: dict[str, tuple[int, int]], order: int = ORDER, shared: int = SHARED):
-        self.seen: dict[str, tuple[float, float]] = {}
-        self.weights: dict[str, tuple[float, float]] = {}
+        self.seen: dict[str, complex] = {}
+        self.weights: dict[str, complex] = {}
         self.order = order
         levels = [counts]
         for _ in range(order - 1):  # continuation counts: how many characters come before
@@ -52,11 +56,12 @@ class ClassModels:
                     t[c] += row[c]
                     t[2 + c] += row[c] > 0
             for h, t in totals.items():
-                self.weights[h] = tuple(cuts[c] * t[2 + c] / t[c] if t[c] else 1.0 for c in (0, 1))
+                self.weights[h] = complex(*(cuts[c] * t[2 + c] / t[c] if t[c] else 1.0 for c in (0, 1)))
             fresh = {}
             for gram, row in zip(level, both):
                 t, w, below = totals[gram[:-1]], self.weights[gram[:-1]], self.probability(gram[1:])
-                fresh[gram] = tuple((max(row[c] - cuts[c], 0) / t[c] if t[c] else 0.0) + w[c] * below[c] for c in (0, 1))
+                w = w.real, w.imag
+                fresh[gram] = complex(*((max(row[c] - cuts[c], 0) / t[c] if t[c] else 0.0) + w[c] * below[c] for c in (0, 1)))
             self.seen.update(fresh)
 
     def probability(self, gram: str) -> tuple[float, float]:
@@ -64,10 +69,10 @@ class ClassModels:
             return self.floor, self.floor
         found = self.seen.get(gram)
         if found is not None:
-            return found
+            return found.real, found.imag
         toxic, ordinary = self.probability(gram[1:])
         w = self.weights.get(gram[:-1])
-        return (w[0] * toxic, w[1] * ordinary) if w is not None else (toxic, ordinary)
+        return (w.real * toxic, w.imag * ordinary) if w is not None else (toxic, ordinary)
 
     def log_ratio(self, word: str) -> float:
         """log P(word | toxic) - log P(word | ordinary)."""
