@@ -2,7 +2,8 @@ import hashlib
 from collections import Counter
 
 import cases
-from corpusflow.llm.line_dedup import LineRuns, dedup_lines, without_common_lines
+from corpusflow.llm.common import stored
+from corpusflow.llm.line_dedup import LineRuns, dedup_lines, hashed_lines, without_common_lines
 
 SPACES = " \t\n\x0b\x0c\r"
 
@@ -46,6 +47,33 @@ def test_runs_are_compacted_and_survive(spark):
     assert sorted(runs.counts().collect()) == sorted(whole.counts().collect())
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_batches_meet_the_runs_by_merge_anti_joins(spark):
+    docs = cases.documents(spark)
+    runs, exact = LineRuns(spark, fanout=2, min_docs=2), LineRuns(spark, fanout=2)
+    for k in range(3):
+        runs.add(docs.where(f"doc_id % 4 = {k}"))
+        exact.add(docs.where(f"doc_id % 4 = {k}"))
+    batch = stored(hashed_lines(docs.where("doc_id % 4 = 3"), "doc_id", "text", 1))
+    known = {(r.h1, r.h2) for run in runs.runs() for r in run.where("n_docs >= 2").collect()}
+    everything = {(r.h1, r.h2): r.n_docs for r in exact.unknown(batch).collect()}
+    assert known & set(everything)  # the batch repeats lines that are frequent already
+    assert {(r.h1, r.h2): r.n_docs for r in runs.unknown(batch).collect()} == {k: n for k, n in everything.items() if k not in known}
+    plan = plan_of(runs.unknown(batch))
+    assert plan.count("SortMergeJoin") == len(runs.runs()) and "LeftAnti" in plan and "Broadcast" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1  # the batch alone
+    merged = plan_of(runs.counts())
+    assert "FullOuter" in merged and "Exchange" not in merged
+    runs.add_hashed(batch)
+    exact.add_hashed(batch)
+    for least in (1, 2):
+        assert ({(r.h1, r.h2) for r in runs.counts().where(f"n_docs >= {least}").collect()}
+                == {(r.h1, r.h2) for r in exact.counts().where(f"n_docs >= {least}").collect()})
+
+
 def test_oracle(spark):
     import duckdb
     from corpusflow.llm.line_dedup import ORACLE, op1_line_dedup
