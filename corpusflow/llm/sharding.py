@@ -6,7 +6,8 @@ histogram of group sizes, not over the groups: groups of one size bin can be
 swapped, so only the number of a bin's groups that each shard gets is decided
 on the driver, and the groups pick their shard by their rank inside the bin.
 Sizes below ``EXACT`` have a bin each, larger ones 64 bins per doubling: at most
-``EXACT + 64 * 50`` bins for any input.
+``EXACT + 64 * 50`` bins for any input.  Inside a bin every group counts with the
+bin's mean size and is placed as by single steps, however many there are.
 
 Law ``bytes``: shard sizes are near equal.
 
@@ -18,6 +19,7 @@ table gives an empty result; other columns are not read.
 from __future__ import annotations
 
 import heapq
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,28 +34,49 @@ def size_bin(size: Column) -> Column:
     return F.when(size < EXACT, size).otherwise(F.floor(F.log2(size.cast("double")) * 64) - 64 * 10 + EXACT).cast("int")
 
 
+def dealt(loads: list[int], groups: int, size: int) -> list[int]:
+    """How many of ``groups`` equal groups each shard gets, if one after the other goes to the least loaded shard.
+
+    Shard s would take its groups at loads L, L + size, L + 2 size, ...; one at a
+    time means the smallest ``groups`` of all these loads, ties by shard.  The
+    level below which they lie is found by bisection, so the work does not grow
+    with the number of groups, and the outcome is that of the single steps.
+    """
+
+    def below(level: int) -> list[int]:
+        return [max(0, -(-(level - load) // size)) for load in loads]
+
+    low, high = min(loads), max(loads) + (groups + 1) * size  # below(low) holds none, below(high) more than all
+    while high - low > 1:
+        middle = (low + high) // 2
+        low, high = (middle, high) if sum(below(middle)) <= groups else (low, middle)
+    got = below(low)
+    at_level = [s for s, load in enumerate(loads) if load + got[s] * size == low]
+    for s in at_level[:groups - sum(got)]:
+        got[s] += 1
+    return got
+
+
 def schedule(bins: list[tuple[int, int, int]], shards: int) -> list[tuple[int, list[int]]]:
     """Per bin, the running total of groups by shard: bin, ends.
 
-    ``bins`` has (bin, groups, bytes).  Longest first; the least loaded shard
-    takes the next lot.  A lot is one group, or of a bin that still holds many
-    more groups than there are shards, a small part of them.
+    ``bins`` has (bin, groups, bytes).  Longest first, every group goes to the
+    least loaded shard: bins of a few groups through a heap, larger ones by ``dealt``.
     """
-    heap = [(0.0, s) for s in range(shards)]
-    out = []
-    for key, groups, size in sorted(bins, reverse=True):
-        each, left, got = size / groups, groups, [0] * shards
-        while left:
-            load, s = heapq.heappop(heap)
-            lot = max(1, left // (4 * shards))
-            got[s] += lot
-            left -= lot
-            heapq.heappush(heap, (load + lot * each, s))
-        ends, total = [], 0
-        for n in got:
-            total += n
-            ends.append(total)
-        out.append((key, ends))
+    loads, out = [0] * shards, []
+    for key, groups, total in sorted(bins, reverse=True):
+        size = max(1, round(total / groups))
+        if groups <= shards:
+            got, heap = [0] * shards, [(load, s) for s, load in enumerate(loads)]
+            heapq.heapify(heap)
+            for _ in range(groups):
+                load, s = heap[0]
+                got[s] += 1
+                heapq.heapreplace(heap, (load + size, s))
+        else:
+            got = dealt(loads, groups, size)
+        loads = [load + n * size for load, n in zip(loads, got)]
+        out.append((key, list(accumulate(got))))
     return out
 
 

@@ -1,6 +1,8 @@
 """Mixing, sharding and packing."""
+import random
 import zlib
 from collections import Counter, defaultdict
+from itertools import accumulate
 
 import cases
 import duckdb
@@ -57,6 +59,23 @@ def test_sharding_laws(spark):
     assert sharding.shard(cases.empty(spark)).count() == 0
 
 
+def test_schedule_equals_single_steps():
+    rng = random.Random(5)
+    for _ in range(60):
+        shards = rng.randint(1, 9)
+        bins = [(size, n, size * n) for size in rng.sample(range(1, 60), rng.randint(1, 12)) for n in [rng.choice([1, 2, 7, 40, 333])]]
+        loads, want = [0] * shards, []
+        for size, n, _ in sorted(bins, reverse=True):
+            got = [0] * shards
+            for _ in range(n):
+                s = min(range(shards), key=lambda k: (loads[k], k))
+                loads[s] += size
+                got[s] += 1
+            want.append((size, list(accumulate(got))))
+        assert sharding.schedule(bins, shards) == want
+    assert sharding.schedule([(5, 10**12, 5 * 10**12)], 3) == [(5, [333333333334, 666666666667, 10**12])]
+
+
 def test_schedule_is_longest_processing_time():
     bins = [(5, 3, 15), (4, 2, 8), (1, 7, 7)]
     plan = dict(sharding.schedule(bins, 2))
