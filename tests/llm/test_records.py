@@ -5,8 +5,10 @@ import random
 
 import duckdb
 import numpy as np
+import pytest
 from corpusflow.llm import embedding_dedup, warc
 from corpusflow.llm.common import new_folder, stored
+from corpusflow.llm.flat_graph import FlatGraph
 
 PAGES = "page_id long, url string, html string"
 
@@ -116,6 +118,83 @@ def test_near_vectors(spark):
     assert embedding_dedup.near_vectors(spark.createDataFrame([], VECTORS)).count() == 0
 
 
+def clustered(seed: int, bases: int, each: int, width: int = 24, noise: float = 0.1) -> np.ndarray:
+    """Unit vectors around ``bases`` directions; at this noise some pairs of a base link and others do not."""
+    rng = np.random.default_rng(seed)
+    x = np.repeat(rng.normal(size=(bases, width)), each, axis=0)
+    x = x + rng.normal(size=x.shape) * noise * rng.random((len(x), 1))
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("least", [0.98, 0.9])
+def test_linked_vectors_share_a_cell(least):
+    for seed, noise in ((1, 0.1), (2, 0.3), (3, 1.0)):
+        x = clustered(seed, 60, 20, noise=noise)
+        centres = embedding_dedup.centroids(x[::3], 40)
+        cells = embedding_dedup.visited(x, centres, embedding_dedup.border_margin(least)).astype(int)
+        met, linked = cells @ cells.T > 0, x @ x.T >= least
+        assert linked.sum() > len(x) and met[linked].all()
+        assert (cells.sum(axis=1) >= 1).all()
+
+
+def test_the_worst_pair_meets():
+    """Two vectors at the limit, the border of two centres halfway between them: either visits both cells."""
+    half = math.acos(0.98) / 2
+    x = np.array([[math.cos(half), math.sin(half)], [math.cos(half), -math.sin(half)]])
+    centres = np.array([[math.cos(0.6), math.sin(0.6)], [math.cos(0.6), -math.sin(0.6)]])
+    cells = embedding_dedup.visited(x, centres, embedding_dedup.border_margin(0.98))
+    assert (cells[0] & cells[1]).any()
+
+
+def test_a_cell_is_cut_where_it_saves_work():
+    margin = embedding_dedup.border_margin(0.98)
+    spread = clustered(4, 80, 20)
+    assert len(embedding_dedup.cut(spread, 100_000, 600, margin)) > 1
+    tight = clustered(5, 1, 1600, noise=0.05)
+    assert len(embedding_dedup.cut(tight, 100_000, 600, margin)) == 0
+
+
+def test_the_graph_computes_less_than_all_pairs():
+    """Both the growth and the search, pruning included; the links are those of the full product."""
+    for x in (clustered(6, 400, 5, width=64), clustered(7, 25, 80, width=64)):
+        graph = FlatGraph(x)
+        graph.grow()
+        found, true = graph.links(0.98), x @ x.T >= 0.98
+        np.fill_diagonal(true, False)
+        assert graph.computed < 0.7 * len(x) ** 2
+        assert not (found & ~true).any() and found.sum() >= 0.98 * true.sum()
+        lengths = (graph.edges >= 0).sum(axis=1)
+        assert lengths.min() > 0
+
+
+def test_the_graph_of_few_vectors():
+    assert FlatGraph(np.zeros((0, 3))).grow().shape[0] == 0
+    one = FlatGraph(np.array([[1.0, 0.0]]))
+    assert (one.grow() == -1).all() and not one.links(0.98).any()
+    same = FlatGraph(np.array([[1.0, 0.0]] * 40))
+    same.grow()
+    assert same.links(0.98).sum() == 40 * 39
+
+
+def test_recall_over_hundreds_of_cells(spark):
+    """A label of some hundred cells, cut twice: ids that 20 divides, against all rows."""
+    x = clustered(9, 1500, 6, width=32)
+    rows = [(k, v.tolist(), 1 if k // 6 % 10 else 2) for k, v in enumerate(x)]
+    table = stored(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))
+    rows, classes = embedding_dedup.classes_of(table, "vec_id", "embedding", "label")
+    cells = stored(embedding_dedup.in_cells(stored(classes), 0.98, 120, 40))
+    names = {c for r in cells.collect() for c in r.cells}
+    assert len(names) > 200
+    found = stored(embedding_dedup.near_vectors(table, shard=120, home=40))
+    assert embedding_dedup.audit_recall(table, found, block=300) >= 0.95
+    label = np.arange(len(x)) // 6 % 10 > 0
+    true = sum(((x[k] @ x.T >= 0.98) & (label == label[k])).sum() - 1 for k in range(0, len(x), 20))
+    assert true > 1000
+    got = found.where("vec_id % 20 = 0").groupBy().sum("n_links").first()[0]
+    assert 0.95 * true <= got <= true
+    assert embedding_dedup.audit_recall(table, found.selectExpr("vec_id", "0L AS n_links")) == 0.0
+
+
 def test_oracles(spark):
     sf = "/root/testdata/sf0.001"
     con = duckdb.connect()
