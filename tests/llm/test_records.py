@@ -149,9 +149,10 @@ def test_the_worst_pair_meets():
 def test_a_cell_is_cut_where_it_saves_work():
     margin = embedding_dedup.border_margin(0.98)
     spread = clustered(4, 80, 20)
-    assert len(embedding_dedup.cut(spread, 100_000, 600, margin)) > 1
+    assert len(embedding_dedup.cut(spread, 100_000, 600, 2_000, margin)) > 1
     tight = clustered(5, 1, 1600, noise=0.05)
-    assert len(embedding_dedup.cut(tight, 100_000, 600, margin)) == 0
+    assert len(embedding_dedup.cut(tight, 100_000, 600, 2_000, margin)) == 0
+    assert embedding_dedup.blocks_of([1, 2_000, 2_001, 10_000], 2_000).tolist() == [1, 1, 3, 10]
 
 
 def test_the_graph_computes_less_than_all_pairs():
