@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pytest
+from corpusflow.functions import text as tx
 from corpusflow.operators import features as fe
 from corpusflow.operators import ml_chain as mc
 from corpusflow.plans import pipeline as pl
@@ -70,3 +71,54 @@ def test_counted_rows_fit_the_same_chains(spark):
             assert np.allclose(score[len(want):], here[len(weight):], equal_nan=True)
     doubled = data.union(data)
     assert mc.counted(doubled) is doubled
+
+
+def _keys(rows):
+    return sorted(tuple(r) for r in rows)
+
+
+@pytest.mark.parametrize("buckets,folds", [(64, (0, 1)), (1 << 20, ())])
+def test_terms_outside_a_bounded_vocabulary_are_not_counted(spark, monkeypatch, buckets, folds):
+    # Word i comes i times in all, in up to 4 of 6 documents; one word is in too many documents.
+    made = [(d, d % 2, [f"w{i:02d}" for i in range(60) for _ in range((i + d) // 4 if d < 4 else 0)] + ["all"] * 40) for d in range(6)]
+    arrays = spark.createDataFrame(made, "doc_id int, fold int, terms array<string>").repartition(3)
+    monkeypatch.setattr(fe, "BUCKETS", buckets)
+    whole = fe.term_stats(arrays, folds)
+    n_docs = {None: 6, **{j: 3 for j in folds}}
+    for most in (5, 100):
+        limits = (2, 0.99, most)
+        stats = fe.vocabulary_stats(arrays, n_docs, *limits)
+        for j, n in n_docs.items():
+            part = [F.col(c) - (F.lit(0) if j is None else F.col(f"{c}_{j}")) for c in ("df", "cf")]
+            cut = lambda t: t.select("term", part[0].alias("df"), part[1].alias("cf"))
+            assert _keys(fe.vocabulary_of(cut(stats), n, *limits).collect()) == _keys(fe.vocabulary_of(cut(whole), n, *limits).collect())
+        assert stats.exceptAll(whole).isEmpty()
+        if buckets > 100 and most < 100:
+            assert stats.count() < whole.count()
+
+
+def test_what_chains_read_is_written_without_ngrams(spark):
+    before = set(spark.sparkContext._jvm.java.io.File(pl.ensure_checkpoint_dir(spark)).list())
+    f = pl.build_features(docs(spark, range(6)))
+    rows = mc.vector_rows(f, 2)
+    assert rows.count() == 6 and "terms" in rows.columns
+    after = set(spark.sparkContext._jvm.java.io.File(pl.ensure_checkpoint_dir(spark)).list()) - before
+    assert after and all("terms" not in spark.read.parquet(f"{pl.ensure_checkpoint_dir(spark)}/{t}").columns for t in after)
+
+
+def test_tokens_without_stop_words(spark):
+    made = spark.createDataFrame([("the cat and the hat",), ("the",), ("",), (None,), ("then and",)], "t string")
+    got = [r[0] for r in made.select(tx.joined_tokens("t", stop_words=["the", "and"])).collect()]
+    assert got == ["cat hat", "", "", "", "then"]
+
+
+def test_normalisation_equals_the_patterns_one_by_one(spark):
+    texts = ["Date: 1/2/2020, p.o. bid. b.i.d Stat prn", "a.b .5 1.5 5. ...6 x_y\t\x1c-z", "tel 555-123-4567 .", " .. ", "é.1 ü", None, "time - now t.i.d q.i.d iv i.v. stat."]
+    d = spark.createDataFrame([(t,) for t in texts], "t string")
+    c = F.lower(F.coalesce("t", F.lit("")))
+    for pattern, full in [(tx.DATE_LABEL_REMOVE, ""), (tx.PHONE_REMOVE, ""), *tx.ABBREVIATIONS]:
+        c = F.regexp_replace(c, pattern, full)
+    strip = lambda c: tx.collapse_ws(F.regexp_replace(F.regexp_replace(c, f"[^\\w{tx.WS_CLASS}.]", " "), r"\.(?!\d)", " "))
+    simple = tx.collapse_ws(F.regexp_replace(F.lower(F.coalesce("t", F.lit(""))), f"[^\\w{tx.WS_CLASS}]", " "))
+    for got, want in ((tx.normalize_conservative("t", True, True), strip(c)), (tx.strip_punct("t"), strip(F.col("t"))), (tx.normalize_simple("t"), simple)):
+        assert d.select(got).collect() == d.select(want).collect()
