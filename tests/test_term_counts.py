@@ -122,3 +122,9 @@ def test_normalisation_equals_the_patterns_one_by_one(spark):
     simple = tx.collapse_ws(F.regexp_replace(F.lower(F.coalesce("t", F.lit(""))), f"[^\\w{tx.WS_CLASS}]", " "))
     for got, want in ((tx.normalize_conservative("t", True, True), strip(c)), (tx.strip_punct("t"), strip(F.col("t"))), (tx.normalize_simple("t"), simple)):
         assert d.select(got).collect() == d.select(want).collect()
+
+
+def test_counted_rows_are_compared_as_they_are(spark):
+    data, kw = ml_rows(spark), {"max_features": 8}
+    got, want = (mc.compare(d, ["multinomial_nb"], **kw).drop("time_seconds").collect() for d in (mc.counted(data, **kw), data))
+    assert got == want and got[0].status == "success"
